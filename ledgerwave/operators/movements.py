@@ -48,13 +48,28 @@ def ever_active_before(spans: DataFrame, changes: DataFrame) -> DataFrame:
             ),
         }
     )
-    return (
-        history.join(account_first_month(changes), "account_id", "left")
-        .withColumn("product_active_before", F.coalesce(F.col("pair_first_month") < F.col("month"), F.lit(False)))
-        .withColumn(
-            "account_active_before", F.coalesce(F.col("account_first_month") < F.col("month"), F.lit(False))
-        )
-        .drop("pair_first_month", "account_first_month")
+    return history.join(account_first_month(changes), "account_id", "left").withColumns(
+        {
+            "product_active_before": _before("pair_first_month", F.col("month")),
+            "account_active_before": _before("account_first_month", F.col("month")),
+        }
+    )
+
+
+def _before(first: str, month: Column) -> Column:
+    return F.coalesce(F.col(first) < month, F.lit(False))
+
+
+def history_by_month(history: DataFrame) -> DataFrame:
+    """D6 at the grain of the snapshot: prior run rate and history flags of every month."""
+    month = F.col("snapshot")
+    return history.withColumn("snapshot", months_of(F.col("month"), F.col("until"))).select(
+        "account_id",
+        "product_id",
+        F.last_day(month).alias("measurement_month"),
+        F.when(month == F.col("month"), F.col("prior_arr")).otherwise(F.col("arr")).alias("prior_arr"),
+        _before("pair_first_month", month).alias("product_active_before"),
+        _before("account_first_month", month).alias("account_active_before"),
     )
 
 

@@ -28,12 +28,12 @@ def fct_usage(snapshots: DataFrame, rollup: DataFrame) -> DataFrame:
         surrogate_key("product_id").alias("product_key"),
         *KEYS,
         "usage_month",
-        used.cast("double").alias("consumed_units"),
-        F.coalesce(F.col("consumed_value"), F.lit(0)).cast("double").alias("consumed_value"),
+        used.alias("consumed_units"),
+        F.coalesce(F.col("consumed_value"), F.lit(0)).alias("consumed_value"),
         "entitled_units",
-        F.col("arr").cast("double").alias("entitled_arr"),
+        F.col("arr").alias("entitled_arr"),
         (used.cast("double") / units.cast("double")).alias("utilization_pct"),
-        F.greatest(used - units, F.lit(0)).cast("double").alias("overage_units"),
+        F.greatest(used - units, F.lit(0)).alias("overage_units"),
         (used > units).alias("is_over_entitlement"),
         (used * 2 < units).alias("is_under_utilized"),
     )

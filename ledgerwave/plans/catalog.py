@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ledgerwave.operators import bookings, movements, recon, snapshots
+from ledgerwave.operators import bookings, checks, metrics, movements, recon, snapshots
 from ledgerwave.plans import reports
 from ledgerwave.plans.revenue import Revenue, sample_revenue
+from ledgerwave.session import fresh_path
+from ledgerwave.sources import conform, feeds, layers, sample, spines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,7 +52,7 @@ register("active_on_snapshot", lambda r: snapshots.active_on_snapshot(r.arr_span
 register("first_active", lambda r: snapshots.first_active(r.arr_changes))
 register("densify", lambda r: snapshots.densify(snapshots.active_on_snapshot(r.arr_spans), r.window))
 register("arr_account_product_month", lambda r: r.arr_account_product_month)
-register("ever_active_before", lambda r: snapshots_with_history(r))
+register("ever_active_before", lambda r: movements.history_by_month(r.arr_history))
 register("period_movement", lambda r: movements.period_movement(r.arr_history))
 register("movement_buckets", lambda r: r.arr_movements)
 register("fct_arr", lambda r: r.fct_arr)
@@ -91,16 +93,143 @@ register("at_risk_by_category", lambda r: reports.with_label(
 register("kpi_frame", lambda r: reports.kpi_frame(r.fct_arr, r.fct_acv, r.rpt_recon))
 
 
-def snapshots_with_history(r: Revenue) -> DataFrame:
-    """The history flags on every month of a span, as the snapshot table shows them."""
-    opening = F.col("snapshot") == F.col("month")
-    active = F.col("arr") > 0
-    return r.arr_history.withColumn("snapshot", snapshots.months_of(F.col("month"), F.col("until"))).select(
-        "account_id",
-        "product_id",
-        F.last_day("snapshot").alias("measurement_month"),
-        F.when(opening, F.col("prior_arr")).otherwise(F.col("arr")).alias("prior_arr"),
-        F.when(opening, F.col("product_active_before"))
-        .otherwise(F.col("product_active_before") | active)
-        .alias("product_active_before"),
+# --- metric layer --------------------------------------------------------------
+
+SIMPLE_METRICS = [m.name for m in metrics.METRICS.values() if m.measure]
+DERIVED_METRICS = ("expansion_arr", "gross_revenue_retention", "net_revenue_retention", "average_deal_acv")
+FILTERED_METRICS = ("bookings_acv", "pipeline_acv", "new_logo_bookings_acv", "won_opportunity_count")
+
+register("semantic_model", lambda r: metrics.measure_totals(r))
+register("simple_metric", lambda r: metrics.metric(r, *SIMPLE_METRICS, grain="year"))
+register("metric_filter", lambda r: metrics.metric(r, *FILTERED_METRICS, by=("opportunity_type",)))
+register("derived_metric", lambda r: metrics.metric(r, *DERIVED_METRICS, grain="quarter"))
+register("ratio_metric", lambda r: metrics.metric(r, "average_utilization", grain="quarter"))
+register("metric_by_dimension", lambda r: metrics.metric(
+    r, "bookings_acv", "won_opportunity_count", by=("account__segment", "sales_rep__sales_region"),
+    grain="quarter"))
+register("metric_last_snapshot", lambda r: metrics.metric(
+    r, "total_arr", "net_new_arr", by=("account__segment",), grain="year", semi_additive="last"))
+
+
+def _metric_time_fill(spark: SparkSession, folder: str) -> DataFrame:
+    daily = metrics.metric(sample_revenue(spark, folder), "bookings_acv", "pipeline_acv", grain="day")
+    days = spines.day_spine(spark, sample.WINDOW_START, sample.WINDOW_END)
+    return metrics.metric_time_fill(daily, days, "date_day", "bookings_acv", "pipeline_acv")
+
+
+QUERIES["metric_time_fill"] = _metric_time_fill
+
+
+# --- checks ----------------------------------------------------------------------
+
+register("assert_unique", lambda r: checks.assert_unique(r.staged("opportunity_line_items"), "opportunity_id"))
+register("assert_not_null", lambda r: checks.assert_not_null(r.staged("opportunities"), "contract_id"))
+register("assert_relationship", lambda r: checks.assert_relationship(
+    r.staged("contracts"), "external_order_ref", r.staged("erp_orders"), "sales_order_id"))
+register("assert_accepted_values", lambda r: checks.assert_accepted_values(
+    r.dim_account, "geo_region", ("NA", "EMEA", "APAC", "LATAM")))
+register("assert_unique_combination", lambda r: checks.assert_unique_combination(
+    r.staged("subscriptions"), "account_id", "product_id"))
+register("assert_range", lambda r: checks.assert_range(r.fct_usage, "utilization_pct", 0, 1.2).select(
+    "account_id", "product_id", "usage_month", "utilization_pct"))
+register("assert_waterfall_integrity", lambda r: checks.assert_waterfall_integrity(reports.monthly_bridge(r.fct_arr)))
+register("assert_arr_continuity", lambda r: checks.assert_arr_continuity(reports.monthly_bridge(r.fct_arr)))
+register("assert_acv_components", lambda r: checks.assert_acv_components(r.fct_acv))
+
+
+def _assert_recon_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The sample injects every kind of discrepancy into one order in fifty."""
+    injected = [c for c in recon.CATEGORIES if c != "matched_clean"]
+    expected = spark.read.parquet(f"{folder}/orders.parquet").agg(
+        F.floor(F.count("*") / 50).alias("expected_count")
+    ).select(F.explode(F.array(*[F.lit(c) for c in injected])).alias("discrepancy_category"), "expected_count")
+    return checks.assert_recon_counts(sample_revenue(spark, folder).rpt_recon, expected)
+
+
+QUERIES["assert_recon_counts"] = _assert_recon_counts
+
+
+def check_tables(r: Revenue) -> dict[str, DataFrame]:
+    """Every table the check suite looks at."""
+    feeds = {name: r.staged(name) for name in conform.SPECS}
+    inner = {
+        "acv_lines": r.acv_lines,
+        "contract_lines": r.contract_lines,
+        "arr_account_product_month": r.arr_account_product_month,
+        "arr_movements": r.arr_movements,
+    }
+    return {**feeds, **inner, **r.marts()}
+
+
+def _run_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts are written once, then checked, as a warehouse build does it."""
+    r = sample_revenue(spark, folder)
+    written = layers.materialize_layer(spark, "marts", r.marts(), fresh_path(spark, "checks"))
+    return checks.run_checks(spark, {**check_tables(r), **written})
+
+
+QUERIES["run_checks"] = _run_checks
+
+
+# --- sources and sinks -------------------------------------------------------------
+
+def _month_spine(spark: SparkSession, folder: str) -> DataFrame:
+    r = sample_revenue(spark, folder)
+    starts = r.staged("subscriptions").groupBy(
+        F.last_day("subscription_start_date").alias("measurement_month")
+    ).agg(F.count("*").alias("starting"))
+    return spines.month_spine(spark, r.window).join(starts, "measurement_month", "left").select(
+        "measurement_month", F.coalesce("starting", F.lit(0)).alias("starting")
+    )
+
+
+def _day_spine(spark: SparkSession, folder: str) -> DataFrame:
+    closing = sample_revenue(spark, folder).staged("opportunities").groupBy(
+        F.col("close_date").alias("date_day")
+    ).agg(F.count("*").alias("closing"))
+    days = spines.day_spine(spark, sample.WINDOW_START, sample.WINDOW_END)
+    return days.join(closing, "date_day", "left").select("date_day", F.coalesce("closing", F.lit(0)).alias("closing"))
+
+
+def _load_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts written as the CSV feed they arrive as, read back typed."""
+    path = fresh_path(spark, "accounts") + ".csv"
+    sample.accounts(spark, folder).write.option("header", True).csv(path)
+    return conform.conform(feeds.load_feed(spark, path, feeds.SCHEMAS["accounts"]), "accounts")
+
+
+def _register_sources(spark: SparkSession, folder: str) -> DataFrame:
+    feeds.register_sources(spark, {t: f"{folder}/{t}.parquet" for t in ("orders", "customer")}, prefix="raw_")
+    return spark.sql(
+        "SELECT c_mktsegment, o_orderstatus, count(*) AS orders FROM raw_orders "
+        "JOIN raw_customer ON o_custkey = c_custkey GROUP BY c_mktsegment, o_orderstatus"
     )
+
+
+def _materialize_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """The waterfall written by month; the latest snapshot reads one partition of it."""
+    r = sample_revenue(spark, folder)
+    marts = layers.materialize_layer(
+        spark, "marts", {"fct_arr": r.fct_arr}, fresh_path(spark, "layer"), {"fct_arr": "measurement_month"}
+    )
+    latest = F.lit(sample.LAST_SNAPSHOT).cast("date")
+    return plain(marts["fct_arr"].filter(F.col("measurement_month") == latest).groupBy("revenue_category").agg(
+        F.count("*").alias("rows"), F.sum("ending_arr").alias("ending_arr")
+    ))
+
+
+def _upsert_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A restatement of some accounts' contracts replaces what those accounts had."""
+    existing = sample_revenue(spark, folder).staged("contracts").select(
+        "account_id", "contract_id", "contract_status"
+    )
+    incoming = existing.filter((F.col("account_id") % 7 == 0) & (F.col("contract_id").cast("bigint") % 2 == 0))
+    return layers.upsert_by_key(existing, incoming.withColumn("contract_status", F.lit("Restated")), "account_id")
+
+
+QUERIES["month_spine"] = _month_spine
+QUERIES["day_spine"] = _day_spine
+QUERIES["load_feed"] = _load_feed
+QUERIES["register_sources"] = _register_sources
+QUERIES["materialize_layer"] = _materialize_layer
+QUERIES["upsert_by_key"] = _upsert_by_key

@@ -227,19 +227,12 @@ def kpi_frame(fct_arr: DataFrame, fct_acv: DataFrame, rpt_recon: DataFrame) -> D
         .select("latest.ending_arr", "latest.month")
     )
     risk = at_risk_by_category(rpt_recon).agg(F.sum("at_risk").alias("at_risk"))
-    retained = retention.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(2).alias("position"), F.lit("Net Revenue Retention").alias("label"),
-                         _percent(F.col("nrr")).alias("value")),
-                F.struct(F.lit(3), F.lit("Gross Revenue Retention"), _percent(F.col("grr"))),
-            )
-        )
-    ).withColumn("sub", F.lit("period approximation"))
+    period = "period approximation"
     frames = [
         one(ending, 1, "Ending ARR", _millions(F.col("ending_arr")),
             F.concat(F.col("month"), F.lit(" run-rate"))),
-        retained,
+        one(retention, 2, "Net Revenue Retention", _percent(F.col("nrr")), period),
+        one(retention, 3, "Gross Revenue Retention", _percent(F.col("grr")), period),
         one(latest_year_bookings(fct_acv), 4,
             F.concat(F.lit("Bookings ACV (FY"), F.col("sales_year").cast("string"), F.lit(")")),
             _millions(F.col("acv")), "closed-won"),

@@ -113,8 +113,14 @@ class Revenue:
     def dim_sales_rep(self) -> DataFrame:
         return dims.dim_sales_rep(self.staged("users"))
 
+    def __getitem__(self, name: str) -> DataFrame:
+        """A mart by name, for operators that look tables up."""
+        if name not in MARTS:
+            raise KeyError(name)
+        return getattr(self, name)
+
     def marts(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in MARTS}
+        return {name: self[name] for name in MARTS}
 
 
 def sample_revenue(spark: SparkSession, folder: str) -> Revenue:

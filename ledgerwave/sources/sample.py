@@ -14,6 +14,7 @@ from ledgerwave.functions.values import money, month_floor
 # The snapshot window of the sample data: first month, and first month after it.
 WINDOW_START = "1995-01-01"
 WINDOW_END = "2002-01-01"
+LAST_SNAPSHOT = "2001-12-31"
 
 SEGMENT_MONTHS = {"R": 5, "A": 11, "N": 23}
 

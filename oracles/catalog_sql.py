@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerwave.operators.checks import GENERIC_CHECKS, Check
 from oracles.ctes import assemble
 
 FINAL: dict[str, str] = {}
@@ -37,8 +38,8 @@ FINAL["densify"] = money("apm", "arr")
 FINAL["arr_account_product_month"] = money("apm", "arr")
 FINAL["ever_active_before"] = """
   SELECT account_id, product_id, measurement_month, cast(prior_arr AS double) AS prior_arr,
-         product_active_before = 1 AS product_active_before
-  FROM with_lag"""
+         product_active_before = 1 AS product_active_before, account_active_before = 1 AS account_active_before
+  FROM classified"""
 FINAL["period_movement"] = """
   SELECT account_id, product_id, measurement_month, cast(prior_arr AS double) AS beginning_arr,
          cast(arr AS double) AS ending_arr, cast(arr_change AS double) AS arr_change, entitled_units, revenue_category
@@ -62,7 +63,7 @@ FINAL["surrogate_key"] = (
     "SELECT opportunity_line_id, acv_key, account_key, product_key, sales_rep_key FROM m_fct_acv"
 )
 FINAL["usage_period_rollup"] = money("usage_rollup", "consumed_units", "consumed_value")
-FINAL["fct_usage"] = "SELECT * FROM m_fct_usage"
+FINAL["fct_usage"] = money("m_fct_usage", "consumed_units", "consumed_value", "entitled_arr", "overage_units")
 FINAL["invoice_coverage"] = money("invoice_totals", "ns_invoice_amount")
 RECON = """account_id, contract_id, contract_number, external_order_ref, sales_order_id, order_number,
   contract_start_date, order_date, cast(sfdc_contract_amount AS double) AS sfdc_contract_amount,
@@ -167,5 +168,188 @@ FINAL["kpi_frame"] = f"""
   FROM recon WHERE discrepancy_category <> 'matched_clean'"""
 
 
+# --- metric layer ----------------------------------------------------------------
+
+def total(expr: str, name: str, where: str = "TRUE") -> str:
+    return f"cast(sum(CASE WHEN {where} THEN {expr} END) AS double) AS {name}"
+
+
+WON, OPEN = "is_closed AND is_won", "NOT is_closed"
+ARR_METRICS = {
+    "total_arr": "ending_arr", "beginning_arr": "beginning_arr", "net_new_arr": "arr_change",
+    "new_logo_arr": "new_logo_arr", "cross_sell_arr": "cross_sell_arr", "upsell_arr": "upsell_arr",
+    "downgrade_arr": "downgrade_arr", "churned_arr": "churn_arr",
+}
+ARR_SUMS = ", ".join(total(e, n) for n, e in ARR_METRICS.items())
+WON_COUNT = f"cast(count(DISTINCT CASE WHEN {WON} THEN opportunity_id END) AS double) AS won_opportunity_count"
+ACV_SUMS = ", ".join([
+    total("acv", "bookings_acv", WON), total("acv", "pipeline_acv", OPEN),
+    total("acv", "new_logo_bookings_acv", f"{WON} AND revenue_category = 'new_logo'"), WON_COUNT,
+])
+USAGE_SUMS = ", ".join([
+    total("consumed_value", "total_consumed_value"), total("consumed_units", "total_consumed_units"),
+    total("entitled_units", "total_entitled_units"),
+])
+
+
+def period(grain: str, column: str) -> str:
+    return f"cast(date_trunc('{grain}', {column}) AS date) AS metric_time"
+
+
+FINAL["semantic_model"] = "\nUNION ALL ".join(
+    f"SELECT '{model}' AS model, '{name}' AS measure, cast({expr} AS double) AS value FROM {table}"
+    for model, table, name, expr in [
+        *[("arr", "movements", n, f"sum({e})") for n, e in (
+            ("ending_arr", "ending_arr"), ("beginning_arr", "beginning_arr"), ("net_new_arr", "arr_change"),
+            ("new_logo_arr", "new_logo_arr"), ("cross_sell_arr", "cross_sell_arr"), ("upsell_arr", "upsell_arr"),
+            ("downgrade_arr", "downgrade_arr"), ("churn_arr", "churn_arr"))],
+        ("acv", "acv_lines", "acv_amount", "sum(acv)"),
+        ("acv", "acv_lines", "tcv_amount", "sum(cast(tcv AS decimal(38,6)))"),
+        ("acv", "acv_lines", "opportunity_count", "count(DISTINCT opportunity_id)"),
+        ("usage", "m_fct_usage", "consumed_value", "sum(consumed_value)"),
+        ("usage", "m_fct_usage", "consumed_units_total", "sum(consumed_units)"),
+        ("usage", "m_fct_usage", "entitled_units_total", "sum(entitled_units)"),
+    ]
+)
+FINAL["simple_metric"] = f"""
+  SELECT * FROM (SELECT {period('year', 'measurement_month')}, {ARR_SUMS} FROM movements GROUP BY 1) a
+  FULL JOIN (SELECT {period('year', 'close_date')}, {ACV_SUMS} FROM acv_lines GROUP BY 1) b USING (metric_time)
+  FULL JOIN (SELECT {period('year', 'usage_month')}, {USAGE_SUMS} FROM m_fct_usage GROUP BY 1) c USING (metric_time)"""
+FINAL["metric_filter"] = f"SELECT opportunity_type, {ACV_SUMS} FROM acv_lines GROUP BY 1"
+FINAL["derived_metric"] = f"""
+  SELECT metric_time, upsell_arr + cross_sell_arr AS expansion_arr,
+         (beginning_arr + downgrade_arr + churned_arr) / nullif(beginning_arr, 0) AS gross_revenue_retention,
+         (beginning_arr + upsell_arr + cross_sell_arr + downgrade_arr + churned_arr) / nullif(beginning_arr, 0)
+           AS net_revenue_retention,
+         bookings_acv / nullif(won_opportunity_count, 0) AS average_deal_acv
+  FROM (SELECT {period('quarter', 'measurement_month')}, {ARR_SUMS} FROM movements GROUP BY 1)
+  FULL JOIN (SELECT {period('quarter', 'close_date')}, {ACV_SUMS} FROM acv_lines GROUP BY 1) USING (metric_time)"""
+FINAL["ratio_metric"] = f"""
+  SELECT metric_time, total_consumed_units / nullif(total_entitled_units, 0) AS average_utilization
+  FROM (SELECT {period('quarter', 'usage_month')}, {USAGE_SUMS} FROM m_fct_usage GROUP BY 1)"""
+FINAL["metric_by_dimension"] = f"""
+  SELECT a.segment AS account__segment, u.sales_region AS sales_rep__sales_region, {period('quarter', 'f.close_date')},
+         {total('f.acv', 'bookings_acv', WON)}, {WON_COUNT}
+  FROM acv_lines f LEFT JOIN st_accounts a USING (account_id) LEFT JOIN st_users u ON f.owner_id = u.user_id
+  GROUP BY 1, 2, 3"""
+FINAL["metric_last_snapshot"] = f"""
+  SELECT a.segment AS account__segment, {period('year', 'f.measurement_month')},
+         {total('f.ending_arr', 'total_arr', 'f.measurement_month = y.latest')}, {total('f.arr_change', 'net_new_arr')}
+  FROM movements f LEFT JOIN st_accounts a USING (account_id)
+  JOIN (SELECT {YEAR} AS yr, max(measurement_month) AS latest FROM movements GROUP BY 1) y
+    ON y.yr = cast(extract(year FROM f.measurement_month) AS integer)
+  GROUP BY 1, 2"""
+DAYS = """(SELECT cast(d AS date) AS metric_time
+   FROM unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day)) AS t(d))"""
+FINAL["metric_time_fill"] = f"""
+  SELECT metric_time, coalesce(bookings_acv, 0) AS bookings_acv, coalesce(pipeline_acv, 0) AS pipeline_acv
+  FROM {DAYS} LEFT JOIN (SELECT {period('day', 'close_date')}, {ACV_SUMS} FROM acv_lines GROUP BY 1) USING (metric_time)"""
+
+# --- checks --------------------------------------------------------------------------
+
+FINAL["assert_unique"] = """
+  SELECT opportunity_id, count(*) AS n_records FROM st_opportunity_lines GROUP BY 1 HAVING count(*) > 1"""
+FINAL["assert_not_null"] = (
+    money("st_opportunities", "opportunity_amount") + " WHERE contract_id IS NULL"
+)
+FINAL["assert_relationship"] = """
+  SELECT external_order_ref, count(*) AS n_records FROM st_contracts
+  WHERE external_order_ref NOT IN (SELECT sales_order_id FROM st_erp_orders) GROUP BY 1"""
+FINAL["assert_accepted_values"] = """
+  SELECT geo_region, count(*) AS n_records FROM st_accounts
+  WHERE geo_region NOT IN ('NA', 'EMEA', 'APAC', 'LATAM') GROUP BY 1"""
+FINAL["assert_unique_combination"] = """
+  SELECT account_id, product_id, count(*) AS n_records FROM st_subscriptions GROUP BY 1, 2 HAVING count(*) > 1"""
+FINAL["assert_range"] = """
+  SELECT account_id, product_id, usage_month, utilization_pct FROM m_fct_usage
+  WHERE utilization_pct < 0 OR utilization_pct > 1.2"""
+FINAL["assert_waterfall_integrity"] = """
+  SELECT measurement_month, cast(ending_arr AS double) AS ending_arr,
+         cast(rebuilt AS double) AS reconstructed_ending_arr
+  FROM (SELECT measurement_month, sum(ending_arr) AS ending_arr, sum(beginning_arr)
+          + sum(new_logo_arr + cross_sell_arr + upsell_arr + downgrade_arr + churn_arr) AS rebuilt
+        FROM movements GROUP BY 1)
+  WHERE abs(ending_arr - rebuilt) > 0.01"""
+FINAL["assert_arr_continuity"] = """
+  SELECT measurement_month, cast(ending_arr AS double) AS ending_arr,
+         cast(following AS double) AS next_month_beginning_arr
+  FROM (SELECT measurement_month, ending_arr, lead(beginning_arr) OVER (ORDER BY measurement_month) AS following
+        FROM (SELECT measurement_month, sum(ending_arr) AS ending_arr, sum(beginning_arr) AS beginning_arr
+              FROM movements GROUP BY 1))
+  WHERE following IS NOT NULL AND abs(ending_arr - following) > 0.01"""
+FINAL["assert_acv_components"] = """
+  SELECT acv_key, cast(acv AS double) AS acv, cast(annual_recurring_amount AS double) AS annual_recurring_amount,
+         cast(one_time_amount AS double) AS one_time_amount
+  FROM m_fct_acv WHERE abs(acv - (annual_recurring_amount + one_time_amount)) > 0.01"""
+FINAL["assert_recon_counts"] = """
+  SELECT e.discrepancy_category, e.expected_count, coalesce(a.actual_count, 0) AS actual_count
+  FROM (SELECT unnest(['orphan_in_netsuite', 'missing_in_netsuite', 'amount_mismatch', 'currency_rounding',
+                       'partially_invoiced', 'timing_difference']) AS discrepancy_category,
+               (SELECT count(*) // 50 FROM orders) AS expected_count) e
+  LEFT JOIN (SELECT discrepancy_category, count(*) AS actual_count FROM recon GROUP BY 1) a USING (discrepancy_category)
+  WHERE e.expected_count <> coalesce(a.actual_count, 0)"""
+
+# SQL block that stands for each table of the check suite.
+CHECK_BLOCKS = {
+    "accounts": "st_accounts", "users": "st_users", "products": "st_products", "opportunities": "st_opportunities",
+    "opportunity_line_items": "st_opportunity_lines", "contracts": "st_contracts",
+    "subscriptions": "st_subscriptions", "erp_customers": "st_erp_customers", "erp_items": "st_erp_items",
+    "erp_orders": "st_erp_orders", "erp_order_lines": "st_erp_order_lines", "erp_invoices": "st_erp_invoices",
+    "erp_invoice_lines": "st_erp_invoice_lines", "usage_monthly": "st_usage_monthly", "acv_lines": "acv_lines",
+    "contract_lines": "contract_lines", "arr_account_product_month": "apm", "arr_movements": "movements",
+    "dim_account": "m_dim_account", "dim_product": "m_dim_product", "dim_sales_rep": "m_dim_sales_rep",
+    "fct_acv": "m_fct_acv", "fct_arr": "m_fct_arr", "fct_usage": "m_fct_usage", "rpt_recon": "m_rpt_recon",
+}
+
+
+def check_sql(check: Check) -> str:
+    """Number of violations of one check, counted as the check itself lists them."""
+    table, first, columns = CHECK_BLOCKS[check.table], check.columns[0], ", ".join(check.columns)
+    present = f"FROM {table} WHERE {first} IS NOT NULL"
+    if check.kind == "not_null":
+        return f"SELECT count(*) FROM {table} WHERE {first} IS NULL"
+    if check.kind == "range":
+        return f"SELECT count(*) FROM {table} WHERE {first} < {check.low}"
+    if check.kind == "unique":
+        return f"SELECT count(*) FROM (SELECT {first} {present} GROUP BY {first} HAVING count(*) > 1)"
+    if check.kind == "unique_combination":
+        return f"SELECT count(*) FROM (SELECT {columns} FROM {table} GROUP BY {columns} HAVING count(*) > 1)"
+    if check.kind == "accepted_values":
+        values = ", ".join(f"'{v}'" for v in check.values)
+        return f"SELECT count(DISTINCT {first}) FROM {table} WHERE {first} NOT IN ({values})"
+    return f"SELECT count(*) {present} AND {first} NOT IN (SELECT {check.field} FROM {CHECK_BLOCKS[check.parent]})"
+
+
+FINAL["run_checks"] = "\nUNION ALL ".join(
+    f"SELECT '{c.name}' AS name, '{c.kind}' AS kind, '{c.table}' AS \"table\", '{', '.join(c.columns)}' AS columns,"
+    f" ({check_sql(c)}) AS violations"
+    for c in GENERIC_CHECKS
+)
+
+# --- sources and sinks -----------------------------------------------------------------
+
+FINAL["month_spine"] = """
+  SELECT m.measurement_month, count(s.subscription_id) AS starting
+  FROM months m LEFT JOIN st_subscriptions s ON last_day(s.subscription_start_date) = m.measurement_month GROUP BY 1"""
+FINAL["day_spine"] = f"""
+  SELECT d.metric_time AS date_day, count(o.opportunity_id) AS closing
+  FROM {DAYS} d LEFT JOIN st_opportunities o ON o.close_date = d.metric_time GROUP BY 1"""
+FINAL["load_feed"] = """
+  SELECT * REPLACE (cast(account_id AS varchar) AS account_id, cast(owner_id AS varchar) AS owner_id) FROM st_accounts"""
+FINAL["register_sources"] = """
+  SELECT c_mktsegment, o_orderstatus, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
+  GROUP BY 1, 2"""
+FINAL["materialize_layer"] = """
+  SELECT revenue_category, count(*) AS rows, cast(sum(ending_arr) AS double) AS ending_arr FROM movements
+  WHERE measurement_month = date '2001-12-31' GROUP BY 1"""
+FINAL["upsert_by_key"] = """
+  SELECT account_id, contract_id, 'Restated' AS contract_status, 0 AS batch FROM st_contracts
+  WHERE account_id % 7 = 0 AND cast(contract_id AS bigint) % 2 = 0
+  UNION ALL
+  SELECT account_id, contract_id, contract_status, 1 AS batch FROM st_contracts
+  WHERE account_id NOT IN (SELECT account_id FROM st_contracts
+                           WHERE account_id % 7 = 0 AND cast(contract_id AS bigint) % 2 = 0)"""
+
+
 def oracles() -> dict[str, str]:
     return {name: assemble(sql) for name, sql in FINAL.items()}
