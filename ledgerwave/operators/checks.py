@@ -207,26 +207,19 @@ GENERIC_CHECKS: list[Check] = [
 ROW_KINDS = ("not_null", "range")
 
 
-def _row_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row-level checks of one table in one aggregation."""
-
-    def failed(check: Check) -> Column:
-        value = F.col(check.columns[0])
-        return value.isNull() if check.kind == "not_null" else _outside(value, check.low, None)
-
-    counts = df.agg(*[F.count_if(failed(c)).alias(c.name) for c in checks])
-    pairs = F.array(*[F.struct(F.lit(c.name).alias("name"), F.col(c.name).alias("violations")) for c in checks])
-    return counts.select(F.inline(pairs))
-
-
-def _check_values(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """(check, value, rows) for every check of one table that looks at groups of equal values."""
-
-    def text(check: Check) -> Column:
-        parts = [F.col(c).cast("string") for c in check.columns]
-        return parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts))
-
-    pairs = F.array(*[F.struct(F.lit(c.name).alias("name"), text(c).alias("value")) for c in checks])
+def _checked_value(check: Check) -> Column:
+    """What a row contributes to a check: the value looked at, or a mark if the row itself fails."""
+    value = F.col(check.columns[0])
+    if check.kind in ROW_KINDS:
+        failed = value.isNull() if check.kind == "not_null" else _outside(value, check.low, None)
+        return F.when(failed, "failed")
+    parts = [F.col(c).cast("string") for c in check.columns]
+    return parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts))
+
+
+def _value_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(check, value, rows) for every check of one table, in one pass over it."""
+    pairs = F.array(*[F.struct(F.lit(c.name).alias("name"), _checked_value(c).alias("value")) for c in checks])
     return (
         df.select(F.inline(pairs))
         .filter(F.col("value").isNotNull())
@@ -240,23 +233,14 @@ def run_checks(
 ) -> DataFrame:
     """Every check with its number of violations.
 
-    Each table is read twice: once for the row-level checks, and once to count
-    equal values, which settles uniqueness, accepted values and, after one join
-    for all of them, the references.
+    Each table is read once to count equal values. That settles row-level
+    checks, uniqueness and accepted values, and after one join for all of them
+    the references.
     """
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         by_table.setdefault(check.table, []).append(check)
-
-    rows, values = [], []
-    for table, group in by_table.items():
-        row_checks = [c for c in group if c.kind in ROW_KINDS]
-        value_checks = [c for c in group if c.kind not in ROW_KINDS]
-        if row_checks:
-            rows.append(_row_failures(tables[table], row_checks))
-        if value_checks:
-            values.append(_check_values(tables[table], value_checks))
-
+    values = [_value_counts(tables[table], group) for table, group in by_table.items()]
     kinds = spark.createDataFrame(
         [(c.name, c.kind, c.table, ", ".join(c.columns), list(c.values)) for c in checks],
         "name string, kind string, table string, columns string, accepted array<string>",
@@ -274,14 +258,14 @@ def run_checks(
     kind, rows_of_value = F.col("kind"), F.col("n")
     violations = (
         F.when(kind == "relationship", F.when(F.col("has_parent").isNull(), rows_of_value).otherwise(0))
+        .when(kind.isin(*ROW_KINDS), rows_of_value)
         .when(kind == "accepted_values", F.when(F.array_contains("accepted", F.col("value")), 0).otherwise(1))
         .otherwise(F.when(rows_of_value > 1, 1).otherwise(0))
     )
     judged = counted.join(parents.withColumn("has_parent", F.lit(True)), ["name", "value"], "left").select(
         "name", violations.cast("bigint").alias("violations")
     )
-    failures = reduce(DataFrame.unionByName, [*rows, judged])
-    total = failures.groupBy("name").agg(F.sum("violations").alias("violations"))
+    total = judged.groupBy("name").agg(F.sum("violations").alias("violations"))
     return kinds.join(total, "name", "left").select(
         "name", "kind", "table", "columns", F.coalesce("violations", F.lit(0)).alias("violations")
     )

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ledgerwave.operators import bookings, checks, metrics, movements, recon, snapshots
+from ledgerwave.operators import bookings, careers, checks, metrics, movements, pairs, recon, snapshots
 from ledgerwave.plans import reports
+from ledgerwave.plans.bouts import Bouts, sample_bouts
 from ledgerwave.plans.revenue import Revenue, sample_revenue
 from ledgerwave.session import fresh_path
 from ledgerwave.sources import conform, feeds, layers, sample, spines
@@ -194,7 +195,7 @@ def _day_spine(spark: SparkSession, folder: str) -> DataFrame:
 def _load_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts written as the CSV feed they arrive as, read back typed."""
     path = fresh_path(spark, "accounts") + ".csv"
-    sample.accounts(spark, folder).write.option("header", True).csv(path)
+    sample.accounts(sample.Tables(spark, folder)).write.option("header", True).csv(path)
     return conform.conform(feeds.load_feed(spark, path, feeds.SCHEMAS["accounts"]), "accounts")
 
 
@@ -233,3 +234,71 @@ QUERIES["load_feed"] = _load_feed
 QUERIES["register_sources"] = _register_sources
 QUERIES["materialize_layer"] = _materialize_layer
 QUERIES["upsert_by_key"] = _upsert_by_key
+
+
+# --- paired index ------------------------------------------------------------------
+
+def register_bouts(name: str, build: Callable[[Bouts], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: build(sample_bouts(spark, folder))
+
+
+# The sample's bouts end in 2001 and no fighter in it goes without a knockdown.
+SAMPLE_ACTIVE_SINCE = 2001
+SAMPLE_FEW_KNOCKDOWNS = 0.25
+SAMPLE_FEW_LOSSES = 40
+
+register_bouts("load_bout_tables", lambda b: b.fight_details.join(
+    pairs.bout_dates(b.fights, b.events), "fight_id").groupBy("event_date", "method").agg(F.count("*").alias("bouts")))
+register_bouts("entity_names", lambda b: b.names)
+register_bouts("per_side_totals", lambda b: b.totals)
+register_bouts("pair_opponents", lambda b: b.paired.drop("opponents"))
+register_bouts("loss_flag", lambda b: b.flagged.drop("opponents"))
+register_bouts("chin_index", lambda b: b.raw_index)
+register_bouts("disambiguate_names", lambda b: b.index.select("fighter_url", "fighter"))
+register_bouts("bucket_histogram", lambda b: pairs.bucket_histogram(b.raw_index))
+register_bouts("distribution_summary", lambda b: pairs.distribution_summary(b.raw_index))
+register_bouts("leaderboard_highest", lambda b: pairs.leaderboard_highest(b.index))
+register_bouts("leaderboard_zero", lambda b: pairs.leaderboard_zero(b.index, max_per_fight=SAMPLE_FEW_KNOCKDOWNS))
+register_bouts("leaderboard_survivors", lambda b: pairs.leaderboard_survivors(
+    b.index, max_losses=SAMPLE_FEW_LOSSES))
+register_bouts("weight_class_of", lambda b: b.fighters.select(
+    "fighter_url", "weight", pairs.weight_class_of("weight").alias("division")))
+register_bouts("class_breakdown", lambda b: pairs.class_breakdown(b.raw_index, b.fighters))
+register_bouts("age_at_event", lambda b: b.ages)
+register_bouts("age_curve", lambda b: pairs.age_curve(b.ages, b.paired))
+register_bouts("scatter", lambda b: pairs.scatter(b.index))
+register_bouts("scatter_and_corr", lambda b: pairs.scatter_corr(pairs.scatter(b.raw_index)))
+register_bouts("recent_vs_career_watchlist", lambda b: pairs.recent_vs_career_watchlist(
+    b.paired, b.fights, b.events, b.index, active_since=SAMPLE_ACTIVE_SINCE))
+
+
+def _write_artifact_json(spark: SparkSession, folder: str) -> DataFrame:
+    board = pairs.leaderboard_highest(sample_bouts(spark, folder).index)
+    path = layers.write_artifact_json(board, fresh_path(spark, "artifacts"), "glass_jaws")
+    return spark.read.schema(board.schema).json(path)
+
+
+QUERIES["write_artifact_json"] = _write_artifact_json
+
+
+# --- careers --------------------------------------------------------------------------
+
+def profile_columns(b: Bouts, *names: str) -> DataFrame:
+    return b.profiles.select("fighter_url", "event_date", *names)
+
+
+register_bouts("bouts_clean", lambda b: b.clean)
+register_bouts("side_stats", lambda b: b.stats)
+register_bouts("bout_sides", lambda b: b.sides)
+register_bouts("career_features_asof", lambda b: profile_columns(
+    b, "fights", *careers.CAREER_FEATURES, "opp_accuracy_against"))
+register_bouts("recent5_win_rate", lambda b: profile_columns(b, "recent_win_rate"))
+register_bouts("recent3_features", lambda b: profile_columns(b, *careers.RECENT_FEATURES))
+register_bouts("streaks", lambda b: profile_columns(b, "win_streak", "loss_streak"))
+register_bouts("experience", lambda b: profile_columns(b, "fights").withColumn(
+    "log_fights", F.round(F.log1p(F.col("fights").cast("double")), 9)))
+register_bouts("career_profiles", lambda b: b.final_profiles.withColumn("log_fights", F.round("log_fights", 9)))
+register_bouts("training_pairs", lambda b: b.training.drop(*[f"winner_{f}" for f in careers.METHOD_FEATURES])
+               .withColumn("log_fights", F.round("log_fights", 9)))
+register_bouts("winner_profile", lambda b: b.training.filter("not mirrored").select(
+    "fight_id", "method", *[f"winner_{f}" for f in careers.METHOD_FEATURES]))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +23,12 @@ class Revenue:
     feed: Callable[[str], DataFrame]
     window: MonthWindow = DEFAULT_WINDOW
 
+    _staged: dict[str, DataFrame] = field(default_factory=dict)
+
     def staged(self, name: str) -> DataFrame:
-        return conform(self.feed(name), name)
+        if name not in self._staged:
+            self._staged[name] = conform(self.feed(name), name)
+        return self._staged[name]
 
     @cached_property
     def contract_lines(self) -> DataFrame:
@@ -125,6 +129,7 @@ class Revenue:
 
 def sample_revenue(spark: SparkSession, folder: str) -> Revenue:
     """The warehouse over the sample tables."""
+    tables = sample.Tables(spark, folder)
     return Revenue(
-        lambda name: sample.load(spark, folder, name), MonthWindow(sample.WINDOW_START, sample.WINDOW_END)
+        lambda name: sample.load(tables, name), MonthWindow(sample.WINDOW_START, sample.WINDOW_END)
     )

@@ -27,6 +27,7 @@ def local_session(cores: int = 8, memory: str = "16g", **extra: str) -> SparkSes
         .appName("ledgerwave")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in {**SETTINGS, **extra}.items():

@@ -19,8 +19,18 @@ LAST_SNAPSHOT = "2001-12-31"
 SEGMENT_MONTHS = {"R": 5, "A": 11, "N": 23}
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+class Tables:
+    """The sample tables of one folder; each is opened once."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
 
 def _flag(condition: Column) -> Column:
@@ -41,23 +51,23 @@ def _term_months(order_key: str) -> Column:
     return (F.col(order_key) % 3 + 1).cast("int") * 12
 
 
-def _supplier_count(spark: SparkSession, folder: str) -> Column:
-    return _table(spark, folder, "supplier").agg(F.count("*")).scalar()
+def _supplier_count(tables: Tables) -> Column:
+    return tables["supplier"].agg(F.count("*")).scalar()
 
 
-def _territories(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "nation").join(
-        _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+def _territories(tables: Tables) -> DataFrame:
+    return tables["nation"].join(
+        tables["region"], F.col("n_regionkey") == F.col("r_regionkey")
     )
 
 
-def users(spark: SparkSession, folder: str) -> DataFrame:
+def users(tables: Tables) -> DataFrame:
     team = F.when(F.col("s_suppkey") % 3 == 0, "Enterprise").when(
         F.col("s_suppkey") % 3 == 1, "Mid-Market"
     ).otherwise("SMB")
     return (
-        _table(spark, folder, "supplier")
-        .join(_territories(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
+        tables["supplier"]
+        .join(_territories(tables), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("s_suppkey").alias("user_id"),
             F.col("s_name").alias("user_name"),
@@ -68,11 +78,11 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def accounts(spark: SparkSession, folder: str) -> DataFrame:
-    buyers = _table(spark, folder, "orders").groupBy("o_custkey").agg(F.lit(1).alias("has_order"))
+def accounts(tables: Tables) -> DataFrame:
+    buyers = tables["orders"].groupBy("o_custkey").agg(F.lit(1).alias("has_order"))
     return (
-        _table(spark, folder, "customer")
-        .join(_territories(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
+        tables["customer"]
+        .join(_territories(tables), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left")
         .select(
             F.col("c_custkey").alias("account_id"),
@@ -84,7 +94,7 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
             F.col("c_mktsegment").alias("segment"),
             F.concat(F.lit("Tier "), F.col("c_custkey") % 3 + 1).alias("account_tier"),
             F.when(F.col("c_custkey") % 2 == 0, "USD").otherwise("EUR").alias("account_currency"),
-            (F.col("c_custkey") % _supplier_count(spark, folder)).alias("owner_id"),
+            (F.col("c_custkey") % _supplier_count(tables)).alias("owner_id"),
             F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int")).alias(
                 "created_date"
             ),
@@ -93,10 +103,10 @@ def accounts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
+def products(tables: Tables) -> DataFrame:
     product_id = F.col("product_id")
     return (
-        _table(spark, folder, "part")
+        tables["part"]
         .groupBy((F.col("p_partkey") % 12).alias("product_id"))
         .agg(
             F.min("p_name").alias("product_name"),
@@ -118,7 +128,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def opportunities(spark: SparkSession, folder: str) -> DataFrame:
+def opportunities(tables: Tables) -> DataFrame:
     kind, won = F.col("o_orderkey") % 10, (F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 10 != 9)
     opportunity_type = (
         F.when(kind <= 1, "New Business")
@@ -130,10 +140,10 @@ def opportunities(spark: SparkSession, folder: str) -> DataFrame:
     stage = (
         F.when(won, "Closed Won").when(F.col("o_orderstatus") != "P", "Closed Lost").otherwise("Proposal")
     )
-    return _table(spark, folder, "orders").select(
+    return tables["orders"].select(
         F.col("o_orderkey").alias("opportunity_id"),
         F.col("o_custkey").alias("account_id"),
-        (F.col("o_orderkey") % _supplier_count(spark, folder)).alias("owner_id"),
+        (F.col("o_orderkey") % _supplier_count(tables)).alias("owner_id"),
         F.concat(F.lit("Deal "), "o_orderkey").alias("opportunity_name"),
         opportunity_type.alias("opportunity_type"),
         stage.alias("stage_name"),
@@ -151,9 +161,9 @@ def opportunities(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def opportunity_line_items(spark: SparkSession, folder: str) -> DataFrame:
+def opportunity_line_items(tables: Tables) -> DataFrame:
     sign = F.when(F.col("l_orderkey") % 10 == 8, -1).otherwise(1)
-    return _table(spark, folder, "lineitem").select(
+    return tables["lineitem"].select(
         _line_key().alias("opportunity_line_id"),
         F.col("l_orderkey").alias("opportunity_id"),
         (F.col("l_partkey") % 12).alias("product_id"),
@@ -165,10 +175,10 @@ def opportunity_line_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def contracts(spark: SparkSession, folder: str) -> DataFrame:
+def contracts(tables: Tables) -> DataFrame:
     term = _term_months("o_orderkey")
     return (
-        _table(spark, folder, "orders")
+        tables["orders"]
         .filter(F.col("o_orderkey") % 50 != 49)
         .select(
             F.col("o_orderkey").cast("string").alias("contract_id"),
@@ -185,16 +195,16 @@ def contracts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def subscriptions(spark: SparkSession, folder: str) -> DataFrame:
+def subscriptions(tables: Tables) -> DataFrame:
     start = month_floor(F.col("l_shipdate").cast("date"))
     months = (
         F.when(F.col("l_returnflag") == "R", SEGMENT_MONTHS["R"])
         .when(F.col("l_returnflag") == "A", SEGMENT_MONTHS["A"])
         .otherwise(SEGMENT_MONTHS["N"])
     )
-    lines = _table(spark, folder, "lineitem").filter(F.col("l_shipdate").isNotNull())
+    lines = tables["lineitem"].filter(F.col("l_shipdate").isNotNull())
     return lines.join(
-        _table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        tables["orders"], F.col("l_orderkey") == F.col("o_orderkey")
     ).select(
         _line_key().alias("subscription_id"),
         F.col("l_orderkey").cast("string").alias("contract_id"),
@@ -211,8 +221,8 @@ def subscriptions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def erp_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "customer").select(
+def erp_customers(tables: Tables) -> DataFrame:
+    return tables["customer"].select(
         F.col("c_custkey").alias("ns_customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("c_custkey").alias("sfdc_account_external_id"),
@@ -221,8 +231,8 @@ def erp_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def erp_items(spark: SparkSession, folder: str) -> DataFrame:
-    return products(spark, folder).select(
+def erp_items(tables: Tables) -> DataFrame:
+    return products(tables).select(
         F.concat(F.lit("ITEM-"), "product_id").alias("ns_item_id"),
         F.col("product_name").alias("item_name"),
         F.when(F.col("is_recurring") == 1, "Service").otherwise("Non-inventory").alias("item_type"),
@@ -240,9 +250,9 @@ def _order_amount() -> Column:
     )
 
 
-def erp_orders(spark: SparkSession, folder: str) -> DataFrame:
+def erp_orders(tables: Tables) -> DataFrame:
     return (
-        _table(spark, folder, "orders")
+        tables["orders"]
         .filter(F.col("o_orderkey") % 50 != 0)
         .select(
             F.col("o_orderkey").alias("sales_order_id"),
@@ -259,9 +269,9 @@ def erp_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _erp_lines(spark: SparkSession, folder: str, line_id: str, parent_id: str) -> DataFrame:
+def _erp_lines(tables: Tables, line_id: str, parent_id: str) -> DataFrame:
     return (
-        _table(spark, folder, "lineitem")
+        tables["lineitem"]
         .filter(F.col("l_orderkey") % 50 != 0)
         .select(
             _line_key().alias(line_id),
@@ -274,16 +284,16 @@ def _erp_lines(spark: SparkSession, folder: str, line_id: str, parent_id: str) -
     )
 
 
-def erp_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _erp_lines(spark, folder, "sales_order_line_id", "sales_order_id")
+def erp_order_lines(tables: Tables) -> DataFrame:
+    return _erp_lines(tables, "sales_order_line_id", "sales_order_id")
 
 
-def erp_invoices(spark: SparkSession, folder: str) -> DataFrame:
+def erp_invoices(tables: Tables) -> DataFrame:
     total = F.when(
         F.col("sales_order_id") % 50 == 4,
         (F.col("order_total") * F.lit("0.7").cast("decimal(2,1)")).cast("decimal(18,2)"),
     ).otherwise(F.col("order_total"))
-    return erp_orders(spark, folder).select(
+    return erp_orders(tables).select(
         F.col("sales_order_id").alias("invoice_id"),
         "ns_customer_id",
         "sales_order_id",
@@ -295,11 +305,11 @@ def erp_invoices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def erp_invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _erp_lines(spark, folder, "invoice_line_id", "invoice_id")
+def erp_invoice_lines(tables: Tables) -> DataFrame:
+    return _erp_lines(tables, "invoice_line_id", "invoice_id")
 
 
-def usage_monthly(spark: SparkSession, folder: str) -> DataFrame:
+def usage_monthly(tables: Tables) -> DataFrame:
     """Units consumed per covered month, in tenths until the last step to stay exact."""
     start = month_floor(F.col("l_shipdate").cast("date"))
     months = (
@@ -313,9 +323,9 @@ def usage_monthly(spark: SparkSession, folder: str) -> DataFrame:
         4 + ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 7 + F.month("usage_month") * 3) % 10
     )
     return (
-        _table(spark, folder, "lineitem")
+        tables["lineitem"]
         .filter((F.col("l_linestatus") == "O") & (first <= last))
-        .join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(tables["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("usage_month", F.explode(F.sequence(first, last, F.expr("interval 1 month"))))
         .groupBy(
             F.col("o_custkey").alias("account_id"), (F.col("l_partkey") % 5).alias("product_id"), "usage_month"
@@ -358,19 +368,19 @@ def _fighter_url(key: str) -> Column:
     return F.concat(F.lit("f/"), key)
 
 
-def _roster(spark: SparkSession, folder: str) -> DataFrame:
+def _roster(tables: Tables) -> DataFrame:
     first = F.element_at(F.array(*[F.lit(n) for n in FIRST_NAMES]), (F.col("s_suppkey") % 7 + 1).cast("int"))
-    return _table(spark, folder, "supplier").select(
+    return tables["supplier"].select(
         "s_suppkey",
         _fighter_url("s_suppkey").alias("fighter_url"),
         F.concat_ws(" ", first, "s_nationkey").alias("fighter_name"),
     )
 
 
-def fighters(spark: SparkSession, folder: str) -> DataFrame:
+def fighters(tables: Tables) -> DataFrame:
     born = F.date_sub(F.lit("1978-01-01").cast("date"), (F.col("s_suppkey") * 97 % 8000).cast("int"))
     key = F.col("s_suppkey")
-    return _roster(spark, folder).select(
+    return _roster(tables).select(
         "fighter_url",
         "fighter_name",
         F.concat((key % 120 + 115).cast("string"), F.lit(" lbs.")).alias("weight"),
@@ -380,25 +390,25 @@ def fighters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _bout_suppliers(spark: SparkSession, folder: str) -> DataFrame:
+def _bout_suppliers(tables: Tables) -> DataFrame:
     """First and second fighter of every order that has at least two suppliers."""
     return (
-        _table(spark, folder, "lineitem")
+        tables["lineitem"]
         .groupBy("l_orderkey")
         .agg(F.min("l_suppkey").alias("s1"), F.max("l_suppkey").alias("s2"))
         .filter(F.col("s1") != F.col("s2"))
     )
 
 
-def fight_details(spark: SparkSession, folder: str) -> DataFrame:
+def fight_details(tables: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     method = F.when(key % 3 == 0, "KO/TKO").when(key % 3 == 1, "Submission").otherwise("Decision")
-    roster = _roster(spark, folder)
+    roster = _roster(tables)
     one = roster.select(F.col("s_suppkey").alias("s1"), F.col("fighter_name").alias("fighter1_name"))
     two = roster.select(F.col("s_suppkey").alias("s2"), F.col("fighter_name").alias("fighter2_name"))
     return (
-        _bout_suppliers(spark, folder)
-        .join(_table(spark, folder, "orders"), F.col("l_orderkey") == key)
+        _bout_suppliers(tables)
+        .join(tables["orders"], F.col("l_orderkey") == key)
         .join(one, "s1")
         .join(two, "s2")
         .select(
@@ -419,30 +429,30 @@ def fight_details(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def fights(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "orders").select(
+def fights(tables: Tables) -> DataFrame:
+    return tables["orders"].select(
         F.col("o_orderkey").cast("string").alias("fight_id"),
         F.concat(F.lit("e/"), _order_date().cast("string")).alias("event_id"),
     )
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
+def events(tables: Tables) -> DataFrame:
     return (
-        _table(spark, folder, "orders")
+        tables["orders"]
         .select(_order_date().alias("event_date"))
         .distinct()
         .select(F.concat(F.lit("e/"), F.col("event_date").cast("string")).alias("event_id"), "event_date")
     )
 
 
-def round_stats(spark: SparkSession, folder: str) -> DataFrame:
+def round_stats(tables: Tables) -> DataFrame:
     landed = F.col("l_quantity").cast("int")
     part = F.col("l_partkey")
     third = F.floor(landed / 3).cast("int")
     quarter = F.floor(landed / 4).cast("int")
     return (
-        _table(spark, folder, "lineitem")
-        .join(_bout_suppliers(spark, folder), "l_orderkey")
+        tables["lineitem"]
+        .join(_bout_suppliers(tables), "l_orderkey")
         .filter((F.col("l_suppkey") == F.col("s1")) | (F.col("l_suppkey") == F.col("s2")))
         .select(
             F.col("l_orderkey").cast("string").alias("fight_id"),
@@ -476,6 +486,6 @@ BOUT_TABLES = {
 }
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def load(tables: Tables, name: str) -> DataFrame:
     """One raw feed or bout table by its logical name."""
-    return {**FEEDS, **BOUT_TABLES}[name](spark, folder)
+    return {**FEEDS, **BOUT_TABLES}[name](tables)

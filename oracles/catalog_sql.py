@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerwave.operators.checks import GENERIC_CHECKS, Check
+from oracles import bout_sql
 from oracles.ctes import assemble
 
 FINAL: dict[str, str] = {}
@@ -351,5 +352,106 @@ FINAL["upsert_by_key"] = """
                            WHERE account_id % 7 = 0 AND cast(contract_id AS bigint) % 2 = 0)"""
 
 
+# --- paired index -----------------------------------------------------------------------
+
+FINAL["load_bout_tables"] = """
+  SELECT event_date, method, count(*) AS bouts FROM bt_fight_details JOIN bt_dates USING (fight_id) GROUP BY 1, 2"""
+FINAL["entity_names"] = "SELECT * FROM names"
+FINAL["per_side_totals"] = "SELECT * FROM side_totals"
+FINAL["pair_opponents"] = "SELECT * FROM paired"
+FINAL["loss_flag"] = "SELECT * FROM flagged"
+FINAL["chin_index"] = "SELECT * FROM chin_raw"
+FINAL["disambiguate_names"] = "SELECT fighter_url, fighter FROM chin"
+RATE_RANGES = [
+    (1, "0.00", 0.0, 0.001), (2, "0.01-0.10", 0.001, 0.1001), (3, "0.11-0.20", 0.1001, 0.2001),
+    (4, "0.21-0.30", 0.2001, 0.3001), (5, "0.31-0.40", 0.3001, 0.4001), (6, "0.41-0.50", 0.4001, 0.5001),
+    (7, "0.51-0.70", 0.5001, 0.7001), (8, "0.71+", 0.7001, 100.0),
+]
+RANGE_VALUES = ", ".join(f"({p}, '{n}', {lo}::double, {hi}::double)" for p, n, lo, hi in RATE_RANGES)
+FINAL["bucket_histogram"] = f"""
+  SELECT cast(b.position AS integer) AS position, b.bucket, count(c.fighter_url) AS count,
+         round(count(c.fighter_url) / nullif((SELECT count(*) FROM chin_raw WHERE fights >= 5), 0) * 100, 1)
+           AS percentage
+  FROM (VALUES {RANGE_VALUES}) AS b(position, bucket, low, high)
+  LEFT JOIN (SELECT * FROM chin_raw WHERE fights >= 5) c ON c.kd_per_fight >= b.low AND c.kd_per_fight < b.high
+  GROUP BY 1, 2"""
+FINAL["distribution_summary"] = """
+  SELECT count(*) AS total_fighters,
+         round(cast(sum(cast(kd_per_fight AS decimal(18,3))) AS double) / count(*), 3) AS mean,
+         list_sort(list(kd_per_fight))[count(*) // 2 + 1] AS median,
+         count(*) FILTER (kd_per_fight < 0.001) AS zero_count,
+         round(count(*) FILTER (kd_per_fight < 0.001) / count(*) * 100, 1) AS zero_pct
+  FROM chin_raw WHERE fights >= 5"""
+FINAL["leaderboard_highest"] = """
+  SELECT * FROM chin WHERE fights >= 10 ORDER BY kd_per_fight DESC, kd_absorbed DESC, fighter_url LIMIT 15"""
+FINAL["write_artifact_json"] = FINAL["leaderboard_highest"]
+FINAL["leaderboard_zero"] = """
+  SELECT * FROM chin WHERE fights >= 10 AND kd_absorbed <= fights * 0.25::double
+  ORDER BY fights DESC, fighter_url LIMIT 15"""
+FINAL["leaderboard_survivors"] = """
+  SELECT * FROM chin WHERE fights >= 10 AND kd_absorbed >= 3 AND ko_losses <= 40
+  ORDER BY kd_absorbed DESC, kd_per_fight DESC, fighter_url LIMIT 20"""
+FINAL["weight_class_of"] = """
+  SELECT f.fighter_url, f.weight, c.division FROM bt_fighters f LEFT JOIN fighter_class c USING (fighter_url)"""
+FINAL["class_breakdown"] = """
+  SELECT division, count(*) AS fighters, cast(sum(kd_absorbed) AS bigint) AS kd_absorbed,
+         cast(sum(fights) AS bigint) AS fights, cast(sum(rounds) AS bigint) AS rounds,
+         round(sum(kd_absorbed) / sum(fights), 3) AS kd_per_fight,
+         round(sum(kd_absorbed) / sum(rounds), 4) AS kd_per_round,
+         round(sum(ko_losses) / sum(fights) * 100, 1) AS ko_loss_pct
+  FROM chin_raw JOIN fighter_class USING (fighter_url) WHERE fights >= 5 GROUP BY 1"""
+FINAL["age_at_event"] = "SELECT * FROM ages"
+FINAL["age_curve"] = """
+  SELECT bucket, count(*) AS fights, cast(sum(kd_absorbed) AS bigint) AS kd_absorbed,
+         round(sum(kd_absorbed) / count(*), 3) AS kd_per_fight
+  FROM (SELECT a.age_at_fight, p.kd_absorbed FROM ages a JOIN paired p USING (fighter_url, fight_id)
+        WHERE a.age_at_fight BETWEEN 18 AND 50)
+  JOIN (VALUES ('18-24', 18::double, 24.999::double), ('25-27', 25, 27.999), ('28-30', 28, 30.999),
+               ('31-33', 31, 33.999), ('34-36', 34, 36.999), ('37-39', 37, 39.999), ('40+', 40, 100))
+    AS b(bucket, low, high) ON age_at_fight BETWEEN low AND high
+  GROUP BY 1 HAVING count(*) >= 50"""
+SCATTER = """SELECT fighter_url, fighter, fights, kd_absorbed, kd_per_fight, ko_losses,
+         round(ko_losses / fights * 100, 1) AS ko_loss_pct FROM {} WHERE fights >= 10"""
+FINAL["scatter"] = SCATTER.format("chin")
+FINAL["scatter_and_corr"] = f"""
+  SELECT count(*) AS fighters, round(corr(kd_per_fight, ko_loss_pct), 3) AS pearson_r
+  FROM ({SCATTER.format('chin_raw')})"""
+FINAL["recent_vs_career_watchlist"] = """
+  SELECT r.fighter_url, c.fighter, cast(r.last_fight AS varchar) AS last_fight, r.recent_kd, r.recent_fights,
+         round(r.recent_kd / r.recent_fights, 2) AS recent_kd_per_fight, c.kd_per_fight AS career_kd_per_fight,
+         c.fights AS career_fights, c.ko_losses AS career_ko_losses
+  FROM (SELECT fighter_url, max(event_date) AS last_fight,
+               cast(sum(CASE WHEN rn <= 5 THEN kd_absorbed ELSE 0 END) AS bigint) AS recent_kd,
+               count(CASE WHEN rn <= 5 THEN 1 END) AS recent_fights
+        FROM (SELECT *, row_number() OVER (PARTITION BY fighter_url ORDER BY event_date DESC, fight_id DESC) AS rn
+              FROM paired JOIN bt_dates USING (fight_id)) GROUP BY 1) r
+  JOIN chin c USING (fighter_url)
+  WHERE r.recent_fights >= 3 AND extract(year FROM r.last_fight) >= 2001 AND r.recent_kd / r.recent_fights >= 0.6
+  ORDER BY recent_kd_per_fight DESC, fighter_url LIMIT 12"""
+
+# --- careers ------------------------------------------------------------------------------
+
+CAREER = [f for f in bout_sql.FEATURES if not f.startswith(("recent", "win_streak", "loss_streak", "log"))]
+
+
+def profile(*columns: str) -> str:
+    return f"SELECT fighter_url, event_date, {', '.join(columns)} FROM profile_asof"
+
+
+FINAL["bouts_clean"] = "SELECT * FROM clean"
+FINAL["side_stats"] = "SELECT * FROM stats"
+FINAL["bout_sides"] = "SELECT * FROM sides"
+FINAL["career_features_asof"] = profile("fights", *CAREER)
+FINAL["recent5_win_rate"] = profile("recent_win_rate")
+FINAL["recent3_features"] = profile(*[f for f in bout_sql.FEATURES if f.startswith("recent_") and "win" not in f])
+FINAL["streaks"] = profile("win_streak", "loss_streak")
+FINAL["experience"] = profile("fights", "round(log_fights, 9) AS log_fights")
+FINAL["career_profiles"] = "SELECT * REPLACE (round(log_fights, 9) AS log_fights) FROM profile_final"
+WINNER = [f"winner_{f}" for f in bout_sql.METHOD_FEATURES]
+FINAL["training_pairs"] = f"""
+  SELECT * EXCLUDE ({', '.join(WINNER)}) REPLACE (round(log_fights, 9) AS log_fights) FROM pairs"""
+FINAL["winner_profile"] = f"SELECT fight_id, method, {', '.join(WINNER)} FROM pairs WHERE NOT mirrored"
+
+
 def oracles() -> dict[str, str]:
     return {name: assemble(sql) for name, sql in FINAL.items()}
