@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ledgerwave.operators import bookings, careers, checks, metrics, movements, pairs, recon, snapshots
+from ledgerwave.operators import (
+    bookings,
+    cards,
+    careers,
+    checks,
+    matchup,
+    metrics,
+    models,
+    movements,
+    pairs,
+    recon,
+    snapshots,
+)
 from ledgerwave.plans import reports
 from ledgerwave.plans.bouts import Bouts, sample_bouts
 from ledgerwave.plans.revenue import Revenue, sample_revenue
-from ledgerwave.session import fresh_path
+from ledgerwave.session import ensure_checkpoint_dir, fresh_path
 from ledgerwave.sources import conform, feeds, layers, sample, spines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,3 +315,159 @@ register_bouts("training_pairs", lambda b: b.training.drop(*[f"winner_{f}" for f
                .withColumn("log_fights", F.round("log_fights", 9)))
 register_bouts("winner_profile", lambda b: b.training.filter("not mirrored").select(
     "fight_id", "method", *[f"winner_{f}" for f in careers.METHOD_FEATURES]))
+
+
+# --- cards and match-ups ------------------------------------------------------------------
+
+# The sample's names are a first name and a number, so the first word finds someone at any scale.
+CARD = [("ANA 0", "bo somebody"), ("Cy 7", "Di 3"), ("Ed 11", "Zoltan Nobody"), ("Flo 20", "gus 5"), ("Gus 1", "Ana 2")]
+SAMPLE_TODAY = "2002-01-01"
+
+
+def _resolve_entity(spark: SparkSession, folder: str) -> DataFrame:
+    b = sample_bouts(spark, folder)
+    return cards.resolve_entity(spark, cards.all_names(b.fight_details), [name for bout in CARD for name in bout])
+
+
+def _select_card(spark: SparkSession, folder: str) -> DataFrame:
+    b = sample_bouts(spark, folder)
+    return cards.select_card(spark, cards.all_names(b.fight_details), b.clean, CARD)
+
+
+def _reasoning_text(b: Bouts) -> DataFrame:
+    """Why the winner of each bout would have been picked, from both whole careers."""
+    fields = [c for c in b.final_profiles.columns if c not in ("fighter_url", "event_date")]
+
+    def side(n: int) -> DataFrame:
+        return b.final_profiles.select(F.col("fighter_url").alias(f"fighter{n}_url"), F.struct(*fields).alias(f"p{n}"))
+
+    first = F.col("winner") == "fighter1"
+    winner = F.when(first, F.col("p1")).otherwise(F.col("p2"))
+    loser = F.when(first, F.col("p2")).otherwise(F.col("p1"))
+    name = F.when(first, F.col("fighter1_name")).otherwise(F.col("fighter2_name"))
+    chance = winner["win_rate"] / F.nullif(winner["win_rate"] + loser["win_rate"], F.lit(0.0))
+    return (
+        b.clean.join(side(1), "fighter1_url")
+        .join(side(2), "fighter2_url")
+        .withColumns({"w": winner, "l": loser, "name": name, "prob": F.coalesce(chance, F.lit(0.5))})
+        .select(
+            "fight_id",
+            cards.confidence(F.col("prob")).alias("confidence"),
+            cards.reasoning_text(F.col("w"), F.col("l"), F.col("name"), F.col("method"), F.col("prob")).alias(
+                "reasoning"
+            ),
+        )
+    )
+
+
+def _shrink_to_global(b: Bouts) -> DataFrame:
+    sums = matchup.round_sums(b.round_stats)
+    fights = b.totals.groupBy("fighter_url").agg(F.count("*").alias("fights"))
+    return matchup.shrink_to_global(
+        matchup.round_distributions(sums), matchup.global_distributions(sums), fights
+    )
+
+
+def _matchup_modifiers(version: str) -> Callable[[Bouts], DataFrame]:
+    def build(b: Bouts) -> DataFrame:
+        card = b.fight_details.select("fight_id", "fighter1_url", "fighter2_url")
+        corner = matchup.corners(b.final_profiles, b.fighters, SAMPLE_TODAY, version)
+        return matchup.matchup_modifiers(card, corner, matchup.class_finish_rates(b.clean, b.fighters), version)
+
+    return build
+
+
+QUERIES["resolve_entity"] = _resolve_entity
+QUERIES["select_card"] = _select_card
+register_bouts("reasoning_text", _reasoning_text)
+register_bouts("round_distributions", lambda b: matchup.round_distributions(matchup.round_sums(b.round_stats)))
+register_bouts("global_distributions", lambda b: matchup.global_distributions(matchup.round_sums(b.round_stats)))
+register_bouts("shrink_to_global", _shrink_to_global)
+register_bouts("form_blend", lambda b: b.profiles.select("fighter_url", "event_date", *[
+    c.alias(n) for n, c in matchup.form_blend().items()]))
+register_bouts("class_finish_rates", lambda b: matchup.class_finish_rates(b.clean, b.fighters))
+register_bouts("matchup_modifiers", _matchup_modifiers("v2.3"))
+register_bouts("matchup_modifiers_v2", _matchup_modifiers("v2"))
+register_bouts("age_thresholds", lambda b: b.fighters.withColumn(
+    "limits", matchup.age_thresholds(pairs.weight_class_of("weight"))).select(
+        "fighter_url", "weight", "limits.chin", "limits.fatigue"))
+register_bouts("round_scorecard", lambda b: matchup.round_scorecard(b.round_stats, b.fight_details))
+register_bouts("decision_outcome", lambda b: matchup.decision_outcome(
+    matchup.round_scorecard(b.round_stats, b.fight_details)))
+
+
+# --- models ----------------------------------------------------------------------------------
+
+# Small ensembles: these queries show the training flow, not the best score.
+TREES, EPOCHS, METHOD_TREES = 5, 20, 20
+
+
+def _training_table(spark: SparkSession, folder: str) -> tuple[Bouts, DataFrame]:
+    """The training pairs, written once; every fit reads the table and not the plan behind it."""
+    ensure_checkpoint_dir(spark)
+    b = sample_bouts(spark, folder)
+    written = layers.materialize_layer(spark, "training", {"pairs": b.training}, fresh_path(spark, "models"))
+    return b, written["pairs"]
+
+
+def _winner_candidates(pairs_table: DataFrame) -> dict[str, Estimator]:
+    return models.candidates(pairs_table.count(), TREES, EPOCHS)
+
+
+def _train_winner(spark: SparkSession, folder: str) -> DataFrame:
+    _, table = _training_table(spark, folder)
+    return models.scores_frame(spark, models.train_winner(table, _winner_candidates(table)))
+
+
+def _interactions_select(spark: SparkSession, folder: str) -> DataFrame:
+    _, table = _training_table(spark, folder)
+    return models.interactions_select(table)
+
+
+def _stack(spark: SparkSession, folder: str) -> DataFrame:
+    _, table = _training_table(spark, folder)
+    everything = _winner_candidates(table)
+    chosen = {name: everything[name] for name in ("GradientBoosting", "RandomForest", "LogisticReg")}
+    model, unseen = models.stack(table, chosen)
+    return models.fold_accuracy(model.meta.transform(unseen))
+
+
+def _calibrate(spark: SparkSession, folder: str) -> DataFrame:
+    _, table = _training_table(spark, folder)
+    forest = _winner_candidates(table)["RandomForest"]
+    scored = models.out_of_fold(models.with_folds(table), forest)
+    calibrated = models.calibrate(scored).transform(scored)
+    return calibrated.groupBy(F.round("calibrated", 2).alias("probability")).agg(
+        F.count("*").alias("rows"), F.avg("label").alias("share_won")
+    )
+
+
+def _train_method(spark: SparkSession, folder: str) -> DataFrame:
+    _, table = _training_table(spark, folder)
+    rows = models.method_rows(table)
+    predicted = models.predict_method(models.train_method(table, METHOD_TREES), rows.drop("label", "weight"))
+    return predicted.groupBy("method", "predicted_method").agg(F.count("*").alias("bouts"))
+
+
+def _predict_card(spark: SparkSession, folder: str) -> DataFrame:
+    """The bouts of the last event, predicted with saved and reloaded models."""
+    b, table = _training_table(spark, folder)
+    logistic = {"LogisticReg": _winner_candidates(table)["LogisticReg"]}
+    saved = fresh_path(spark, "saved")
+    models.save_models(
+        spark, saved, models.train_winner(table, logistic), models.train_method(table, METHOD_TREES)
+    )
+    winner, method = models.load_models(spark, saved)
+    last_event = b.clean.agg(F.max("event_date")).scalar()
+    card = b.clean.filter(F.col("event_date") == last_event).select(
+        "fighter1_url", "fighter2_url", F.col("fighter1_name").alias("fighter1"), F.col("fighter2_name").alias("fighter2")
+    )
+    return models.predict_card(card, b.final_profiles, winner, method)
+
+
+QUERIES["train_winner"] = _train_winner
+QUERIES["interactions_select"] = _interactions_select
+QUERIES["stack"] = _stack
+QUERIES["calibrate"] = _calibrate
+QUERIES["train_method"] = _train_method
+QUERIES["predict_card"] = _predict_card

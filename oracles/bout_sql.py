@@ -242,3 +242,226 @@ BLOCKS["pairs"] = f"""
   FROM clean b JOIN profile_asof p1 ON p1.fighter_url = b.fighter1_url AND p1.event_date = b.event_date
   JOIN profile_asof p2 ON p2.fighter_url = b.fighter2_url AND p2.event_date = b.event_date,
   (VALUES (false), (true)) AS m(mirrored)"""
+
+# --- cards and match-ups -------------------------------------------------------------
+
+ROUND_STATS = (*STATS, "ctrl_seconds")
+BLOCKS["round_long"] = f"""
+  SELECT fighter_url, CASE round WHEN 1 THEN 'r1' WHEN 2 THEN 'r2' ELSE 'r3plus' END AS bucket, stat, value
+  FROM (SELECT fighter_url, round, unnest([{', '.join(f"'{s}'" for s in ROUND_STATS)}]) AS stat,
+               unnest([{', '.join(f'cast({s} AS bigint)' for s in STATS)},
+                       cast({SECONDS.format('control_time')} AS bigint)]) AS value
+        FROM bt_round_stats)"""
+MEAN_STD = """count(*) AS n, cast(sum(value) AS double) / count(*) AS mean,
+         CASE WHEN count(*) > 1 THEN sqrt(cast(count(*) * sum(value * value) - sum(value) * sum(value) AS double)
+           / (cast(count(*) AS double) * cast(count(*) - 1 AS double))) ELSE 0.0 END AS std"""
+BLOCKS["round_dist"] = f"SELECT fighter_url, bucket, stat, {MEAN_STD} FROM round_long GROUP BY 1, 2, 3"
+BLOCKS["global_dist"] = f"SELECT bucket, stat, {MEAN_STD} FROM round_long GROUP BY 1, 2"
+BLOCKS["corner"] = """
+  SELECT p.*, try_cast(regexp_extract(replace(f.reach, '"', ''), '([\\d.]+)', 1) AS double) AS reach,
+         lower(f.stance) AS stance, c.division AS weight_class,
+         floor(date_diff('day', cast(try_strptime(f.dob, '%b %d, %Y') AS date), date '2002-01-01') / 365.25::double)
+           AS age,
+         sig_spm * 0.6::double + recent_sig_spm * 0.4::double AS eff_sig_spm,
+         sig_acc * 0.6::double + recent_sig_acc * 0.4::double AS eff_sig_acc,
+         td_per_fight * 0.6::double + recent_td_per_fight * 0.4::double AS eff_td_per_fight
+  FROM profile_final p JOIN bt_fighters f USING (fighter_url) LEFT JOIN fighter_class c USING (fighter_url)"""
+BLOCKS["finish_rates"] = """
+  SELECT division AS weight_class, count(*) AS fights,
+         cast(count(*) FILTER (method = 'KO/TKO') AS double) / count(*) AS ko_rate,
+         cast(count(*) FILTER (method = 'Submission') AS double) / count(*) AS sub_rate,
+         count(*) FILTER (method = 'KO/TKO') AS ko, count(*) FILTER (method = 'Submission') AS sub
+  FROM clean JOIN fighter_class ON fighter_url = fighter1_url GROUP BY 1"""
+BLOCKS["multipliers"] = """
+  SELECT weight_class, fights, ko_rate, sub_rate,
+         ko_rate / (SELECT cast(sum(ko) AS double) / cast(sum(fights) AS double) FROM finish_rates) AS ko_mult,
+         sub_rate / (SELECT cast(sum(sub) AS double) / cast(sum(fights) AS double) FROM finish_rates) AS sub_mult
+  FROM finish_rates"""
+
+
+def clamp(x: str, low: float, high: float) -> str:
+    return f"greatest({low}::double, least({high}::double, {x}))"
+
+
+def modifiers(version: str) -> str:
+    """One row per bout; ``a`` and ``b`` are the two corners."""
+    latest = version == "v2.3"
+
+    def skill(c: str) -> str:
+        if not latest:
+            return f"{c}.win_rate * 0.7::double + {c}.recent_win_rate * 0.3::double"
+        spread = clamp(f"{c}.strike_differential_spm / 5", -0.3, 0.3)
+        return f"{c}.win_rate * 0.5::double + {c}.recent_win_rate * 0.2::double + {spread} * 0.3::double"
+
+    def edge(c: str, o: str) -> str:
+        return clamp(f"1 + (({skill(c)}) - ({skill(o)})) * 2.5::double", 0.6, 1.8)
+
+    def reach(c: str, o: str) -> str:
+        d = f"({c}.reach - {o}.reach)"
+        return (
+            f"CASE WHEN {d} > 3 THEN 1.08 WHEN {d} > 0 THEN 1.03 WHEN {d} < -3 THEN 0.95 WHEN {d} < 0 THEN 0.97"
+            " ELSE 1.0 END::double"
+        )
+
+    stance1 = """CASE WHEN a.stance = 'switch' THEN 1.02 WHEN b.stance = 'switch' THEN 0.98
+      WHEN a.stance = 'southpaw' AND b.stance <> 'southpaw' THEN 1.03 ELSE 1.0 END::double"""
+    stance2 = """CASE WHEN a.stance = 'switch' THEN 0.98 WHEN b.stance = 'switch' THEN 1.02
+      WHEN b.stance = 'southpaw' AND a.stance <> 'southpaw' THEN 1.03 ELSE 1.0 END::double"""
+    limit = """CASE {c}.weight_class WHEN 'Heavyweight' THEN 39 WHEN 'Light Heavyweight' THEN 38
+      WHEN 'Middleweight' THEN 37 WHEN 'Welterweight' THEN 36 WHEN 'Lightweight' THEN 35 WHEN 'Featherweight' THEN 35
+      WHEN 'Bantamweight' THEN 34 WHEN 'Flyweight' THEN 34 ELSE 36 END"""
+
+    def loss(c: str) -> str:
+        over = f"(coalesce({c}.age, 30) - {limit.format(c=c)})"
+        return f"CASE WHEN {over} > 0 THEN cast(least({over} * 3, 15) AS double) ELSE 0.0::double END"
+
+    def absorb(c: str) -> str:
+        return clamp(f"1.0::double + ({c}.sig_str_absorbed_spm - 3.55::double) * 0.08::double", 0.7, 1.3)
+
+    def defense(c: str) -> str:
+        return clamp(f"{c}.opp_accuracy_against / 0.44::double", 0.85, 1.15)
+
+    def boost(c: str, o: str) -> str:
+        mismatch = clamp(f"1.0::double + ({c}.eff_td_per_fight - 1.5::double) * 0.3::double", 1.0, 2.0)
+        seek = clamp(f"{edge(c, o)} * 0.8::double", 1.0, 1.5)
+        return (
+            f"(CASE WHEN {c}.eff_td_per_fight > 1.5 AND {o}.ground_pct < 0.15 THEN {mismatch} ELSE 1.0::double END)"
+            f" * (CASE WHEN {edge(c, o)} > 1.1::double THEN {seek} ELSE 1.0::double END)"
+            f" * {clamp(f'{c}.ground_pct / 0.15::double', 0.5, 2.0)}"
+        )
+
+    def success(c: str, o: str) -> str:
+        gap = f"({c}.td_acc - (1.0::double - {o}.td_defense))"
+        return f"CASE WHEN {gap} > 0.1::double THEN {clamp(f'1.0::double + {gap} * 0.8::double', 1.0, 1.4)} ELSE 1.0::double END"
+
+    columns = {
+        "f1_reach_mod": reach("a", "b"), "f2_reach_mod": reach("b", "a"),
+        "f1_skill": skill("a"), "f2_skill": skill("b"), "f1_edge": edge("a", "b"), "f2_edge": edge("b", "a"),
+    }
+    later = {
+        "f1_stance_mod": stance1, "f2_stance_mod": stance2,
+        "ko_mult": "coalesce(m.ko_mult, 1.0)", "sub_mult": "coalesce(m.sub_mult, 1.0)",
+        "f1_absorb_mod": absorb("a"), "f2_absorb_mod": absorb("b"),
+        "f1_defense_acc_mod": defense("a"), "f2_defense_acc_mod": defense("b"),
+        "f1_threshold_loss": loss("a"), "f2_threshold_loss": loss("b"),
+        "f1_td_boost": boost("a", "b"), "f2_td_boost": boost("b", "a"),
+        "f1_td_success_boost": success("a", "b"), "f2_td_success_boost": success("b", "a"),
+    }
+    if not latest:
+        later = {n: "0.0::double" if n.endswith("loss") else "1.0::double" for n in later}
+    chosen = ", ".join(f"{e} AS {n}" for n, e in {**columns, **later}.items())
+    return f"""
+  SELECT d.fight_id, d.fighter1_url, d.fighter2_url, {chosen}
+  FROM bt_fight_details d JOIN corner a ON a.fighter_url = d.fighter1_url JOIN corner b ON b.fighter_url = d.fighter2_url
+  LEFT JOIN multipliers m ON m.weight_class = coalesce(a.weight_class, b.weight_class)"""
+
+
+def _scored(n: int) -> str:
+    def total(expr: str) -> str:
+        return f"coalesce(sum(CASE WHEN r.fighter_url = d.fighter{n}_url THEN {expr} END), 0)::double"
+
+    return (
+        f"{total('sig_str_landed')} AS landed{n}, {total('knockdowns')} AS kd{n}, {total('takedowns_landed')} AS td{n},"
+        f" {total(SECONDS.format('control_time'))} AS control{n}"
+    )
+
+
+def _judged(n: int) -> str:
+    return (
+        f"landed{n} * striking + kd{n} * 5.0::double * striking + td{n} * 2.0::double * grappling"
+        f" + control{n} * 0.10::double * grappling AS s{n}"
+    )
+
+
+BLOCKS["judged"] = f"""
+  SELECT fight_id, round, judge, kd1, kd2, {_judged(1)}, {_judged(2)}
+  FROM (SELECT d.fight_id, r.round, {_scored(1)}, {_scored(2)}
+        FROM bt_round_stats r JOIN bt_fight_details d USING (fight_id) GROUP BY 1, 2),
+       (VALUES ('Judge A', 1.0::double, 1.0::double), ('Judge B', 1.15, 0.85), ('Judge C', 0.85, 1.15))
+         AS j(judge, striking, grappling)"""
+BLOCKS["scorecards"] = """
+  SELECT fight_id, round, judge,
+         cast(CASE WHEN s1 > s2 THEN 10 WHEN (s2 - s1) / greatest(s2, 1) > 0.4::double OR kd2 >= 2 THEN 8 ELSE 9 END
+              AS integer) AS fighter1,
+         cast(CASE WHEN s1 <= s2 THEN 10 WHEN (s1 - s2) / greatest(s1, 1) > 0.4::double OR kd1 >= 2 THEN 8 ELSE 9 END
+              AS integer) AS fighter2
+  FROM judged"""
+BLOCKS["card_totals"] = """
+  SELECT fight_id, cast(sum(t1) AS bigint) AS total1, cast(sum(t2) AS bigint) AS total2,
+         count(*) FILTER (t1 > t2) AS wins1, count(*) FILTER (t2 > t1) AS wins2
+  FROM (SELECT fight_id, judge, sum(fighter1) AS t1, sum(fighter2) AS t2 FROM scorecards GROUP BY 1, 2) GROUP BY 1"""
+
+CARD = [("ANA 0", "bo somebody"), ("Cy 7", "Di 3"), ("Ed 11", "Zoltan Nobody"), ("Flo 20", "gus 5"), ("Gus 1", "Ana 2")]
+REQUESTS = ", ".join(
+    f"({i}, '{name}', '{name.split()[0]}')" for i, name in enumerate(n for bout in CARD for n in bout)
+)
+BLOCKS["card_names"] = """
+  SELECT fighter1_url AS fighter_url, fighter1_name AS fighter FROM bt_fight_details
+  UNION SELECT fighter2_url, fighter2_name FROM bt_fight_details"""
+BLOCKS["resolved"] = f"""
+  SELECT cast(q.request_id AS integer) AS request_id, q.requested, h.fighter_url, h.fighter
+  FROM (VALUES {REQUESTS}) AS q(request_id, requested, first_word)
+  LEFT JOIN (
+    SELECT r.request_id, n.fighter_url, n.fighter, row_number() OVER (
+             PARTITION BY r.request_id ORDER BY lower(n.fighter) <> lower(r.requested), n.fighter_url, n.fighter) AS rn
+    FROM (VALUES {REQUESTS}) AS r(request_id, requested, first_word)
+    JOIN card_names n ON lower(n.fighter) = lower(r.requested) OR lower(n.fighter) LIKE '%' || lower(r.first_word) || '%'
+  ) h ON h.request_id = q.request_id AND h.rn = 1"""
+BLOCKS["fight_counts"] = """
+  SELECT fighter_url, count(*) AS fights
+  FROM (SELECT fighter1_url AS fighter_url FROM clean UNION ALL SELECT fighter2_url FROM clean) GROUP BY 1"""
+
+
+def _fixed(expr: str, digits: int) -> str:
+    return f"cast(cast({expr} AS decimal(18,{digits})) AS varchar)"
+
+
+CONTROL = "cast(floor(w.ctrl_secs_per_fight - l.ctrl_secs_per_fight) AS integer)"
+REASONS = [
+    ("w.sig_spm - l.sig_spm > 1.0", f"'throws ' || {_fixed('w.sig_spm - l.sig_spm', 1)} || ' more sig strikes/min'"),
+    (
+        "w.sig_str_absorbed_spm < l.sig_str_absorbed_spm - 0.8::double",
+        f"'absorbs ' || {_fixed('l.sig_str_absorbed_spm - w.sig_str_absorbed_spm', 1)} || ' fewer strikes/min'",
+    ),
+    (
+        "w.td_per_fight - l.td_per_fight > 0.8::double",
+        f"'averages ' || {_fixed('w.td_per_fight - l.td_per_fight', 1)} || ' more TD/fight'",
+    ),
+    (
+        "w.ctrl_secs_per_fight - l.ctrl_secs_per_fight > 45",
+        f"'controls ' || ({CONTROL} // 60) || ':' || lpad(cast({CONTROL} % 60 AS varchar), 2, '0') || ' more per fight'",
+    ),
+    (
+        "w.kd_per_fight - l.kd_per_fight > 0.10::double",
+        f"'lands ' || {_fixed('w.kd_per_fight - l.kd_per_fight', 2)} || ' more KD/fight'",
+    ),
+    (
+        "w.win_rate - l.win_rate > 0.10::double",
+        f"'holds a ' || {_fixed('(w.win_rate - l.win_rate) * 100', 0)} || 'pp win rate edge'",
+    ),
+    (
+        "w.win_streak > l.win_streak AND w.win_streak >= 3",
+        "'riding a ' || cast(w.win_streak AS integer) || '-fight win streak'",
+    ),
+    (
+        "w.recent_win_rate - l.recent_win_rate > 0.20::double",
+        f"'recent form: ' || {_fixed('w.recent_win_rate * 100', 0)} || '% vs ' || {_fixed('l.recent_win_rate * 100', 0)}"
+        " || '% in last 5'",
+    ),
+]
+POINTS = "list_filter([" + ", ".join(f"CASE WHEN {t} THEN {x} END" for t, x in REASONS) + "], lambda x: x IS NOT NULL)"
+CHANCE = "coalesce(w.win_rate / nullif(w.win_rate + l.win_rate, 0), 0.5)"
+REASONING = f"""
+  SELECT fight_id, CASE WHEN prob >= 0.68::double THEN 'High' WHEN prob >= 0.57::double THEN 'Medium' ELSE 'Low' END
+           AS confidence,
+         'Model v2 favors ' || name || ' (' || cast(round_even(prob * 100, 0) AS integer) || '% confidence). '
+         || CASE WHEN len(points) > 0 THEN name || ' ' || array_to_string(points[1:3], ', ') || '. ' ELSE '' END
+         || 'On this trajectory, '
+         || CASE method WHEN 'KO/TKO' THEN 'the striking advantage should produce a finish'
+                        WHEN 'Submission' THEN 'the grappling dominance should force a tap'
+                        ELSE 'the output and control edge should carry the scorecards' END || '.' AS reasoning
+  FROM (SELECT b.fight_id, b.method, b.name, {CHANCE} AS prob, {POINTS} AS points
+        FROM (SELECT fight_id, method, CASE winner WHEN 'fighter1' THEN fighter1_name ELSE fighter2_name END AS name,
+                     CASE winner WHEN 'fighter1' THEN fighter1_url ELSE fighter2_url END AS winner_url,
+                     CASE winner WHEN 'fighter1' THEN fighter2_url ELSE fighter1_url END AS loser_url FROM clean) b
+        JOIN profile_final w ON w.fighter_url = b.winner_url JOIN profile_final l ON l.fighter_url = b.loser_url)"""

@@ -453,5 +453,51 @@ FINAL["training_pairs"] = f"""
 FINAL["winner_profile"] = f"SELECT fight_id, method, {', '.join(WINNER)} FROM pairs WHERE NOT mirrored"
 
 
+# --- cards and match-ups --------------------------------------------------------------------
+
+FINAL["resolve_entity"] = "SELECT * FROM resolved"
+FINAL["select_card"] = """
+  SELECT cast(a.request_id // 2 AS bigint) AS position, coalesce(a.fighter, a.requested) AS fighter1, a.fighter_url AS fighter1_url,
+         coalesce(x.fights, 0) AS f1_count, coalesce(b.fighter, b.requested) AS fighter2,
+         b.fighter_url AS fighter2_url, coalesce(y.fights, 0) AS f2_count,
+         coalesce(x.fights, 0) + coalesce(y.fights, 0) AS combined
+  FROM resolved a JOIN resolved b ON b.request_id = a.request_id + 1 AND a.request_id % 2 = 0
+  LEFT JOIN fight_counts x ON x.fighter_url = a.fighter_url LEFT JOIN fight_counts y ON y.fighter_url = b.fighter_url
+  WHERE coalesce(x.fights, 0) >= 3 AND coalesce(y.fights, 0) >= 3
+  ORDER BY combined DESC, position LIMIT 3"""
+FINAL["reasoning_text"] = bout_sql.REASONING
+FINAL["round_distributions"] = "SELECT * FROM round_dist"
+FINAL["global_distributions"] = "SELECT * FROM global_dist"
+FINAL["shrink_to_global"] = """
+  SELECT f.fighter_url, g.bucket, g.stat,
+         coalesce(f.weight * d.mean + (1.0::double - f.weight) * g.mean, g.mean) AS mean,
+         coalesce(f.weight * d.std + (1.0::double - f.weight) * g.std, g.std) AS std
+  FROM (SELECT fighter_url, cast(least(count(*), 15) AS double) / 15 AS weight FROM side_totals GROUP BY 1) f
+  CROSS JOIN global_dist g
+  LEFT JOIN round_dist d ON d.fighter_url = f.fighter_url AND d.bucket = g.bucket AND d.stat = g.stat"""
+BLENDED = ("sig_spm", "sig_acc", "td_per_fight", "kd_per_fight", "ctrl_secs_per_fight")
+FINAL["form_blend"] = profile(*[f"{c} * 0.6::double + recent_{c} * 0.4::double AS eff_{c}" for c in BLENDED])
+FINAL["class_finish_rates"] = "SELECT * FROM multipliers"
+FINAL["matchup_modifiers"] = bout_sql.modifiers("v2.3")
+FINAL["matchup_modifiers_v2"] = bout_sql.modifiers("v2")
+FINAL["age_thresholds"] = """
+  SELECT f.fighter_url, f.weight,
+         cast(CASE c.division WHEN 'Heavyweight' THEN 39 WHEN 'Light Heavyweight' THEN 38 WHEN 'Middleweight' THEN 37
+           WHEN 'Welterweight' THEN 36 WHEN 'Lightweight' THEN 35 WHEN 'Featherweight' THEN 35
+           WHEN 'Bantamweight' THEN 34 WHEN 'Flyweight' THEN 34 ELSE 36 END AS integer) AS chin,
+         cast(CASE c.division WHEN 'Heavyweight' THEN 37 WHEN 'Light Heavyweight' THEN 36 WHEN 'Middleweight' THEN 35
+           WHEN 'Welterweight' THEN 35 WHEN 'Lightweight' THEN 34 WHEN 'Featherweight' THEN 34
+           WHEN 'Bantamweight' THEN 33 WHEN 'Flyweight' THEN 33 ELSE 34 END AS integer) AS fatigue
+  FROM bt_fighters f LEFT JOIN fighter_class c USING (fighter_url)"""
+FINAL["round_scorecard"] = "SELECT * FROM scorecards"
+FINAL["decision_outcome"] = """
+  SELECT fight_id,
+         CASE WHEN wins1 >= 2 OR (wins2 < 2 AND total1 >= total2) THEN 'fighter1' ELSE 'fighter2' END AS winner,
+         CASE WHEN greatest(wins1, wins2) = 3 THEN 'Decision (Unanimous)'
+              WHEN greatest(wins1, wins2) = 2 OR (wins1 = 1 AND wins2 = 1) THEN 'Decision (Split)'
+              ELSE 'Decision (Majority)' END AS method, total1, total2, wins1, wins2
+  FROM card_totals"""
+
+
 def oracles() -> dict[str, str]:
     return {name: assemble(sql) for name, sql in FINAL.items()}
