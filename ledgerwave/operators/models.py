@@ -5,9 +5,13 @@ All rows of a bout share a fold, so a bout is never on both sides of a split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -18,7 +22,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwave.operators.cards import confidence, reasoning_text
@@ -71,14 +75,21 @@ def probability(column: str = "probability") -> Column:
     return vector_to_array(F.col(column))[1]
 
 
+def _each_fold(work: Callable[[int], Any], folds: int) -> list[Any]:
+    """``work`` for every fold, the folds' jobs side by side as a cross-validator runs them."""
+    with ThreadPool(folds) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(work), range(folds))
+
+
 def out_of_fold(pairs: DataFrame, estimator: Estimator, folds: int = FOLDS) -> DataFrame:
     """Predictions for every row by a model that has not seen its fold."""
-    frames = []
-    for k in range(folds):
+
+    def one(k: int) -> DataFrame:
         model = estimator.fit(pairs.filter(F.col("fold") != k))
         scored = model.transform(pairs.filter(F.col("fold") == k))
-        frames.append(scored.select("fight_id", "mirrored", "fold", "label", "prediction", probability().alias("score")))
-    return reduce(DataFrame.unionByName, frames)
+        return scored.select("fight_id", "mirrored", "fold", "label", "prediction", probability().alias("score"))
+
+    return reduce(DataFrame.unionByName, _each_fold(one, folds))
 
 
 def fold_accuracy(scored: DataFrame) -> DataFrame:
@@ -150,7 +161,7 @@ def interaction_names(features: tuple[str, ...] = FEATURES) -> list[str]:
 
 
 def _with_interactions(standard: Column, width: int) -> Column:
-    """The features followed by the product of every two of them, as one array."""
+    """An array of features followed by the product of every two of them."""
     products = F.flatten(
         F.transform(
             F.sequence(F.lit(0), F.lit(width - 2)),
@@ -172,39 +183,43 @@ def standardized(pairs: DataFrame, features: tuple[str, ...] = FEATURES) -> Data
         spread = stats[f"s_{f}"]
         return (F.col(f) - F.lit(stats[f"m_{f}"])) / F.lit(spread if spread else 1.0)
 
-    return pairs.withColumn("standard", F.array(*[unit(f) for f in features])).withColumn(
-        "expanded", _with_interactions(F.col("standard"), len(features))
-    ).drop("standard")
+    # The lambda binds the array of units, which the products would otherwise build anew for every pair.
+    units = F.array(*[unit(f) for f in features])
+    expanded = F.flatten(F.transform(F.array(units), lambda bound: _with_interactions(bound, len(features))))
+    return pairs.withColumn("expanded", expanded)
 
 
-def interactions_select(pairs: DataFrame, k: int = 50, bins: int = 10, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """The ``k`` features or products that tell most about the label, by mutual information in bits of e.
+def interactions_select(
+    pairs: DataFrame, k: int = 50, features: tuple[str, ...] = FEATURES, width: float = 0.5, reach: float = 2.5
+) -> DataFrame:
+    """The ``k`` features or products that tell most about the label, by mutual information in nats.
 
-    Values are cut at their deciles. Everything between the rows and the result
-    is counts per feature and bin, combined before they are shuffled.
+    Values are standardized and cut into bins of half a deviation, open at both
+    ends. Everything between the rows and the result is counts per feature, bin
+    and label, combined before they are shuffled.
     """
-    expanded = standardized(pairs, features).select("label", F.posexplode("expanded").alias("position", "value"))
-    cuts = [i / bins for i in range(1, bins)]
-    edges = expanded.groupBy("position").agg(F.percentile_approx("value", cuts, 1000).alias("edges"))
-    value_bin = F.size(F.filter("edges", lambda edge: F.col("value") > edge))
-    # One row of edges per feature or product: a few hundred, whatever the data.
+    value_bin = F.floor(F.greatest(F.lit(-reach), F.least(F.lit(reach), F.col("value"))) / width)
     counts = (
-        expanded.join(F.broadcast(edges), "position")
+        standardized(pairs, features)
+        .select("label", F.posexplode("expanded").alias("position", "value"))
         .groupBy("position", value_bin.alias("bin"), "label")
         .agg(F.count("*").alias("n"))
     )
-    by_bin = counts.groupBy("position", "bin").agg(F.sum("n").alias("n_bin"))
-    by_label = counts.groupBy("position", "label").agg(F.sum("n").alias("n_label"))
-    total = counts.groupBy("position").agg(F.sum("n").alias("n_all"))
-    share = F.col("n") / F.col("n_all")
-    information = F.sum(share * F.log(F.col("n") * F.col("n_all") / (F.col("n_bin") * F.col("n_label"))))
-    names = F.array(*[F.lit(n) for n in interaction_names(features)])
+    # From here on there are a few thousand rows, whatever the data.
+    of_feature = Window.partitionBy("position")
+    of_bin, of_label = Window.partitionBy("position", "bin"), Window.partitionBy("position", "label")
+    n, total = F.col("n"), F.col("n_all")
+    names = F.array(*[F.lit(name) for name in interaction_names(features)])
     return (
-        counts.join(by_bin, ["position", "bin"])
-        .join(by_label, ["position", "label"])
-        .join(total, "position")
+        counts.withColumns(
+            {
+                "n_all": F.sum("n").over(of_feature),
+                "n_bin": F.sum("n").over(of_bin),
+                "n_label": F.sum("n").over(of_label),
+            }
+        )
         .groupBy("position")
-        .agg(information.alias("information"))
+        .agg(F.sum(n / total * F.log(n * total / (F.col("n_bin") * F.col("n_label")))).alias("information"))
         .orderBy(F.desc("information"), "position")
         .limit(k)
         .select("position", F.get(names, F.col("position")).alias("feature"), "information")
@@ -247,12 +262,13 @@ def stack(pairs: DataFrame, estimators: dict[str, Estimator], folds: int = FOLDS
     Returns the stacked model and the out-of-fold rows it was fitted on.
     """
     folded = with_folds(pairs, folds)
-    frames = []
-    for k in range(folds):
+
+    def one(k: int) -> DataFrame:
         train = folded.filter(F.col("fold") != k)
         fitted = {name: estimator.fit(train) for name, estimator in estimators.items()}
-        frames.append(_base_scores(folded.filter(F.col("fold") == k), fitted))
-    unseen = reduce(DataFrame.unionByName, frames).select("fight_id", "mirrored", "fold", "label", *estimators)
+        return _base_scores(folded.filter(F.col("fold") == k), fitted)
+
+    unseen = reduce(DataFrame.unionByName, _each_fold(one, folds)).select("fight_id", "mirrored", "fold", "label", *estimators)
     names = tuple(estimators)
     meta = _assembled(logistic(1.0, folded.count()), inputs=names).fit(unseen)
     bases = {name: estimator.fit(folded) for name, estimator in estimators.items()}
