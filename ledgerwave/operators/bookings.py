@@ -78,15 +78,17 @@ def opportunity_acv_tcv(
     )
 
 
-def first_won_dates(lines: DataFrame, opportunities: DataFrame) -> DataFrame:
+def first_won_dates(lines: DataFrame, opportunities: DataFrame, won_only: bool = False) -> DataFrame:
     """First won close date per account and product, and per account.
 
     One aggregation over the lines; the account date is the least of its
-    products' dates.
+    products' dates. ``won_only`` reads won deals alone and leaves out products
+    an account has never won.
     """
     won_on = F.when(F.col("is_won"), F.col("close_date"))
+    deals = opportunities.filter("is_won") if won_only else opportunities
     products = (
-        _deal_lines(lines, opportunities)
+        _deal_lines(lines, deals)
         .groupBy("account_id", "product_id")
         .agg(F.min(won_on).alias("product_first_won_date"))
     )
@@ -118,7 +120,8 @@ def opportunity_lines_acv(
     lines: DataFrame, opportunities: DataFrame, products: DataFrame, users: DataFrame
 ) -> DataFrame:
     """D10-D12 together."""
-    firsts = first_won_dates(lines, opportunities).select(
+    # Only won lines are compared with these dates, and the product of a won line has been won.
+    firsts = first_won_dates(lines, opportunities, won_only=True).select(
         F.col("account_id").alias("won_account_id"),
         F.col("product_id").alias("won_product_id"),
         "account_first_won_date",

@@ -92,60 +92,49 @@ def bout_sides(bouts: DataFrame, stats: DataFrame) -> DataFrame:
     sides = F.array(
         side("fighter1_url", "fighter2_url", first_won), side("fighter2_url", "fighter1_url", ~first_won)
     )
-    opponents = stats.select(
-        "fight_id",
-        F.col("fighter_url").alias("opponent_url"),
-        *[F.col(c).alias(f"opp_{c}") for c in OPPONENT_SUMS],
-    )
+    bout = Window.partitionBy("fight_id")
+
+    def of_opponent(stat: str) -> Column:
+        """The bout's total less one's own; NULL when the opponent has no statistics."""
+        own, known = F.col(stat), F.count(stat).over(bout) - F.when(F.col(stat).isNotNull(), 1).otherwise(0)
+        return F.when(known > 0, F.sum(stat).over(bout) - F.coalesce(own, F.lit(0)))
+
     return (
         bouts.select("fight_id", "event_date", "duration_s", "method", F.inline(sides))
         .join(stats, ["fight_id", "fighter_url"], "left")
-        .join(opponents, ["fight_id", "opponent_url"], "left")
+        .withColumns({f"opp_{c}": of_opponent(c) for c in OPPONENT_SUMS})
     )
 
 
 def _daily(sides: DataFrame) -> DataFrame:
-    """One row per fighter and day: sums, the last win and loss of the day, the day's last five bouts."""
-    won = F.col("won")
-    by_day = sides.groupBy("fighter_url", "event_date").agg(
-        F.count("*").alias("fights"),
-        F.sum("duration_s").alias("duration_s"),
-        F.count_if(won).alias("wins"),
-        *[
-            F.count_if(won & (F.col("method") == m)).alias(n)
-            for m, n in zip(DECISIVE_METHODS, ("ko_wins", "sub_wins", "dec_wins"))
-        ],
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in OWN_SUMS],
-        *[F.coalesce(F.sum(f"opp_{c}"), F.lit(0)).alias(f"opp_{c}") for c in OPPONENT_SUMS],
-        F.max(F.when(won, F.col("fight_id"))).alias("last_win"),
-        F.max(F.when(~won, F.col("fight_id"))).alias("last_loss"),
-    )
-
-    # Bouts after the last change of outcome, on the few days that saw both outcomes.
-    mixed = by_day.filter(F.col("last_win").isNotNull() & F.col("last_loss").isNotNull()).select(
-        "fighter_url", "event_date", F.least("last_win", "last_loss").alias("changed_at")
-    )
-    tails = (
-        sides.select("fighter_url", "event_date", "fight_id")
-        .join(mixed, ["fighter_url", "event_date"])
-        .filter(F.col("fight_id") > F.col("changed_at"))
-        .groupBy("fighter_url", "event_date")
-        .agg(F.count("*").alias("tail"))
-    )
+    """One row per fighter and day: sums, the day's last five bouts, and how it ended.
 
-    # row_number with a small limit is cut down before the shuffle.
-    place = Window.partitionBy("fighter_url", "event_date").orderBy(F.desc("fight_id"))
+    ``since_loss`` (``since_win``) counts the bouts after the day's last loss (win).
+    """
+    won, place = F.col("won"), F.col("place")
+    last_first = Window.partitionBy("fighter_url", "event_date").orderBy(F.desc("fight_id"))
     bout = F.struct(
         "event_date", "fight_id", "won", "duration_s", "sig_str_landed", "sig_str_attempted", "takedowns_landed",
         "knockdowns", "ctrl_seconds",
     )
-    latest = (
-        sides.withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= 5)
+    return (
+        sides.withColumn("place", F.row_number().over(last_first))
         .groupBy("fighter_url", "event_date")
-        .agg(F.collect_list(bout).alias("latest"))
+        .agg(
+            F.count("*").alias("fights"),
+            F.sum("duration_s").alias("duration_s"),
+            F.count_if(won).alias("wins"),
+            *[
+                F.count_if(won & (F.col("method") == m)).alias(n)
+                for m, n in zip(DECISIVE_METHODS, ("ko_wins", "sub_wins", "dec_wins"))
+            ],
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in OWN_SUMS],
+            *[F.coalesce(F.sum(f"opp_{c}"), F.lit(0)).alias(f"opp_{c}") for c in OPPONENT_SUMS],
+            F.collect_list(F.when(place <= 5, bout)).alias("latest"),
+            (F.min(F.when(~won, place)) - 1).alias("since_loss"),
+            (F.min(F.when(won, place)) - 1).alias("since_win"),
+        )
     )
-    return by_day.join(tails, ["fighter_url", "event_date"], "left").join(latest, ["fighter_url", "event_date"])
 
 
 def career_state(sides: DataFrame, cutoff: str | None = None) -> DataFrame:
@@ -167,18 +156,18 @@ def career_state(sides: DataFrame, cutoff: str | None = None) -> DataFrame:
         "fights", "duration_s", "wins", "ko_wins", "sub_wins", "dec_wins", *OWN_SUMS,
         *[f"opp_{c}" for c in OPPONENT_SUMS],
     )
-    tail = F.coalesce(F.col("tail"), F.lit(0))
-    ends_in_win = F.coalesce(F.col("last_win") > F.col("last_loss"), F.col("last_loss").isNull())
-    position = F.col("position")
-    # Where the last loss (win) stands in the career, counting bouts.
-    loss_at = F.when(F.col("last_loss").isNotNull(), position - F.when(ends_in_win, tail).otherwise(0))
-    win_at = F.when(F.col("last_win").isNotNull(), position - F.when(~ends_in_win, tail).otherwise(0))
     recent = F.slice(
         F.sort_array(F.flatten(F.collect_list("latest").over(by_day.rowsBetween(-5, -1))), asc=False), 1, 5
     )
     state = (
         days.withColumn("position", F.sum("fights").over(upto))
-        .withColumns({"loss_at": loss_at, "win_at": win_at})
+        # Where the last loss (win) of a day stands in the career, counting bouts.
+        .withColumns(
+            {
+                "loss_at": F.col("position") - F.col("since_loss"),
+                "win_at": F.col("position") - F.col("since_win"),
+            }
+        )
         .select(
             "fighter_url",
             "event_date",

@@ -12,6 +12,7 @@ a join, and months appear only when a span is expanded, row by row.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,10 +54,15 @@ def run_rate_changes(
     """Net change of amount, units and segment count per key and month.
 
     A segment counts in a month when start <= month-end <= end, so the first
-    month that no longer counts is the month of the day after ``end``.
+    month that no longer counts is the month of the day after ``end``. Segments
+    without a key have no run rate.
+
+    The totals are never NULL; asking for that keeps all three in every use of
+    the changes, so that uses of different columns still share one shuffle.
     """
+    present = [F.col(c).isNotNull() for c in (*keys, start, end)]
     covered = (
-        segments.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+        segments.filter(reduce(lambda a, b: a & b, present))
         .withColumn("enter", F.greatest(month_floor(F.col(start)), window.first))
         .withColumn("leave", F.least(month_floor(F.date_add(F.col(end), 1)), window.stop))
         .filter(F.col("enter") < F.col("leave"))
@@ -79,6 +85,7 @@ def run_rate_changes(
             F.sum("units").alias("units_change"),
             F.sum("active").alias("active_change"),
         )
+        .filter("arr_change is not null and units_change is not null and active_change is not null")
     )
 
 
