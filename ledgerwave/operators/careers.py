@@ -142,12 +142,13 @@ def career_state(sides: DataFrame, cutoff: str | None = None) -> DataFrame:
 
     With a ``cutoff`` date: one row per fighter, as of that date.
     """
-    days = _daily(sides)
-    if cutoff is not None:
+    if cutoff is None:
+        days = _daily(sides)
+    else:
         date = F.lit(cutoff).cast("date")
-        days = days.filter(F.col("event_date") < date)
-        requests = days.select("fighter_url").distinct().withColumn("event_date", date)
-        days = days.unionByName(requests, allowMissingColumns=True)
+        sides = sides.filter(F.col("event_date") < date)
+        requests = sides.select("fighter_url").distinct().withColumn("event_date", date)
+        days = _daily(sides).unionByName(requests, allowMissingColumns=True)
 
     by_day = Window.partitionBy("fighter_url").orderBy("event_date")
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)

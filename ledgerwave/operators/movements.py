@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwave.functions.keys import surrogate_key
+from ledgerwave.functions.values import MONEY, money
 from ledgerwave.operators.snapshots import months_of
 
 # The categories of a monthly movement.
@@ -42,7 +43,7 @@ def ever_active_before(spans: DataFrame, changes: DataFrame) -> DataFrame:
     by_month = pair.orderBy("month")
     history = spans.withColumns(
         {
-            "prior_arr": F.coalesce(F.lag("arr").over(by_month), F.lit(0).cast("decimal(38,2)")),
+            "prior_arr": F.coalesce(F.lag("arr").over(by_month), F.lit(0).cast(MONEY)),
             "pair_first_month": F.min(F.when(F.col("arr") > 0, F.col("month"))).over(
                 by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             ),
@@ -101,13 +102,19 @@ def period_movement(history: DataFrame, keep_inactive: bool = True) -> DataFrame
     if not keep_inactive:
         until = F.when(F.col("arr") > 0, until).otherwise(F.add_months(first, 1))
     opening = F.col("snapshot") == first
-    zero = F.col("arr") - F.col("arr")
+    nothing = F.lit(0).cast(MONEY)
     category = movement_category(
         F.col("arr"), F.col("prior_arr"), F.col("account_active_before"), F.col("product_active_before")
     )
     carried = F.when(F.col("arr") > 0, "scheduled").otherwise("inactive")
     movement = (
-        history.withColumns({"opening_category": category, "carried_category": carried})
+        history.withColumns(
+            {
+                "opening_category": category,
+                "carried_category": carried,
+                "opening_change": money(F.col("arr") - F.col("prior_arr")),
+            }
+        )
         .withColumn("snapshot", months_of(first, until))
         .select(
             "account_id",
@@ -115,7 +122,7 @@ def period_movement(history: DataFrame, keep_inactive: bool = True) -> DataFrame
             F.last_day("snapshot").alias("measurement_month"),
             F.when(opening, F.col("prior_arr")).otherwise(F.col("arr")).alias("beginning_arr"),
             F.col("arr").alias("ending_arr"),
-            F.when(opening, F.col("arr") - F.col("prior_arr")).otherwise(zero).alias("arr_change"),
+            F.when(opening, F.col("opening_change")).otherwise(nothing).alias("arr_change"),
             "entitled_units",
             F.when(opening, F.col("opening_category"))
             .otherwise(F.col("carried_category"))
@@ -129,7 +136,7 @@ def movement_buckets(movement: DataFrame) -> DataFrame:
     """The signed change in the bucket of its category, and the carried run rate."""
 
     def bucket(category: str, value: str) -> Column:
-        return F.when(F.col("revenue_category") == category, F.col(value)).otherwise(F.lit(0))
+        return F.when(F.col("revenue_category") == category, F.col(value)).otherwise(F.lit(0).cast(MONEY))
 
     return movement.filter(F.col("revenue_category") != "inactive").select(
         "*",

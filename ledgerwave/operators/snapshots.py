@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwave.functions.values import month_floor
+from ledgerwave.functions.values import MONEY, money, month_floor
 
 KEYS = ("account_id", "product_id")
 
@@ -67,7 +67,7 @@ def run_rate_changes(
         .withColumn("leave", F.least(month_floor(F.date_add(F.col(end), 1)), window.stop))
         .filter(F.col("enter") < F.col("leave"))
     )
-    value = F.coalesce(F.col(amount), F.lit(0).cast("decimal(18,2)"))
+    value = F.coalesce(F.col(amount), F.lit(0).cast(MONEY))
     count = F.coalesce(F.col(units), F.lit(0)).cast("bigint")
     one = F.lit(1).cast("bigint")
     changes = F.array(
@@ -99,7 +99,7 @@ def run_rate_spans(
         *keys,
         "month",
         F.coalesce(F.lead("month").over(by_month), window.stop).alias("until"),
-        F.sum("arr_change").over(so_far).alias("arr"),
+        money(F.sum("arr_change").over(so_far)).alias("arr"),
         F.sum("units_change").over(so_far).alias("entitled_units"),
         F.sum("active_change").over(so_far).alias("active_segments"),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,14 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local-mode session may fall back to a folder of this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="ledgerwave-", dir=os.environ.get("TMPDIR"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError("start the session with spark.checkpoint.dir set to a folder all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerwave-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
