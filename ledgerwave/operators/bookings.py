@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.functions.keys import surrogate_key
 
 
@@ -92,13 +93,8 @@ def first_won_dates(lines: DataFrame, opportunities: DataFrame, won_only: bool =
         .groupBy("account_id", "product_id")
         .agg(F.min(won_on).alias("product_first_won_date"))
     )
-    accounts = (
-        products.groupBy(F.col("account_id").alias("first_account_id"))
-        .agg(F.min("product_first_won_date").alias("account_first_won_date"))
-    )
-    return products.join(
-        accounts, F.col("account_id").eqNullSafe(F.col("first_account_id")), "left"
-    ).drop("first_account_id")
+    accounts = products.groupBy("account_id").agg(F.min("product_first_won_date").alias("account_first_won_date"))
+    return join_hot(products, accounts, ["account_id"], spread=["product_id"], null_safe=True)
 
 
 def deal_motion() -> Column:
@@ -121,25 +117,11 @@ def opportunity_lines_acv(
 ) -> DataFrame:
     """D10-D12 together."""
     # Only won lines are compared with these dates, and the product of a won line has been won.
-    firsts = first_won_dates(lines, opportunities, won_only=True).select(
-        F.col("account_id").alias("won_account_id"),
-        F.col("product_id").alias("won_product_id"),
-        "account_first_won_date",
-        "product_first_won_date",
-    )
-    return (
-        opportunity_acv_tcv(lines, opportunities, products, users)
-        .join(
-            firsts,
-            F.col("account_id").eqNullSafe(F.col("won_account_id"))
-            & F.col("product_id").eqNullSafe(F.col("won_product_id")),
-            "left",
-        )
-        .withColumns(
-            {"is_closed_won": F.col("is_closed") & F.col("is_won"), "revenue_category": deal_motion()}
-        )
-        .drop("won_account_id", "won_product_id")
-    )
+    firsts = first_won_dates(lines, opportunities, won_only=True)
+    valued = opportunity_acv_tcv(lines, opportunities, products, users)
+    return join_hot(
+        valued, firsts, ["account_id", "product_id"], spread=["opportunity_line_id"], null_safe=True
+    ).withColumns({"is_closed_won": F.col("is_closed") & F.col("is_won"), "revenue_category": deal_motion()})
 
 
 def fct_acv(acv_lines: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.functions.values import clamp, clock_seconds, safe_div
 from ledgerwave.operators.careers import STATS
 from ledgerwave.operators.pairs import birth_date, weight_class_of
@@ -91,7 +92,7 @@ def shrink_to_global(distributions: DataFrame, overall: DataFrame, fights: DataF
 
     return (
         every.join(own, ["fighter_url", "bucket", "stat"], "left")
-        .join(base, ["bucket", "stat"], "left")
+        .join(F.broadcast(base), ["bucket", "stat"], "left")  # 39 rows
         .select("fighter_url", "bucket", "stat", blend("mean", DEFAULT_MEAN), blend("std", DEFAULT_STD))
     )
 
@@ -226,8 +227,9 @@ def matchup_modifiers(
     neutral = F.lit(1.0)
 
     bouts = (
-        card.join(side(1), "fighter1_url")
-        .join(side(2), "fighter2_url")
+        join_hot(
+            join_hot(card, side(1), ["fighter1_url"], "inner"), side(2), ["fighter2_url"], "inner", card.columns
+        )
         .withColumns({"skill1": skill1, "skill2": skill2})
         .withColumns(
             {
@@ -236,7 +238,8 @@ def matchup_modifiers(
                 "weight_class": F.coalesce(one["weight_class"], two["weight_class"]),
             }
         )
-        .join(multipliers.select("weight_class", "ko_mult", "sub_mult"), "weight_class", "left")
+        # At most one row per weight class.
+        .join(F.broadcast(multipliers.select("weight_class", "ko_mult", "sub_mult")), "weight_class", "left")
     )
 
     def when(active: bool, column: Column) -> Column:

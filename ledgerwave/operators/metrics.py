@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -225,12 +227,13 @@ def _aggregate(
         dimension = tables[target.table].select(
             F.col(target.primary).alias(f"{entity}_entity"), *[F.col(d).alias(n) for n, d in wanted]
         )
-        partial = partial.join(dimension, f"{entity}_entity", "left")
+        partial = join_hot(partial, dimension, [f"{entity}_entity"])
 
     group = [*by, *(["metric_time"] if grain else [])]
     if last_only and grain:
         latest = partial.groupBy("metric_time").agg(F.max("snapshot_time").alias("latest_time"))
-        partial = partial.join(latest, "metric_time", "left")
+        # One row per period of the calendar.
+        partial = partial.join(F.broadcast(latest), "metric_time", "left")
     elif last_only:
         partial = partial.withColumn("latest_time", partial.agg(F.max("snapshot_time")).scalar())
 

@@ -25,6 +25,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.operators.cards import confidence, reasoning_text
 from ledgerwave.operators.careers import DECISIVE_METHODS, FEATURES, METHOD_FEATURES
 
@@ -297,7 +298,7 @@ def method_rows(pairs: DataFrame) -> DataFrame:
     total = counts.agg(F.sum("n")).scalar()
     classes = counts.agg(F.count("*")).scalar()
     weights = counts.select("label", (total / (classes * F.col("n"))).cast("double").alias("weight"))
-    return rows.join(weights, "label")
+    return rows.join(F.broadcast(weights), "label")  # one row per method
 
 
 def train_method(pairs: DataFrame, trees: int = 200) -> PipelineModel:
@@ -324,7 +325,7 @@ def predict_card(
     def side(n: int) -> DataFrame:
         return profiles.select(F.col("fighter_url").alias(f"fighter{n}_url"), F.struct(*fields).alias(f"p{n}"))
 
-    bouts = card.join(side(1), "fighter1_url", "left").join(side(2), "fighter2_url", "left")
+    bouts = join_hot(join_hot(card, side(1), ["fighter1_url"]), side(2), ["fighter2_url"], spread=card.columns)
     known = F.col("p1").isNotNull() & F.col("p2").isNotNull()
     differences = bouts.filter(known).withColumns({f: F.col(f"p1.{f}") - F.col(f"p2.{f}") for f in FEATURES})
 

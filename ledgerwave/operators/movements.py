@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.functions.keys import surrogate_key
 from ledgerwave.functions.values import MONEY, money
 from ledgerwave.operators.snapshots import months_of
@@ -49,7 +50,7 @@ def ever_active_before(spans: DataFrame, changes: DataFrame) -> DataFrame:
             ),
         }
     )
-    return history.join(account_first_month(changes), "account_id", "left").withColumns(
+    return join_hot(history, account_first_month(changes), ["account_id"], spread=["product_id"]).withColumns(
         {
             "product_active_before": _before("pair_first_month", F.col("month")),
             "account_active_before": _before("account_first_month", F.col("month")),

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.functions.keys import surrogate_key
 
 # Discrepancy categories, in order of precedence.
@@ -44,14 +45,14 @@ def match_orders(contracts: DataFrame, orders: DataFrame, order_refs: DataFrame)
     contract, and the contracts no order refers to.
     """
     ref = "external_order_ref"
-    referenced = order_refs.select(F.col(ref).alias("order_ref")).filter("order_ref is not null").distinct()
+    referenced = order_refs.select(ref).filter(F.col(ref).isNotNull()).distinct()
     with_order = (
         orders.withColumnRenamed(ref, "order_ref")
         .join(contracts, F.col("order_ref") == F.col(ref), "left")
         .withColumn(ref, F.col("order_ref"))
         .drop("order_ref")
     )
-    without_order = contracts.join(referenced, F.col(ref) == F.col("order_ref"), "left_anti")
+    without_order = join_hot(contracts, referenced, [ref], "left_anti", spread=["contract_id"])
     return with_order.unionByName(without_order, allowMissingColumns=True)
 
 

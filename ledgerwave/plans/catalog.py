@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.operators import (
     bookings,
     cards,
@@ -347,8 +348,10 @@ def _reasoning_text(b: Bouts) -> DataFrame:
     name = F.when(first, F.col("fighter1_name")).otherwise(F.col("fighter2_name"))
     chance = winner["win_rate"] / F.nullif(winner["win_rate"] + loser["win_rate"], F.lit(0.0))
     return (
-        b.clean.join(side(1), "fighter1_url")
-        .join(side(2), "fighter2_url")
+        join_hot(
+            join_hot(b.clean, side(1), ["fighter1_url"], "inner", ["fight_id"]), side(2), ["fighter2_url"], "inner",
+            ["fight_id"],
+        )
         .withColumns({"w": winner, "l": loser, "name": name, "prob": F.coalesce(chance, F.lit(0.5))})
         .select(
             "fight_id",

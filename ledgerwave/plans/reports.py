@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
+
 # Display labels.
 CATEGORY_LABELS = {
     "new_logo": "New logo",
@@ -151,7 +153,7 @@ def bookings_by_segment(fct_acv: DataFrame, dim_account: DataFrame) -> DataFrame
         fct_acv.filter("is_closed_won").groupBy("account_key", "opportunity_id").agg(F.sum("acv").alias("acv"))
     )
     return (
-        deals.join(dim_account.select("account_key", "segment"), "account_key")
+        join_hot(deals, dim_account.select("account_key", "segment"), ["account_key"], "inner", ["opportunity_id"])
         .groupBy("segment")
         .agg(F.sum("acv").alias("acv"), F.count_distinct("opportunity_id").alias("deals"))
         .orderBy(F.desc("acv"), "segment")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
+
 # Layers kept as views; every other layer is written.
 VIEW_LAYERS = ("staging", "intermediate")
 
@@ -51,5 +53,5 @@ def upsert_by_key(existing: DataFrame, incoming: DataFrame, *keys: str) -> DataF
     Rows without a key are never replaced. ``batch`` orders the result, newest first.
     """
     replaced = incoming.select(*keys).distinct()
-    kept = existing.join(replaced, list(keys), "left_anti").select(*existing.columns)
+    kept = join_hot(existing, replaced, keys, "left_anti")
     return incoming.withColumn("batch", F.lit(0)).unionByName(kept.withColumn("batch", F.lit(1)))

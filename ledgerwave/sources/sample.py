@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.functions.values import money, month_floor
 
 # The snapshot window of the sample data: first month, and first month after it.
@@ -450,9 +451,9 @@ def round_stats(tables: Tables) -> DataFrame:
     part = F.col("l_partkey")
     third = F.floor(landed / 3).cast("int")
     quarter = F.floor(landed / 4).cast("int")
+    spread = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
     return (
-        tables["lineitem"]
-        .join(_bout_suppliers(tables), "l_orderkey")
+        join_hot(tables["lineitem"], _bout_suppliers(tables), ["l_orderkey"], "inner", spread)
         .filter((F.col("l_suppkey") == F.col("s1")) | (F.col("l_suppkey") == F.col("s2")))
         .select(
             F.col("l_orderkey").cast("string").alias("fight_id"),
