@@ -49,28 +49,28 @@ def _difference(items: DataFrame, parts: int) -> DataFrame:
 
     def cell(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bytes", "item"], ascending=[False, True], kind="stable")
-        return rows.assign(part=differencing(rows["bytes"].tolist(), parts))
+        return rows.assign(part=differencing(rows["bytes"].tolist(), parts))[["cell", "item", "bytes", "part"]]
 
     return items.groupBy("cell").applyInPandas(cell, "cell long, item long, bytes long, part int")
 
 
-def assign(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
+def assign(groups: DataFrame, shards: int = SHARDS, cell: int = CELL, parts: int = PARTS, last: int = LAST) -> DataFrame:
     """(item, bytes), one row per group, to (item, shard).
 
-    Cells of some thousand groups are differenced into ``PARTS`` bundles each, and the bundles into shards; with very
-    many groups bundles are bundled again. Groups above a 1,024th of a shard, of which there can be no more than 1,024
+    Cells of about ``cell`` groups are differenced into ``parts`` bundles each, and the bundles into shards; with more
+    than ``last`` bundles they are bundled again. Groups above a 1,024th of a shard, of which there can be no more than 1,024
     a shard, are kept out of the cells and meet the bundles as they are, so the rest fills up around them.
     """
     total, count = groups.agg(F.sum("bytes"), F.count("*")).first()
     heavy = (total or 0) // (shards * 1024)
     # An item is named by the level it was made at and its number there; groups are of level 0.
     items, bundles, level = groups.select(F.lit(0).alias("level"), "item", "bytes"), [], 0
-    while count > LAST:
-        cells = -(-count // CELL)
+    while count > last:
+        cells = -(-count // cell)
         light = items.filter(F.col("bytes") <= heavy)
         dealt = light.withColumn("cell", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(cells)))
         bundled = written(
-            _difference(dealt, PARTS).select("item", "bytes", (F.col("cell") * PARTS + F.col("part")).alias("bundle")),
+            _difference(dealt, parts).select("item", "bytes", (F.col("cell") * parts + F.col("part")).alias("bundle")),
             "bundles",
         )
         bundles.append(bundled)
@@ -90,7 +90,7 @@ def assign(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def _last(items: DataFrame, shards: int) -> DataFrame:
-    """The last differencing, over at most ``LAST`` items."""
+    """The last differencing, over a bounded number of items."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bytes", "level", "item"], ascending=[False, True, True], kind="stable")
