@@ -57,3 +57,28 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import _parse_datatype_string
 
     return to_arrow_schema(_parse_datatype_string(schema))
+
+
+#: Places of the bitmap that tells at once for most rows that they are not among some chosen ones.
+PLACES = 1 << 20
+
+
+def _place(column: Column) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(column.cast("string"), F.lit(""))), F.lit(PLACES)).cast("int")
+
+
+def _places(frame: DataFrame, column: str) -> DataFrame:
+    """At most ``PLACES`` numbers, so small enough to be broadcast whatever the data."""
+    return written(frame.select(_place(F.col(column)).alias("_place")).distinct(), "places")
+
+
+def chosen_rows(rows: DataFrame, chosen: DataFrame, column: str) -> DataFrame:
+    """Rows that may have one of the chosen values in ``column``: all that have, and by chance a few others."""
+    return rows.join(F.broadcast(_places(chosen, column)), _place(rows[column]) == F.col("_place"), "left_semi")
+
+
+def split_rows(rows: DataFrame, chosen: DataFrame, columns: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have a chosen value, and those that have not: these need no shuffle to be let through."""
+    places = F.broadcast(_places(chosen, columns[1]))
+    hit = _place(rows[columns[0]]) == F.col("_place")
+    return rows.join(places, hit, "left_semi"), rows.join(places, hit, "left_anti")
