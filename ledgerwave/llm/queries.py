@@ -8,12 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwave.llm import bpe, decontaminate, quality, sharding, tokencount, warc
+from ledgerwave.llm import bpe, decontaminate, lines, minhash, quality, sharding, spans, spotsigs, tokencount, warc
 from ledgerwave.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "keep")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.*", "removed")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -54,7 +63,26 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.*", "removed")
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_sharding, op4_warc, op5_decontamination, op6_quality, op7_token_counts, op8_bpe)
+    for f in (
+        op1_minhash,
+        op2_line_dedup,
+        op3_sharding,
+        op4_warc,
+        op5_decontamination,
+        op6_quality,
+        op7_token_counts,
+        op8_bpe,
+        op9_substring_dedup,
+        op10_spotsigs,
+    )
 }
