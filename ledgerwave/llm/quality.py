@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 #: Sampled texts per class for the dictionaries, and for the calibration; bytes of a sampled text that train a
 #: dictionary; bytes of a dictionary; bytes compressed at once; the level.
-SAMPLE, TRAIN_BYTES, DICTIONARY, PIECE, LEVEL = 1500, 8192, 112_640, 4096, 3
+SAMPLE, TRAIN_BYTES, DICTIONARY, PIECE, LEVEL = 1500, 8192, 112_640, 1024, 9
+#: Numbers that the score is made of.
+WIDTH = 10
 THRESHOLD = 0.7
 
 
@@ -45,8 +47,11 @@ class Scorer:
             )
 
     def features(self, text: str) -> np.ndarray:
-        """What the score is made of, over the whole text: the difference of the two compressed sizes over their sum, and the
-        share of the text that is left, as a text of one repeated word is as small with either."""
+        """What the score is made of, over the whole text.
+
+        The difference of the two compressed sizes over their sum, and the share of the text that is left, with bends
+        where a text repeats itself or hardly shrinks: a text of one repeated word is as small with either dictionary.
+        """
         raw = text.encode()
         good = bad = 0
         for at in range(0, len(raw), PIECE):
@@ -54,9 +59,10 @@ class Scorer:
             good += len(self.sides[0].compress(piece))
             bad += len(self.sides[1].compress(piece))
         if not raw:
-            return np.zeros(6)
-        difference, left = (bad - good) / (bad + good), min(good, bad) / len(raw)
-        return np.array([1.0, 10 * difference, left, left * left, 10 * difference * left, np.log1p(len(raw)) / 10])
+            return np.zeros(WIDTH)
+        difference, left = 10 * (bad - good) / (bad + good), min(good, bad) / len(raw)
+        bends = [max(0.0, bend - left) for bend in (0.1, 0.2, 0.3)] + [max(0.0, left - 0.6)]
+        return np.array([1.0, difference, min(difference, 0.5), left, difference * left, np.log1p(len(raw)) / 10, *bends])
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
@@ -102,7 +108,7 @@ def fit(
     labelled = labels.filter(F.col(label).isin(0, 1))
     share = labelled.agg(F.avg(F.col(label).cast("double"))).first()[0]
     share = 0.5 if share is None else float(share)
-    constant = [float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, 0.0, 0.0, 0.0, 0.0]
+    constant = [float(np.log((share + 1e-6) / (1 - share + 1e-6)))] + [0.0] * (WIDTH - 1)
     rows = sampled(docs, labels, 2 * sample, id_column, text_column, label)
     teaches = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(7)), F.lit(2)) == 0
     parts = rows.withColumn("teaches", teaches)
