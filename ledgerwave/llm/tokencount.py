@@ -60,7 +60,7 @@ def vocabulary(docs: DataFrame, tokenizer) -> DataFrame:
         for part in parts:
             for text in part.column("text"):
                 seen.update(pre_tokens(text.as_py()))
-                if len(seen) > 1_000_000:  # bounds the memory of a task
+                if len(seen) > 400_000:  # bounds the memory of a task
                     yield from _emit(seen)
                     seen = Counter()
         yield from _emit(seen)
@@ -89,6 +89,20 @@ def vocabulary(docs: DataFrame, tokenizer) -> DataFrame:
     return written(distinct.mapInArrow(pieces, "token string, n long, pieces int"), "vocabulary")
 
 
+def _least_count(known: DataFrame, frequent: int) -> int:
+    """The count from which on there are at most ``frequent`` pre-tokens, from how many there are of each magnitude."""
+    steps = 16  # a doubling
+    magnitude = F.floor(F.log2("n") * steps)
+    held, least = 0, None
+    rows = known.groupBy(magnitude.alias("m")).agg(F.count("*").alias("tokens"), F.min("n").alias("least")).collect()
+    for row in sorted(rows, key=lambda r: -r["m"]):  # at most 64 * steps rows
+        held += row["tokens"]
+        if held > frequent:
+            break
+        least = row["least"]
+    return (1 << 62) if least is None else least
+
+
 def token_counts(
     docs: DataFrame,
     tokenizer_file: str,
@@ -99,7 +113,7 @@ def token_counts(
 ) -> DataFrame:
     """Per row of ``docs``: id, n_bytes, n_tokens, over_limit, for a tokenizer that drops white space.
 
-    The ``frequent`` most frequent pre-tokens of the corpus reach every task; a document's other pre-tokens are joined
+    At most ``frequent`` pre-tokens, the most frequent of the corpus, reach every task; a document's other pre-tokens are joined
     to the vocabulary by a shuffle, and are few for each. No ids are made, only counts. A null text is an empty one and
     has no tokens; null and repeated ids are kept as they are; rows that repeat both id and text are all returned. An
     empty table gives no rows. Other columns are not read.
@@ -111,8 +125,7 @@ def token_counts(
     known = vocabulary(rows, content)
     top = (
         known.filter(F.octet_length("token") <= FREQUENT_BYTES)
-        .orderBy(F.desc("n"), "token")
-        .limit(frequent)
+        .filter(F.col("n") >= _least_count(known, frequent))
         .select("token", "pieces")
         .toArrow()
     )
