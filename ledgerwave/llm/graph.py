@@ -24,12 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct(),
         "edges",
     )
-    seen = None
-    while True:
-        now = at.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
+    while not _stars(at):
         both = at.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             at.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
@@ -44,6 +39,12 @@ def components(edges: DataFrame) -> DataFrame:
     return at.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(roots)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one lesser end, and that has none."""
+    ends = edges.select(F.col("hi").alias("node"), "lo").unionByName(edges.select(F.col("lo").alias("node"), "lo"))
+    return _empty(ends.groupBy("node").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).filter("a <> b"))
+
+
 def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (a, b) that tie together just what all pairs of members of a bucket with a distance of 1 or less would.
 
@@ -92,25 +93,26 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
 
 def _late(measured: DataFrame, found: list[DataFrame]) -> DataFrame | None:
     """Pairs of a leader's near member and one between 1 and 2 from the leader that nothing ties to it yet."""
-    between = measured.filter("d > 1 and d <= 2")
-    if _empty(between):
+    between = measured.filter("d > 1 and d <= 2").select(F.col("a").alias("leader"), "b", F.col("d").alias("d_b"))
+    near = measured.filter("d <= 1").select(F.col("a").alias("leader"), F.col("b").alias("a"), F.col("d").alias("d_a"))
+    reach = (F.col("a") != F.col("b")) & (F.col("d_a") >= F.col("d_b") - 1)
+    # Which leaders and others still have somebody to be measured against.
+    open_ = written(between.join(near, "leader").filter(reach).select("leader", "b", "d_b").distinct(), "open")
+    if _empty(open_):
         return None
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
     of = written(components(edges), "components")
     own = lambda c: of.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
-    open_ = (
-        between.join(own("a"), "a", "left")
-        .join(own("b"), "b", "left")
-        .filter(~F.coalesce(F.col("of_a") == F.col("of_b"), F.lit(False)))
-        .select(F.col("a").alias("leader"), "b", F.col("d").alias("d_b"))
-    )
-    near = measured.filter("d <= 1").select(F.col("a").alias("leader"), F.col("b").alias("a"), F.col("d").alias("d_a"))
-    return written(
-        open_.join(near, "leader")
-        .filter((F.col("a") != F.col("b")) & (F.col("d_a") >= F.col("d_b") - 1))
+    tied = F.coalesce(F.col("of_leader") == F.col("of_b"), F.lit(False))
+    untied = open_.join(own("leader"), "leader", "left").join(own("b"), "b", "left").filter(~tied)
+    pairs = written(
+        untied.select("leader", "b", "d_b")
+        .join(near, "leader")
+        .filter(reach)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct(),
         "late",
     )
+    return None if _empty(pairs) else pairs
