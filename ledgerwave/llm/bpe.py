@@ -7,7 +7,6 @@ import hashlib
 import json
 import re
 import struct
-import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,17 +14,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerwave.llm.common import text_of
 
 #: Characters normalised and cut into words together, words and symbols remembered by a task, ids decoded together.
-BLOCK, REMEMBERED, MEMO_CHARS, DECODE = 1 << 16, 400_000, 48, 1 << 14
+BLOCK, REMEMBERED, MEMO_BYTES, DECODE = 1 << 16, 400_000, 64, 1 << 14
 
 #: Unicode white space, fixed values; what the tokenizer's pattern calls white space.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUNS = re.compile(f"[^{_SPACE}]+")
 _NEXT_SPACE = re.compile(f"[{_SPACE}]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_LATIN = re.compile("[\x00-\u024f]*")
 
 
 def byte_letters() -> list[str]:
@@ -175,32 +176,35 @@ class Encoder:
             if merges.special
             else None
         )
+        self.library = Tokenizer.from_str(json.dumps({**merges.spec, "model": {**merges.spec["model"], "merges": [], "vocab": {}}}))
+        self.byte = {c: i for i, c in enumerate(byte_letters())}
         self.runs: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.transducer = Transducer(merges)
 
-    def word(self, word: str) -> bytes:
+    def word(self, raw: bytes) -> bytes:
         """The ids of one pre-token, packed."""
-        known = self.words.get(word)
+        known = self.words.get(raw)
         if known is not None:
             return known
-        raw = word.encode()
         symbols = list(map(self.letters.__getitem__, raw))
         symbols[-1] = self.last[raw[-1]]
         if None in symbols:
             symbols = [s for s in symbols if s is not None]
         ids = packed([*self.transducer.feed(symbols), *self.transducer.finish()])
-        if len(word) <= MEMO_CHARS:
+        if len(raw) <= MEMO_BYTES:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-            self.words[word] = ids
+            self.words[raw] = ids
         return ids
 
     def plain(self, text: str) -> Iterator[bytes]:
-        text = text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
-        # Letter by letter: a whole text would give a final sigma another form.
-        lower = text.replace("\u03a3", "\u03c3").lower()
-        return map(self.word, self.pattern.findall(lower))
+        """The ids of the words of a stretch without white space and special tokens."""
+        if _LATIN.fullmatch(text):  # letters of which no version of Unicode thinks otherwise; nothing to compose
+            return map(self.word, [w.encode() for w in self.pattern.findall(text.lower())])
+        # What is a letter, and its lower case, depends on the library's tables.
+        words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return map(self.word, [bytes(map(self.byte.__getitem__, w)) for w, _ in words])
 
     def run(self, run: str) -> bytes:
         """The ids of a stretch without white space, packed. Special tokens are cut out first."""
@@ -217,7 +221,7 @@ class Encoder:
         else:
             parts = self.plain(run)
         ids = b"".join(parts)
-        if len(run) <= MEMO_CHARS:
+        if len(run) <= MEMO_BYTES:
             if len(self.runs) >= REMEMBERED:
                 self.runs.clear()
             self.runs[run] = ids
