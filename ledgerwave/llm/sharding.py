@@ -58,11 +58,12 @@ def assign(groups: DataFrame, shards: int = SHARDS, cell: int = CELL, parts: int
     """(item, bytes), one row per group, to (item, shard).
 
     Cells of about ``cell`` groups are differenced into ``parts`` bundles each, and the bundles into shards; with more
-    than ``last`` bundles they are bundled again. Groups above a 1,024th of a shard, of which there can be no more than 1,024
-    a shard, are kept out of the cells and meet the bundles as they are, so the rest fills up around them.
+    than ``last`` bundles they are bundled again. Groups of more than two ``last``-ths of all bytes, of which there can
+    be no more than half of ``last``, are kept out of the cells and meet the bundles as they are, so the rest fills up
+    around them.
     """
     total, count = groups.agg(F.sum("bytes"), F.count("*")).first()
-    heavy = (total or 0) // (shards * 1024)
+    heavy = 2 * (total or 0) // last
     # An item is named by the level it was made at and its number there; groups are of level 0.
     items, bundles, level = groups.select(F.lit(0).alias("level"), "item", "bytes"), [], 0
     while count > last:
