@@ -49,25 +49,22 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
     """Links (a, b) that tie together just what all pairs of members of a bucket with a distance of 1 or less would.
 
     ``members`` has (bucket, id); ``measure`` adds ``d`` to pairs (a, b), a metric, and may leave out pairs beyond 2.
-    Not all pairs of a bucket are made. Its least ids lead: one at first, 64 in the second round, 4,096 in the third. Each
-    member is measured against the leaders. A member within 1 of a leader is done, for whoever is near to it is within
-    2 of the leader. Those between 1 and 2, unless tied already, are measured against the leader's own members, as far
-    as the distances leave it possible (d(a, b) >= d(leader, b) - d(leader, a)). The rest of the bucket goes on to the
-    next round. So a group of thousands of copies costs a distance for each of them, and a bucket of strangers one for
-    each pair of them at worst.
+    Not all pairs of a bucket are made. Its least ids lead: one at first, 64 in the second round, 4,096 in the third.
+    Each member is measured against the leaders, from the second round on only those that nothing ties to the leader
+    yet. A member within 1 of a leader is done, for whoever is near to it is within 2 of the leader. Those between 1
+    and 2, unless tied already, are measured against the leader's own members, as far as the distances leave it
+    possible (d(a, b) >= d(leader, b) - d(leader, a)). Buckets that are not yet tied as a whole go on to the next round.
+    So a group of thousands of copies costs a distance for each of them, and a bucket of strangers one for each pair of
+    them at worst.
     """
+    lead = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+    lead = written(lead.filter("leader <> last").drop("last"), "leaders")
+    rest = written(members.join(lead.select("bucket"), "bucket", "left_semi"), "members")
+    met = rest.join(lead, "bucket").filter("id > leader").select("bucket", "leader", "id")
     found: list[DataFrame] = []
-    rest, many = members, 1
+    many = 1
     while True:
-        if many == 1:
-            lead = rest.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-            lead = lead.filter("leader <> last").drop("last")
-        else:
-            nth = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-            lead = rest.withColumn("nth", nth).filter(F.col("nth") <= many)
-            lead = lead.select("bucket", F.col("id").alias("leader"))
-        lead = written(lead, "leaders")
-        met = written(rest.join(lead, "bucket").filter("id > leader").select("bucket", "leader", "id"), "met")
+        met = written(met, "met")
         if _empty(met):
             break
         pairs = met.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -76,19 +73,34 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
         found.append(near.select("a", "b"))
         late = _late(measured, found)
         if late is not None:
-            further = written(measure(late).select("a", "b", "d").filter("d <= 1").select("a", "b"), "late")
-            found.append(further)
-        # Who has met no near leader goes on, the leaders themselves do not.
+            found.append(written(measure(late).select("a", "b", "d").filter("d <= 1").select("a", "b"), "late"))
+        # Leaders and who has met a near one are done; the others go on, if their bucket is not of one component.
         tied = met.join(near.select(F.col("a").alias("leader"), F.col("b").alias("id")), ["leader", "id"], "left_semi")
         gone = tied.select("bucket", "id").unionByName(lead.select("bucket", F.col("leader").alias("id")))
-        rest = written(met.select("bucket", "id").distinct().join(gone, ["bucket", "id"], "left_anti"), "rest")
-        if _empty(rest):
+        of = written(components(_all(found)), "components")
+        left = rest.join(gone, ["bucket", "id"], "left_anti").join(of, "id", "left")
+        left = written(left.select("bucket", "id", F.coalesce("component", "id").alias("of")), "left")
+        mixed = left.groupBy("bucket").agg(F.min("of").alias("x"), F.max("of").alias("y")).filter("x <> y")
+        open_ = written(left.join(mixed.select("bucket"), "bucket", "left_semi"), "rest")
+        if _empty(open_):
             break
         many *= 64
-    result = found[0] if found else members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    for more in found[1:]:
+        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+        first = open_.withColumn("nth", nth).filter(F.col("nth") <= many)
+        lead = written(first.select("bucket", F.col("id").alias("leader"), F.col("of").alias("leads")), "leaders")
+        met = open_.join(lead, (open_["bucket"] == lead["bucket"]) & (F.col("id") > F.col("leader")) & (F.col("of") != F.col("leads")))
+        met = met.select(open_["bucket"], "leader", "id")
+        rest = open_.select("bucket", "id")
+    if not found:
+        return members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    return _all(found).distinct()
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    result = frames[0]
+    for more in frames[1:]:
         result = result.unionByName(more)
-    return result.distinct()
+    return result
 
 
 def _late(measured: DataFrame, found: list[DataFrame]) -> DataFrame | None:
@@ -96,14 +108,12 @@ def _late(measured: DataFrame, found: list[DataFrame]) -> DataFrame | None:
     between = measured.filter("d > 1 and d <= 2").select(F.col("a").alias("leader"), "b", F.col("d").alias("d_b"))
     near = measured.filter("d <= 1").select(F.col("a").alias("leader"), F.col("b").alias("a"), F.col("d").alias("d_a"))
     reach = (F.col("a") != F.col("b")) & (F.col("d_a") >= F.col("d_b") - 1)
-    # Which leaders and others still have somebody to be measured against.
-    open_ = written(between.join(near, "leader").filter(reach).select("leader", "b", "d_b").distinct(), "open")
+    # Which leaders and others still have somebody to be measured against: their farthest near member tells.
+    farthest = near.groupBy("leader").agg(F.max("d_a").alias("most"))
+    open_ = written(between.join(farthest, "leader").filter("most >= d_b - 1").select("leader", "b", "d_b"), "open")
     if _empty(open_):
         return None
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    of = written(components(edges), "components")
+    of = written(components(_all(found)), "components")
     own = lambda c: of.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
     tied = F.coalesce(F.col("of_leader") == F.col("of_b"), F.lit(False))
     untied = open_.join(own("leader"), "leader", "left").join(own("b"), "b", "left").filter(~tied)
