@@ -31,6 +31,11 @@ HEADLINE = (
     "training_pairs",
     "round_scorecard",
     "shrink_to_global",
+    "kpi_frame",
+    "matchup_modifiers",
+    "reasoning_text",
+    "run_checks",
+    "train_method",
 )
 
 

@@ -24,8 +24,13 @@ def resolve_entity(spark: SparkSession, names: DataFrame, requests: Sequence[str
 
     The requests are a short list typed in by the caller, so each name is
     checked against them in place; ties go to the least fighter key.
+    A blank request matches nobody.
     """
-    wanted = [(i, r, r.split()[0]) for i, r in enumerate(requests)]
+    wanted = [(i, r, r.split()[0]) for i, r in enumerate(requests) if r.strip()]
+    every = spark.createDataFrame(list(enumerate(requests)), "request_id int, requested string")
+    if not wanted:
+        nobody = names.limit(0).select("fighter_url", "fighter")
+        return every.join(nobody, F.lit(False), "left").select("request_id", "requested", "fighter_url", "fighter")
     asked = F.array(
         *[
             F.struct(
@@ -51,8 +56,7 @@ def resolve_entity(spark: SparkSession, names: DataFrame, requests: Sequence[str
             )
         ).alias("best")
     )
-    table = spark.createDataFrame([(i, r) for i, r, _ in wanted], "request_id int, requested string")
-    return table.join(best, "request_id", "left").select(
+    return every.join(best, "request_id", "left").select(
         "request_id", "requested", "best.fighter_url", "best.fighter"
     )
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -181,20 +182,25 @@ def _aggregate(
     by: tuple[str, ...],
     grain: str | None,
     semi_additive: str | None,
+    rows: str | None = None,
+    named: tuple[str, ...] = (),
 ) -> DataFrame:
     """All metrics of one model in one pass.
 
+    ``rows`` is a condition on the dimensions ``named``, which the result need not be grouped by.
+
     Rows are first summed per key of the dimensions in question, so that a key
     with very many rows meets its dimension as a few; filters are conditions
     inside the sums, so metrics with different filters share the pass.
     """
     local = {d: model.dimensions[d] for d in model.dimensions}
     foreign = {}
-    for name in by:
+    sliced = list(dict.fromkeys([*by, *named]))
+    for name in sliced:
         if "__" in name and name.split("__")[0] != model.name:
             entity, dimension = name.split("__")
             foreign[name] = (entity, dimension)
-    own = [n for n in by if n not in foreign]
+    own = [n for n in sliced if n not in foreign]
     source = tables[model.table].withColumns({d: F.expr(e) for d, e in local.items() if d != e})
 
     measures = {m.name: _measure_of(m)[1] for m in metrics}
@@ -229,6 +235,8 @@ def _aggregate(
         )
         partial = join_hot(partial, dimension, [f"{entity}_entity"])
 
+    if rows is not None:
+        partial = partial.filter(rows)
     group = [*by, *(["metric_time"] if grain else [])]
     if last_only and grain:
         latest = partial.groupBy("metric_time").agg(F.max("snapshot_time").alias("latest_time"))
@@ -261,6 +269,19 @@ def measure_totals(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _row_dimensions(where: Column | str | None, by: tuple[str, ...], models: Sequence[str]) -> tuple[str, ...]:
+    """The dimensions of a condition that the result is not grouped by."""
+    if not isinstance(where, str):
+        return ()
+    said = set(re.findall(r"[A-Za-z_]\w*", re.sub(r"'[^']*'", "", where)))
+    known = {f"{m.name}__{d}" for m in MODELS.values() for d in m.dimensions}
+    known |= {d for name in models for d in MODELS[name].dimensions}
+    found = tuple(sorted((said & known) - set(by)))
+    if found and said & set(METRICS):
+        raise ValueError("a condition is on rows or on metrics, not on both")
+    return found
+
+
 def metric(
     tables: Tables,
     *names: str,
@@ -272,7 +293,8 @@ def metric(
     """Metrics by dimensions and time.
 
     ``by`` names a dimension of the fact (``revenue_category``) or of a joined
-    entity (``account__segment``). ``where`` filters the result's groups.
+    entity (``account__segment``). ``where`` filters the result's groups; if it
+    names a dimension that is not in ``by``, it filters the rows instead.
     ``semi_additive="last"`` takes a balance from the last snapshot of each
     period instead of adding up its snapshots.
     """
@@ -282,8 +304,13 @@ def metric(
     parts: dict[str, list[Metric]] = {}
     for base in _base_metrics(names):
         parts.setdefault(_measure_of(base)[0].name, []).append(base)
+    named = _row_dimensions(where, by, list(parts))
+    rows = where if named else None
+    if named:
+        named = tuple(dict.fromkeys([*named, *[d for d in by if d in where]]))
     frames = [
-        _aggregate(tables, MODELS[model], metrics, by, grain, semi_additive) for model, metrics in parts.items()
+        _aggregate(tables, MODELS[model], metrics, by, grain, semi_additive, rows, named)
+        for model, metrics in parts.items()
     ]
     if len(frames) == 1:
         result = frames[0]
@@ -291,7 +318,7 @@ def metric(
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         values = [c for c in stacked.columns if c not in group]
         result = stacked.groupBy(*group).agg(*[F.max(c).alias(c) for c in values])
-    if where is not None:
+    if where is not None and not named:
         result = result.filter(where)
     columns = [F.col(n) if METRICS[n].measure else F.expr(METRICS[n].expr).alias(n) for n in names]
     return result.select(*group, *columns)

@@ -51,18 +51,22 @@ def _assembled(*stages: Estimator, inputs: tuple[str, ...] = FEATURES, scaled: b
 
 def gradient_boosting(trees: int) -> GBTClassifier:
     return GBTClassifier(
-        maxIter=trees, maxDepth=4, stepSize=0.03, subsamplingRate=0.8, minInstancesPerNode=20, seed=42
+        maxIter=trees, maxDepth=4, stepSize=0.03, subsamplingRate=0.8, minInstancesPerNode=20, seed=42, weightCol="weight"
     )
 
 
 def logistic(inverse_regularization: float, rows: int) -> LogisticRegression:
-    """MLlib averages the loss over rows, so an inverse strength C becomes 1 / (C rows)."""
-    return LogisticRegression(regParam=1.0 / (inverse_regularization * max(rows, 1)), maxIter=1000)
+    """MLlib averages the loss over rows, so an inverse strength C becomes 1 / (C rows).
+
+    Inputs are taken as they come: the penalty is on the coefficients themselves.
+    """
+    strength = 1.0 / (inverse_regularization * max(rows, 1))
+    return LogisticRegression(regParam=strength, maxIter=1000, standardization=False, weightCol="weight")
 
 
 def candidates(rows: int, trees: int = 400, epochs: int = 500) -> dict[str, Pipeline]:
-    """The winner models that are compared."""
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=8, minInstancesPerNode=15, seed=42)
+    """The winner models that are compared. All but the network, which has no such parameter, take row weights."""
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=8, minInstancesPerNode=15, seed=42, weightCol="weight")
     network = MultilayerPerceptronClassifier(layers=[len(FEATURES), 64, 32, 2], maxIter=epochs, seed=42)
     return {
         "GradientBoosting": _assembled(gradient_boosting(trees)),
@@ -106,10 +110,9 @@ def fold_accuracy(scored: DataFrame) -> DataFrame:
 def calibrate(scored: DataFrame) -> IsotonicRegressionModel:
     """Isotonic map from out-of-fold score to probability.
 
-    Scores are pooled at four decimals first, so the fit sees at most ten
-    thousand weighted points however many rows there are.
+    Rows of equal score are pooled into one weighted point first, which does not change the fit.
     """
-    pooled = scored.groupBy(F.round("score", 4).alias("score")).agg(
+    pooled = scored.groupBy("score").agg(
         F.avg(F.col("label").cast("double")).alias("label"), F.count("*").cast("double").alias("rows")
     )
     return IsotonicRegression(featuresCol="score", labelCol="label", weightCol="rows", predictionCol="calibrated").fit(
@@ -269,7 +272,9 @@ def stack(pairs: DataFrame, estimators: dict[str, Estimator], folds: int = FOLDS
         fitted = {name: estimator.fit(train) for name, estimator in estimators.items()}
         return _base_scores(folded.filter(F.col("fold") == k), fitted)
 
-    unseen = reduce(DataFrame.unionByName, _each_fold(one, folds)).select("fight_id", "mirrored", "fold", "label", *estimators)
+    unseen = reduce(DataFrame.unionByName, _each_fold(one, folds)).select(
+        "fight_id", "mirrored", "fold", "label", "weight", *estimators
+    )
     names = tuple(estimators)
     meta = _assembled(logistic(1.0, folded.count()), inputs=names).fit(unseen)
     bases = {name: estimator.fit(folded) for name, estimator in estimators.items()}

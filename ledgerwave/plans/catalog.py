@@ -122,6 +122,9 @@ register("ratio_metric", lambda r: metrics.metric(r, "average_utilization", grai
 register("metric_by_dimension", lambda r: metrics.metric(
     r, "bookings_acv", "won_opportunity_count", by=("account__segment", "sales_rep__sales_region"),
     grain="quarter"))
+register("metric_where", lambda r: metrics.metric(
+    r, "bookings_acv", "pipeline_acv", by=("sales_rep__sales_region",), grain="year",
+    where="account__segment = 'BUILDING' or account__segment is null"))
 register("metric_last_snapshot", lambda r: metrics.metric(
     r, "total_arr", "net_new_arr", by=("account__segment",), grain="year", semi_additive="last"))
 

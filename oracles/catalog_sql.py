@@ -233,6 +233,12 @@ FINAL["metric_by_dimension"] = f"""
          {total('f.acv', 'bookings_acv', WON)}, {WON_COUNT}
   FROM acv_lines f LEFT JOIN st_accounts a USING (account_id) LEFT JOIN st_users u ON f.owner_id = u.user_id
   GROUP BY 1, 2, 3"""
+FINAL["metric_where"] = f"""
+  SELECT u.sales_region AS sales_rep__sales_region, {period('year', 'f.close_date')},
+         {total('f.acv', 'bookings_acv', WON)}, {total('f.acv', 'pipeline_acv', OPEN)}
+  FROM acv_lines f LEFT JOIN st_accounts a USING (account_id) LEFT JOIN st_users u ON f.owner_id = u.user_id
+  WHERE a.segment = 'BUILDING' OR a.segment IS NULL
+  GROUP BY 1, 2"""
 FINAL["metric_last_snapshot"] = f"""
   SELECT a.segment AS account__segment, {period('year', 'f.measurement_month')},
          {total('f.ending_arr', 'total_arr', 'f.measurement_month = y.latest')}, {total('f.arr_change', 'net_new_arr')}

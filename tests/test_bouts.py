@@ -285,3 +285,10 @@ def test_decisions(spark):
         "two": ("fighter1", "Decision (Split)"), "one each": ("fighter1", "Decision (Split)"),
         "level": ("fighter1", "Decision (Majority)"), "one": ("fighter2", "Decision (Majority)"),
     }
+
+
+def test_a_blank_request_matches_nobody(spark):
+    names = spark.createDataFrame([("u1", "Ann Lee")], "fighter_url string, fighter string")
+    for requests in (["ann lee", "  ", ""], ["", " "]):
+        found = {r.request_id: r.fighter_url for r in cards.resolve_entity(spark, names, requests).collect()}
+        assert found == {i: "u1" if r.strip() else None for i, r in enumerate(requests)}

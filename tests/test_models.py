@@ -28,7 +28,7 @@ def training(spark):
         "fight_id string, mirrored boolean, " + ", ".join(f"{f} double" for f in FEATURES)
         + ", label int, method string, " + ", ".join(f"winner_{f} double" for f in METHOD_FEATURES)
     )
-    return spark.createDataFrame(rows, schema).repartition(2).cache()
+    return spark.createDataFrame(rows, schema).withColumn("weight", F.lit(1.0)).repartition(2).cache()
 
 
 def test_mirrored_rows_share_a_fold(training):
