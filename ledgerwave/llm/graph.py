@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwave.llm.common import written
@@ -45,7 +45,11 @@ def _stars(edges: DataFrame) -> bool:
     return _empty(ends.groupBy("node").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).filter("a <> b"))
 
 
-def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def links(
+    members: DataFrame,
+    measure: Callable[[DataFrame], DataFrame],
+    may: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """Links (a, b) that tie together just what all pairs of members of a bucket with a distance of 1 or less would.
 
     ``members`` has (bucket, id); ``measure`` adds ``d`` to pairs (a, b), a metric, and may leave out pairs beyond 2.
@@ -54,19 +58,23 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
     yet. A member within 1 of a leader is done, for whoever is near to it is within 2 of the leader. Those between 1
     and 2, unless tied already, are measured against the leader's own members, as far as the distances leave it
     possible (d(a, b) >= d(leader, b) - d(leader, a)). Buckets that are not yet tied as a whole go on to the next round.
+    With ``may``, a condition on the ``mark`` that members then have, a bucket's pairs are left out as they are joined if
+    their marks tell that they are more than 2 apart.
+
     So a group of thousands of copies costs a distance for each of them, and a bucket of strangers one for each pair of
     them at worst.
     """
-    lead = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+    if may is None:
+        members, may = members.withColumn("mark", F.lit(0)), lambda a, b: F.lit(True)
+    lead = members.groupBy("bucket").agg(F.min(F.struct("id", "mark")).alias("m"), F.max("id").alias("last"))
+    lead = lead.select("bucket", F.col("m.id").alias("leader"), F.col("m.mark").alias("lead_mark"), "last")
     lead = written(lead.filter("leader <> last").drop("last"), "leaders")
-    rest = written(members.join(lead.select("bucket"), "bucket", "left_semi"), "members")
-    met = rest.join(lead, "bucket").filter("id > leader").select("bucket", "leader", "id")
+    rest = written(members.join(lead.select("bucket"), "bucket", "left_semi").select("bucket", "id", "mark"), "members")
+    met = _met(rest, lead, may(F.col("lead_mark"), F.col("mark")))
     found: list[DataFrame] = []
     many = 1
     while True:
         met = written(met, "met")
-        if _empty(met):
-            break
         pairs = met.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
         measured = written(measure(pairs).select("a", "b", "d"), "measured")
         near = measured.filter("d <= 1")
@@ -79,7 +87,7 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
         gone = tied.select("bucket", "id").unionByName(lead.select("bucket", F.col("leader").alias("id")))
         of = written(components(_all(found)), "components")
         left = rest.join(gone, ["bucket", "id"], "left_anti").join(of, "id", "left")
-        left = written(left.select("bucket", "id", F.coalesce("component", "id").alias("of")), "left")
+        left = written(left.select("bucket", "id", "mark", F.coalesce("component", "id").alias("of")), "left")
         mixed = left.groupBy("bucket").agg(F.min("of").alias("x"), F.max("of").alias("y")).filter("x <> y")
         open_ = written(left.join(mixed.select("bucket"), "bucket", "left_semi"), "rest")
         if _empty(open_):
@@ -87,15 +95,21 @@ def links(members: DataFrame, measure: Callable[[DataFrame], DataFrame]) -> Data
         many *= 64
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
         first = open_.withColumn("nth", nth).filter(F.col("nth") <= many)
-        lead = written(first.select("bucket", F.col("id").alias("leader"), F.col("of").alias("leads")), "leaders")
-        met = open_.join(lead, (open_["bucket"] == lead["bucket"]) & (F.col("id") > F.col("leader")) & (F.col("of") != F.col("leads")))
-        met = met.select(open_["bucket"], "leader", "id")
-        rest = open_.select("bucket", "id")
-    if not found:
-        return members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+        lead = first.select(
+            "bucket", F.col("id").alias("leader"), F.col("mark").alias("lead_mark"), F.col("of").alias("leads")
+        )
+        lead = written(lead, "leaders")
+        met = _met(open_, lead, (F.col("of") != F.col("leads")) & may(F.col("lead_mark"), F.col("mark")))
+        rest = open_.select("bucket", "id", "mark")
     return _all(found).distinct()
 
 
+def _met(rest: DataFrame, lead: DataFrame, condition: Column) -> DataFrame:
+    same = rest["bucket"] == lead["bucket"]
+    met = rest.join(lead, same & (F.col("id") > F.col("leader")) & condition)
+    return met.select(rest["bucket"], "leader", "id")
+
+
 def _all(frames: list[DataFrame]) -> DataFrame:
     result = frames[0]
     for more in frames[1:]:
