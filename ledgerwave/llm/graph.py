@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerwave.llm.common import written
 
+#: Edges that a task takes when components are sought.
+EDGES_OF_A_TASK = 500_000
+#: So many members of a bucket are held against all of it at first, see ``tied``.
+LEADERS = 16
 
 def _empty(frame: DataFrame) -> bool:
     return not frame.take(1)
@@ -18,23 +22,25 @@ def components(edges: DataFrame) -> DataFrame:
     """(a, b) to (id, component): the least id of all that an id of some edge is tied to.
 
     Alternating large and small stars: every node hangs its larger neighbours on the least of them, until each
-    component is a star. A node of very many edges is only ever a join key or a least value.
+    component is a star. A node of very many edges is only ever a join key or a least value. There are as many tasks as
+    the edges need, so few edges do not cost a task for every shuffle partition.
     """
     at = written(
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct(),
         "edges",
     )
+    tasks = max(8, at.count() // EDGES_OF_A_TASK)
     while not _stars(at):
         both = at.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             at.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = written(
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large"
-        )
-        lowest = written(large.groupBy("hi").agg(F.min("lo").alias("m")), "lowest")
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(tasks), "least")
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = written(large.coalesce(tasks), "large")
+        lowest = written(large.groupBy("hi").agg(F.min("lo").alias("m")).coalesce(tasks), "lowest")
         small = large.join(lowest, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        at = written(small.unionByName(lowest.select("hi", F.col("m").alias("lo"))).distinct(), "small")
+        both = small.unionByName(lowest.select("hi", F.col("m").alias("lo")))
+        at = written(both.distinct().coalesce(tasks), "small")
     roots = at.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
     return at.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(roots)
 
@@ -45,6 +51,49 @@ def _stars(edges: DataFrame) -> bool:
     return _empty(ends.groupBy("node").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).filter("a <> b"))
 
 
+def tied(
+    members: DataFrame,
+    may: Callable[[Column, Column], Column],
+    verify: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """(id, component): the components that all linked pairs of members of a bucket make.
+
+    ``members`` has (bucket, id, mark). A pair is a link if its marks fulfil ``may``, which the join of a bucket asks
+    before it makes a row, and ``verify`` keeps it of the pairs (a, b). At first the 16 least ids of each bucket are
+    held against its members. What that leaves, pairs of others in larger buckets, is made only for members of different
+    components: a group of thousands of copies, tied to one of its own by then, makes no pairs of its members.
+    Ids without a link are left out.
+    """
+    size = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    several = written(size.filter("size > 1").select("bucket", "size"), "several")
+    met = written(members.join(several, "bucket").select("bucket", "id", "mark", "size"), "met")
+    nth = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+    lead = met.select("bucket", "id", "mark").withColumn("nth", nth).filter(F.col("nth") <= LEADERS)
+    lead = written(lead.select("bucket", F.col("id").alias("a"), F.col("mark").alias("mark_a")), "leaders")
+    pairs = met.join(lead, "bucket").filter((F.col("id") > F.col("a")) & may(F.col("mark_a"), F.col("mark")))
+    found = written(verify(written(pairs.select("a", F.col("id").alias("b")).distinct(), "pairs")), "links")
+    of = written(components(found), "components")
+
+    others = met.filter(F.col("size") > LEADERS).join(
+        lead.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti"
+    )
+    others = others.join(of, "id", "left").select("bucket", "id", "mark", F.coalesce("component", "id").alias("of"))
+    others = written(others, "others")
+    mixed = others.groupBy("bucket").agg(F.min("of").alias("x"), F.max("of").alias("y")).filter("x <> y")
+    left = written(others.join(mixed.select("bucket"), "bucket", "left_semi"), "left")
+    if _empty(left):
+        return of
+    a, b = (left.withColumnsRenamed({c: f"{c}_{n}" for c in left.columns}) for n in "ab")
+    apart = (F.col("id_a") < F.col("id_b")) & (F.col("of_a") != F.col("of_b"))
+    rest = a.join(b, (F.col("bucket_a") == F.col("bucket_b")) & apart & may(F.col("mark_a"), F.col("mark_b")))
+    more = written(verify(written(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs")), "links")
+    if _empty(more):
+        return of
+    # Found components stand for their links.
+    stars = of.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(more))
+
+
 def links(
     members: DataFrame,
     measure: Callable[[DataFrame], DataFrame],
