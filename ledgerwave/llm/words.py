@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 _NO_LETTER = re.compile(r"[\W_]+")
@@ -38,6 +39,18 @@ class WordHashes(dict):
         found = np.fromiter(map(self.__getitem__, stretches), np.uint64, len(stretches))
         return found[found != 0]
 
+    def of_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of several lower-cased texts in a row, and where each text's end."""
+        stretches, ends = [], []
+        for text in texts:
+            stretches += text.split()
+            ends.append(len(stretches))
+        coded = pa.array(stretches, pa.string()).dictionary_encode()
+        known = np.fromiter(map(self.__getitem__, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+        found = known[coded.indices.to_numpy()]
+        real = found != 0
+        return found[real], np.concatenate([[0], np.cumsum(real)])[np.array(ends, np.int64)]
+
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 

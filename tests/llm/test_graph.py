@@ -59,3 +59,33 @@ def test_one_group_of_copies_costs_one_distance_each(spark):
 
     assert graph.links(members, measure).count() == 2999
     assert asked == [2999]
+
+
+@pytest.mark.parametrize("spread", [4.0, 40.0])
+def test_tied_is_what_all_pairs_of_buckets_tie(spark, spread):
+    """Points on a line, a large bucket and several small ones; the marks tell half of the truth, ``verify`` the rest."""
+    own = random.Random(int(spread))
+    at = {i: own.random() * spread for i in range(150)}
+    buckets = {(0, i) for i in range(110)} | {(b, own.randrange(150)) for b in range(1, 30) for _ in range(4)}
+    members = spark.createDataFrame([(b, i, at[i]) for b, i in buckets], "bucket long, id long, mark double")
+    linked = lambda a, b: abs(at[a] - at[b]) <= 0.3 and (a + b) % 3 > 0
+    found = graph.tied(members, lambda a, b: F.abs(a - b) <= 0.3, lambda pairs: pairs.filter((F.col("a") + F.col("b")) % 3 > 0))
+    of = {}
+    for bucket, i in buckets:
+        of.setdefault(bucket, set()).add(i)
+    every = {(a, b) for s in of.values() for a in s for b in s if a < b and linked(a, b)}
+    truth = grouped(every, {x for pair in every for x in pair})
+    assert {r["id"]: r["component"] for r in found.collect()} == truth
+
+
+def test_tied_makes_few_pairs_of_a_group_of_copies(spark):
+    members = spark.range(3000).select(F.lit(1).cast("long").alias("bucket"), "id", F.lit(0).alias("mark"))
+    asked = []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return pairs
+
+    found = graph.tied(members, lambda a, b: a == b, verify)
+    assert found.count() == 3000 and found.select("component").distinct().count() == 1
+    assert asked == [sum(3000 - i - 1 for i in range(graph.LEADERS))]
