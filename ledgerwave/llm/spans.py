@@ -32,8 +32,9 @@ class Spans:
         self.at_least, self.words, self.long = at_least, words, long
 
     def of(self, text: str) -> list[tuple[int, int, bytes]]:
-        """First sentence, sentence after the last, and hash of the shortest span from every sentence on.
+        """First sentence, sentence after the last, and hash of the shortest spans from and up to every sentence.
 
+        A longer run is covered by those that begin in it and those that end in it: if it has occurred, they have.
         Sentences are compared in lower case with one blank for white space. Stretches without a word count for nothing.
         """
         places, counts, digests = [], [0], []
@@ -43,24 +44,30 @@ class Spans:
                 places.append(i)
                 counts.append(counts[-1] + len(words))
                 digests.append(xxhash.xxh3_64_digest(" ".join(words).encode()))
-        packed, result, end = b"".join(digests), [], 0
+        packed, found, end = b"".join(digests), set(), 0
         for i in range(len(places)):
             end = max(end, i + 1)
             while end <= len(places) and not self._enough(end - i, counts[end] - counts[i]):
                 end += 1
             if end > len(places):
                 break
-            result.append((places[i], places[end - 1] + 1, xxhash.xxh3_128_digest(packed[8 * i : 8 * end])))
-        return result
+            found.add((i, end))
+        start = 0
+        for end in range(1, len(places) + 1):
+            while start < end and self._enough(end - start, counts[end] - counts[start]):
+                start += 1
+            if start:
+                found.add((start - 1, end))
+        return [(places[i], places[j - 1] + 1, xxhash.xxh3_128_digest(packed[8 * i : 8 * j])) for i, j in sorted(found)]
 
     def _enough(self, sentences_: int, words: int) -> bool:
         return (sentences_ >= self.at_least and words >= self.words) or words >= self.long
 
-    def without(self, text: str, starts: list[int]) -> tuple[str, int]:
-        """The text without the sentences of the spans that start at the sentences given, and how many those are."""
-        gone, wanted = set(), set(starts)
-        for start, end, _ in self.of(text):
-            if start in wanted:
+    def without(self, text: str, numbers: list[int]) -> tuple[str, int]:
+        """The text without the sentences of the spans of these numbers in ``of``, and how many those are."""
+        gone, wanted = set(), set(numbers)
+        for number, (start, end, _) in enumerate(self.of(text)):
+            if number in wanted:
                 gone.update(range(start, end))
         places = sentences(text)
         kept = "".join(text[a:b] for i, (a, b) in enumerate(places) if i not in gone)
@@ -68,7 +75,7 @@ class Spans:
 
 
 def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, text_key, parts): the sentences at which spans begin that have occurred before, for rows with any.
+    """(doc_id, text_key, parts): the numbers of the spans that have occurred before, for rows with any.
 
     The first of equal spans is the one of the least doc_id, then text, then place. A null id is less than none. Rows
     that agree in id and text are one document. Spans are joined by a 128-bit hash; occurrences of one are counted
@@ -80,25 +87,25 @@ def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str =
 
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            starts, hashes = [], []
+            numbers, hashes = [], []
             for text in part.column("text"):
                 own = spans.of(text.as_py())
-                starts.append([s for s, _, _ in own])
+                numbers.append(range(len(own)))
                 hashes.append([h for _, _, h in own])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     part.column("text_key"),
-                    pa.array(starts, pa.list_(pa.int32())),
+                    pa.array(numbers, pa.list_(pa.int32())),
                     pa.array(hashes, pa.list_(pa.binary())),
                 ],
-                ["doc_id", "text_key", "starts", "hashes"],
+                ["doc_id", "text_key", "numbers", "hashes"],
             )
 
     rows = written(
         texts.withColumn("text_key", text_key(F.col("text")))
         .select("doc_id", "text_key", "text")
-        .mapInArrow(hashed, f"doc_id {kind}, text_key binary, starts array<int>, hashes array<binary>")
+        .mapInArrow(hashed, f"doc_id {kind}, text_key binary, numbers array<int>, hashes array<binary>")
         .withColumn("row", F.monotonically_increasing_id()),
         "spans",
     )
@@ -106,21 +113,21 @@ def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str =
     names = written(rows.groupBy("doc_id", "text_key").agg(F.min("row").alias("row")), "names")
     own = rows.join(names.select("row"), "row", "left_semi") if _repeated(rows, names) else rows
     each = own.select(
-        "doc_id", "row", F.explode(F.arrays_zip("starts", "hashes")).alias("z")
-    ).select("doc_id", "row", F.col("z.starts").alias("start"), F.col("z.hashes").alias("hash"))
+        "doc_id", "row", F.explode(F.arrays_zip("numbers", "hashes")).alias("z")
+    ).select("doc_id", "row", F.col("z.numbers").alias("nth"), F.col("z.hashes").alias("hash"))
     again = written(
         each.groupBy("hash")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "start")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "nth")).alias("first"))
         .filter("n > 1")
-        .select("hash", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")),
+        .select("hash", F.col("first.row").alias("first_row"), F.col("first.nth").alias("first_nth")),
         "repeated",
     )
     later = (
-        each.select("row", "start", "hash")
+        each.select("row", "nth", "hash")
         .join(again, "hash")
-        .filter((F.col("row") != F.col("first_row")) | (F.col("start") != F.col("first_start")))
+        .filter((F.col("row") != F.col("first_row")) | (F.col("nth") != F.col("first_nth")))
         .groupBy("row")
-        .agg(F.collect_set("start").alias("parts"))  # at most the sentences of one text
+        .agg(F.collect_set("nth").alias("parts"))  # at most two for each sentence of one text
     )
     return written(later.join(names, "row").select("doc_id", "text_key", "parts"), "cuts")
 
@@ -132,9 +139,9 @@ def _repeated(rows: DataFrame, names: DataFrame) -> bool:
 def dedup_spans(docs: DataFrame, spans: Spans | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` as the struct ``row``, its text without repeated sentences, and ``removed``, how many have gone.
 
-    Every sentence goes that a span covers which has occurred before, in this document or one of a lower id. A span is
-    the shortest run of consecutive sentences from one on with at least three sentences and twenty words, or with
-    fifty words. A null text has no sentence and stays null; a text may become empty, its row stays. Rows that agree
+    Every sentence goes that is in a run which has occurred before, in this document or one of a lower id. A run is
+    made of consecutive whole sentences, at least three with twenty words or any with fifty words. The shortest ones
+    from each sentence on and up to each sentence cover all longer ones. A null text has no sentence and stays null; a text may become empty, its row stays. Rows that agree
     in id and text are one document and stay alike. An empty table gives no rows. As the row travels in a struct, no
     name of it can clash.
     """
