@@ -18,11 +18,13 @@ from ledgerwave.llm.words import WordHashes, shingles
 #: Words of a shingle, similarity of a link, samples in a band, bands. A pair at the threshold shares a band with
 #: probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, one at 0.9 with 0.999998.
 SHINGLE, SIMILARITY, ROWS, BANDS = 5, 0.8, 3, 10
-#: Document frequencies are counted by hashed shingle, as with hashed features: a table of fixed size. They travel in
-#: so many pieces, added up in two steps.
+#: Samples are drawn with document frequencies of hashed features: a table of fixed size. They travel in so many pieces,
+#: added up in two steps. Pairs are verified with those of the shingles themselves, see ``shingle_frequencies``.
 FEATURES, PIECES, SLICES = 1 << 18, 64, 64
 #: Rows of the table of random variates.
 VARIATES = 1 << 16
+#: Shingles that a task counts before it hands them on, and rows of a batch of them.
+COUNTED, BATCH = 1 << 22, 1 << 17
 
 
 class Sampler:
@@ -94,6 +96,31 @@ def document_frequencies(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
     return np.concatenate([found[i] for i in range(PIECES)]), int(found[PIECES][0])
 
 
+def shingle_frequencies(docs: DataFrame, size: int) -> DataFrame:
+    """(shingle, n): in how many rows of (text) each shingle occurs that occurs in several. Every row counts."""
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, total = WordHashes(), [], 0
+        for part in parts:
+            for text in part.column("text"):
+                held.append(np.unique(shingles(hashes.of(text.as_py().lower()), size)))
+                total += len(held[-1])
+                if total >= COUNTED:
+                    yield from counted(held)
+                    held, total = [], 0
+        if total:
+            yield from counted(held)
+
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        for at in range(0, len(keys), BATCH):
+            own = slice(at, at + BATCH)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(n[own], pa.int64())], ["shingle", "n"])
+
+    each = docs.mapInArrow(count, "shingle long, n long")
+    return written(each.groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 1"), "frequencies")
+
+
 def inverse_frequencies(frequencies: np.ndarray, rows: int) -> np.ndarray:
     return np.log((rows + 1) / (frequencies + 1)) + 1
 
@@ -147,7 +174,8 @@ def near_duplicates(
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
     spark = docs.sparkSession
-    inverse = spark.sparkContext.broadcast(inverse_frequencies(*document_frequencies(texts.select("text"), size)))
+    frequencies, total = document_frequencies(texts.select("text"), size)
+    inverse = spark.sparkContext.broadcast(inverse_frequencies(frequencies, total))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def sketch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +209,7 @@ def near_duplicates(
         "distinct",
     )
     members = distinct.select(F.explode("bands").alias("bucket"), "id")
-    vectors = _Vectors(texts, distinct, inverse, size, similar)
+    vectors = _Vectors(texts, distinct, total, size, similar)
     tied = written(graph.components(graph.links(members, vectors.measure)), "components")
     # Members that nothing is tied to are classes of their own.
     classes = distinct.select("id", "key", "first", "n").join(tied, "id", "left").withColumn(
@@ -222,38 +250,52 @@ def near_duplicates(
 class _Vectors:
     """The weighted shingles of members, made when a pair first asks for them."""
 
-    def __init__(self, texts: DataFrame, distinct: DataFrame, inverse, size: int, similar: float) -> None:
-        self.texts, self.distinct, self.inverse, self.size, self.similar = texts, distinct, inverse, size, similar
+    def __init__(self, texts: DataFrame, distinct: DataFrame, total: int, size: int, similar: float) -> None:
+        self.texts, self.distinct, self.total, self.size, self.similar = texts, distinct, total, size, similar
         self.made: DataFrame | None = None
+        self.frequencies: DataFrame | None = None
 
     def _make(self, asked: DataFrame) -> DataFrame:
-        inverse, size = self.inverse, self.size
+        size = self.size
+        if self.frequencies is None:
+            self.frequencies = shingle_frequencies(self.texts.select("text"), size)
 
         def vector(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weigher = Weigher(inverse.value, size)
+            hashes = WordHashes()
             for part in parts:
-                names, keys, weights = [], [], []
+                names, keys, times = [], [], []
                 for text in part.column("text"):
                     text = text.as_py()
-                    words = weigher.words(text)
+                    words = hashes.of(text.lower())
+                    own, n = np.unique(shingles(words, size), return_counts=True)
                     names.append(word_key(words, text))
-                    own, weight = weigher.weighted(words)
-                    keys.append(own.tobytes())
-                    weights.append(weight.astype(np.float32).tobytes())
+                    keys.append(own.view(np.int64))
+                    times.append(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.binary()), pa.array(keys, pa.binary()), pa.array(weights, pa.binary())],
-                    ["key", "keys", "weights"],
+                    [pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
+                    ["key", "keys", "times"],
                 )
 
         wanted = written(asked.join(self.distinct, "id").select("id", "key", "first"), "wanted")
         rows = chosen_rows(self.texts, wanted.select(F.col("first").alias("doc_id")), "doc_id")
-        return written(
+        counts = written(
             rows.select("text")
-            .mapInArrow(vector, "key binary, keys binary, weights binary")
+            .mapInArrow(vector, "key binary, keys array<long>, times array<int>")
             .join(wanted.select("id", "key"), "key")
-            .select("id", "keys", "weights"),
-            "vectors",
+            .groupBy("id")
+            .agg(F.first(F.struct("keys", "times")).alias("own")),  # all rows of an id have the same words
+            "counts",
+        )
+        each = counts.select("id", F.explode(F.arrays_zip("own.keys", "own.times")).alias("z")).select(
+            "id", F.col("z.keys").alias("shingle"), F.col("z.times").alias("times")
+        )
+        # A shingle without a row is of one document.
+        inverse = F.log((F.lit(self.total) + 1) / (F.coalesce("n", F.lit(1)) + 1)) + 1
+        weighted = each.join(self.frequencies, "shingle", "left").select(
+            "id", F.struct("shingle", (F.col("times") * inverse).cast("float").alias("weight")).alias("z")
         )
+        vectors = weighted.groupBy("id").agg(F.collect_list("z").alias("z"))  # the shingles of one text
+        return written(vectors.select("id", F.col("z.shingle").alias("keys"), F.col("z.weight").alias("weights")), "vectors")
 
     def measure(self, pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -267,14 +309,12 @@ class _Vectors:
 
         def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
-                sides = [part.column(n).to_pylist() for n in ("keys_a", "weights_a", "keys_b", "weights_b")]
-                far = [
-                    (1 - similarity(np.frombuffer(ka, np.uint64), np.frombuffer(wa, np.float32).astype(float),
-                                    np.frombuffer(kb, np.uint64), np.frombuffer(wb, np.float32).astype(float)) + -1e-9)
-                    / (1 - similar)
-                    for ka, wa, kb, wb in zip(*sides)
-                ]
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(far)], ["a", "b", "d"])
+                sides = [part.column(n) for n in ("keys_a", "weights_a", "keys_b", "weights_b")]
+                far = []
+                for row in zip(*sides):
+                    ka, wa, kb, wb = (side.values.to_numpy() for side in row)
+                    far.append((1 - similarity(ka, wa.astype(float), kb, wb.astype(float)) + -1e-9) / (1 - similar))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(far, pa.float64())], ["a", "b", "d"])
 
         def side(n: str) -> DataFrame:
             return self.made.select(F.col("id").alias(n), F.col("keys").alias(f"keys_{n}"), F.col("weights").alias(f"weights_{n}"))
