@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwave.llm import bpe, decontaminate, lines, minhash, quality, sharding, spans, spotsigs, tokencount, warc
+from ledgerwave.llm import (
+    bpe,
+    decontaminate,
+    lines,
+    minhash,
+    quality,
+    resample,
+    sharding,
+    spans,
+    spotsigs,
+    tokencount,
+    warc,
+)
 from ledgerwave.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +83,10 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -84,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_substring_dedup,
         op10_spotsigs,
+        op13_resample,
     )
 }
