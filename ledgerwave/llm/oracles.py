@@ -42,4 +42,30 @@ select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
 from d left join words_hit using (r) left join items using (r)
 """
 
-ORACLES = {"op4_warc": OP4, "op5_decontamination": OP5}
+OP11 = """
+with v as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, x -> floor(256 * cast(x as double))) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), scored as (
+  select a.r as a, a.vec_id as anchor_id, a.label = c.label as same, c.vec_id as id,
+    cast(list_inner_product(a.q, c.q) as bigint) as score
+  from v a, v c where a.vec_id % 100 = 0
+), positive as (
+  select a, anchor_id, id as positive_id, score as positive_score,
+    row_number() over (partition by a order by score desc, id nulls last) as p
+  from scored where same and id is distinct from anchor_id
+  qualify p <= 5
+), negative as (
+  select a, p, positive.anchor_id, positive_id, positive_score, id as negative_id, score as negative_score,
+    row_number() over (partition by a, p order by score desc, id nulls last) as rank
+  from positive join scored using (a)
+  where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+  qualify rank <= 10
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from negative
+"""
+
+ORACLES = {"op4_warc": OP4, "op5_decontamination": OP5, "op11_hard_negatives": OP11}

@@ -12,7 +12,9 @@ from ledgerwave.llm import (
     bpe,
     decontaminate,
     lines,
+    lmscore,
     minhash,
+    negatives,
     quality,
     resample,
     sharding,
@@ -83,6 +85,15 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label=moved)
+
+
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.scores(table(spark, sf_dir, "documents"), lmscore.left_out())
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_substring_dedup,
         op10_spotsigs,
+        op11_hard_negatives,
+        op12_lm_scores,
         op13_resample,
     )
 }
