@@ -20,7 +20,11 @@ from ledgerwave.llm.words import mixed
 #: Words of the longest n-gram; bytes of text looked at together; tokens of a text walked at a time.
 ORDER, BATCH_BYTES, STRETCH = 3, 8 << 20, 1 << 16
 #: How many occurrences the next shorter context counts for, in contexts of one word, of two, and so on.
-STRENGTH = (4.0, 1.0, 1.0, 1.0)
+STRENGTH = (100.0, 10.0, 5.0, 5.0)
+#: Bits of a name beyond those that number the bytes of all texts: so rare (2^-24) is a name shared by chance.
+SPARE_BITS, MOST_BITS = 24, 63
+#: Characters cut into words at a time.
+PIECE = 1 << 20
 #: Names of what is no word: a word has no space.
 BEGIN, END = (np.uint64(xxhash.xxh3_64_intdigest(mark)) for mark in (b" begin", b" end"))
 _ODD, _EVEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFFFFFFFFFE)
@@ -41,11 +45,21 @@ def unsqueezed(blob: bytes) -> np.ndarray:
     return values.view("<u8").ravel()
 
 
+def named(keys: np.ndarray, bits: int) -> np.ndarray:
+    return keys >> np.uint64(MOST_BITS - bits) & _EVEN
+
+
 def _steps(keys: np.ndarray) -> np.ndarray:
     """Sorted keys as the differences between neighbours."""
     return np.diff(keys, prepend=np.uint64(0))
 
 
+def _names(words: list[bytes]) -> np.ndarray:
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    known = [xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()]
+    return np.array(known, np.uint64)[coded.indices.to_numpy()]
+
+
 @dataclass
 class Texts:
     """The documents of a batch as numbers, each with a mark before and after its words.
@@ -58,22 +72,27 @@ class Texts:
 
     @classmethod
     def of(cls, texts: list[str]) -> Texts:
-        words: list[bytes] = []
-        starts = np.zeros(len(texts) + 1, np.int64)
+        starts, names, words = np.zeros(len(texts) + 1, np.int64), [], []
+        held = 0
         for i, text in enumerate(texts):
             words.append(b" begin")
             words += text.encode().lower().split()  # of bytes: A-Z only, ASCII white space only
             words.append(b" end")
-            starts[i + 1] = len(words)
-        coded = pa.array(words, pa.binary()).dictionary_encode()
-        known = [xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()]
-        return cls(np.array(known, np.uint64)[coded.indices.to_numpy()], starts)
+            starts[i + 1] = len(words) + sum(map(len, names))
+            held += len(text)
+            if held >= PIECE or i == len(texts) - 1:
+                names.append(_names(words))
+                held, words = 0, []
+        return cls(np.concatenate([np.zeros(0, np.uint64), *names]), starts)
 
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
 
-    def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For n of 1 to ``order``, the places where an n-gram ends and its 63-bit names, named after its first words."""
+    def grams(self, order: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For n of 1 to ``order``, the places where an n-gram ends and its name, made of its first words' and its last.
+
+        A name has ``bits`` bits and a zero after them.
+        """
         within = np.arange(len(self.names)) - np.repeat(self.starts[:-1], np.diff(self.starts))
         keys = mixed(self.names)
         for n in range(1, order + 1):
@@ -81,7 +100,7 @@ class Texts:
                 with np.errstate(over="ignore"):
                     keys = np.concatenate([keys[:1], mixed(keys[:-1] * _ODD + self.names[1:])])
             at = np.flatnonzero(within >= n - 1)
-            yield at, keys[at] & _EVEN
+            yield at, named(keys[at], bits)
 
 
 def packed_documents(docs: DataFrame, held_out: Column, id_column: str, text_column: str, batch_bytes: int) -> DataFrame:
@@ -124,12 +143,12 @@ def _opened(blob: bytes) -> pa.Table:
         return stream.read_all()
 
 
-def asked(batches: DataFrame, order: int, spans: int) -> DataFrame:
+def asked(batches: DataFrame, order: int, spans: int, bits: int) -> DataFrame:
     """(span, n, batch, keys, counts): the n-grams of every batch, each once, with their number in what is learnt from.
 
     A span is one of equal parts of all names, so n-grams are dealt evenly whatever words are frequent.
     """
-    edges = np.array([(i << 64) // spans for i in range(1, spans)], np.uint64)
+    edges = np.array([(i << bits + 1) // spans for i in range(1, spans)], np.uint64)
 
     def ask(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -139,7 +158,7 @@ def asked(batches: DataFrame, order: int, spans: int) -> DataFrame:
                 learnt = ~rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
                 learnt = learnt[texts.owner()].astype(np.uint64)
                 found = []
-                for n, (at, keys) in enumerate(texts.grams(order), 1):
+                for n, (at, keys) in enumerate(texts.grams(order, bits), 1):
                     marked = np.sort(keys | learnt[at])
                     keys = marked & _EVEN
                     first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
@@ -156,12 +175,12 @@ def asked(batches: DataFrame, order: int, spans: int) -> DataFrame:
     return batches.mapInArrow(ask, "span int, n int, batch long, keys binary, counts binary")
 
 
-def answered(questions: DataFrame) -> DataFrame:
+def answered(questions: DataFrame, bits: int) -> DataFrame:
     """(batch, span, n, counts, distinct, tokens): the corpus' counts in the order of each batch's own n-grams.
 
     A row without batch sums the words of a span up. A span holds about ``BATCH_BYTES`` of names of one length.
     """
-    begin = int(mixed(np.array([BEGIN]))[0] & _EVEN)
+    begin = int(named(mixed(np.array([BEGIN])), bits)[0])
 
     def answer(rows: pa.Table) -> pa.Table:
         keys = [np.cumsum(unsqueezed(k.as_py()), dtype=np.uint64) for k in rows.column("keys")]
@@ -204,21 +223,23 @@ class Automaton:
     n-gram of the state's words and its own.
     """
 
-    def __init__(self, texts: Texts, counts: list[np.ndarray], strength: tuple[float, ...], distinct: int, tokens: int) -> None:
+    def __init__(
+        self, texts: Texts, bits: int, counts: list[np.ndarray], strength: tuple[float, ...], distinct: int, tokens: int
+    ) -> None:
         size = len(texts.names)
         self.texts, self.order = texts, len(counts)
         self.arc, self.weight, self.leave = [], [], []
         below = None
-        for n, (at, keys) in enumerate(texts.grams(self.order), 1):
+        for n, (at, keys) in enumerate(texts.grams(self.order, bits), 1):
             order = np.argsort(keys, kind="stable")
             new = np.diff(keys[order], prepend=~keys[order][:1]) != 0
-            number = np.empty(len(keys), np.int64)
+            number = np.empty(len(keys), np.int32)
             number[order] = np.cumsum(new) - 1
             first = at[order[new]]  # a place where each n-gram ends
             own = counts[n - 1].astype(np.float64)
             if len(own) != len(first):
                 raise ValueError("a batch has not got all its counts")
-            arc = np.full(size, -1, np.int64)
+            arc = np.full(size, -1, np.int32)
             arc[at] = number
             if n == 1:
                 chance = (own + 1) / (tokens + distinct + 1)
@@ -277,7 +298,8 @@ def scores(
 
     Texts are packed into batches. A batch sends each of its n-grams once to the span of names it belongs to and gets
     the corpus' count back, so the model is never in one place, no word or context gathers in one task, and the walk
-    needs the batch's own part of the automaton only. N-grams are named by 63 bits.
+    needs the batch's own part of the automaton only. N-grams go by names of 24 bits more than number the bytes of
+    all texts (63 at most), so that less than one count in 2^24 is wrong by an n-gram of the same name.
 
     - A null or empty text is its end alone. A null ``held_out`` counts as not held out.
     - Memory is that of a batch: ``batch_bytes`` of text or one longer text. A long text is walked a piece at a time.
@@ -289,7 +311,8 @@ def scores(
     batches = packed_documents(docs, held_out, id_column, text_column, batch_bytes)
     size = docs.agg(F.sum(F.octet_length(text_of(text_column)))).first()[0] or 0
     spans = max(8, -(-size // batch_bytes))
-    replies = written(answered(asked(batches, order, spans)), "counts")
+    bits = min(MOST_BITS, SPARE_BITS + size.bit_length())
+    replies = written(answered(asked(batches, order, spans, bits), bits), "counts")
     learnt = replies.filter(F.col("batch").isNull() & (F.col("n") == 1)).agg(F.sum("distinct"), F.sum("tokens")).first()
     distinct, tokens = (int(n or 0) for n in learnt)
     kind = dict(docs.dtypes)[id_column]
@@ -300,7 +323,7 @@ def scores(
         parts = sorted(zip(*(counts.column(c).to_pylist() for c in ("n", "span", "counts"))), key=lambda r: r[:2])
         none = np.zeros(0, np.uint64)
         own = [np.concatenate([none, *(unsqueezed(c) for m, _, c in parts if m == n)]) for n in range(1, order + 1)]
-        automaton = Automaton(texts, own, strength, distinct, tokens)
+        automaton = Automaton(texts, bits, own, strength, distinct, tokens)
         word, starts = automaton.arc[0], texts.starts
         base, seen = automaton.weight[0][word], automaton.seen[word]
         n = len(starts) - 1
