@@ -45,10 +45,10 @@ from d left join words_hit using (r) left join items using (r)
 OP11 = """
 with v as (
   select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-    list_transform(embedding, x -> floor(256 * cast(x as double))) as q
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
   from embeddings
   where label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select a.r as a, a.vec_id as anchor_id, a.label = c.label as same, c.vec_id as id,
     cast(list_inner_product(a.q, c.q) as bigint) as score
