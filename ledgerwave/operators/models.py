@@ -1,17 +1,13 @@
-"""Winner and method models with MLlib.
+"""Winner and method models with MLlib; what is made of several is in ``ensembles``.
 
 All rows of a bout share a fold, so a bout is never on both sides of a split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
-from multiprocessing.pool import ThreadPool
-from typing import Any
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -20,21 +16,38 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.regression import IsotonicRegressionModel
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwave.functions.joins import join_hot
 from ledgerwave.operators.cards import confidence, reasoning_text
 from ledgerwave.operators.careers import DECISIVE_METHODS, FEATURES, METHOD_FEATURES
+from ledgerwave.operators.ensembles import (
+    CrossCalibrated,
+    InteractionSelector,
+    LogisticPerRow,
+    StackedModel,
+    Stacking,
+    dealt,
+    each,
+    interaction_names,
+    interactions_select,
+    probability,
+    standardized,
+)
+from ledgerwave.operators.isotonic import isotonic_map
+
+__all__ = ["interaction_names", "interactions_select", "standardized"]
 
 FOLDS = 5
-TREE_MODELS = ("GradientBoosting", "RandomForest")
+#: Models whose scores are no probabilities yet: the chosen one is calibrated.
+TREE_MODELS = ("GradientBoosting", "RandomForest", "Interactions")
 
 
 def with_folds(pairs: DataFrame, folds: int = FOLDS) -> DataFrame:
-    return pairs.withColumn("fold", F.pmod(F.xxhash64("fight_id"), F.lit(folds)).cast("int"))
+    return dealt(pairs, folds, "fold")
 
 
 def _assembled(*stages: Estimator, inputs: tuple[str, ...] = FEATURES, scaled: bool = False) -> Pipeline:
@@ -49,10 +62,11 @@ def _assembled(*stages: Estimator, inputs: tuple[str, ...] = FEATURES, scaled: b
     )
 
 
-def gradient_boosting(trees: int) -> GBTClassifier:
+def gradient_boosting(trees: int, features: str = "features") -> GBTClassifier:
     return GBTClassifier(
-        maxIter=trees, maxDepth=4, stepSize=0.03, subsamplingRate=0.8, minInstancesPerNode=20, seed=42, weightCol="weight"
-    )
+        featuresCol=features, maxIter=trees, maxDepth=4, stepSize=0.03, subsamplingRate=0.8, minInstancesPerNode=20,
+        seed=42, weightCol="weight",
+    )
 
 
 def logistic(inverse_regularization: float, rows: int) -> LogisticRegression:
@@ -76,14 +90,25 @@ def candidates(rows: int, trees: int = 400, epochs: int = 500) -> dict[str, Pipe
     }
 
 
-def probability(column: str = "probability") -> Column:
-    return vector_to_array(F.col(column))[1]
-
+def composites(trees: int = 400, epochs: int = 500, folds: int = FOLDS) -> dict[str, Estimator]:
+    """The winner models made of others: boosting on chosen interactions, and two stacks.
 
-def _each_fold(work: Callable[[int], Any], folds: int) -> list[Any]:
-    """``work`` for every fold, the folds' jobs side by side as a cross-validator runs them."""
-    with ThreadPool(folds) as pool:
-        return pool.map(inheritable_thread_target(SparkSession.active())(work), range(folds))
+    Each is one estimator, so an outer fold chooses, scales, cross-fits and weighs from its own rows alone.
+    """
+    forest = RandomForestClassifier(
+        featuresCol="selected", numTrees=trees, maxDepth=8, minInstancesPerNode=15, seed=42, weightCol="weight"
+    )
+    alone = {
+        name: estimator for name, estimator in candidates(1, trees, epochs).items() if name != "LogisticReg"
+    } | {"LogisticReg": _assembled(LogisticPerRow(0.5), scaled=True)}
+    chosen = {
+        "boosting": gradient_boosting(trees, "selected"), "forest": forest, "logistic": LogisticPerRow(1.0, "selected"),
+    }
+    return {
+        "Interactions": Pipeline(stages=[InteractionSelector(50), gradient_boosting(trees, "selected")]),
+        "Stacking": Stacking(alone, 1.0, folds),
+        "InteractionStacking": Pipeline(stages=[InteractionSelector(60), Stacking(chosen, 0.5, folds)]),
+    }
 
 
 def out_of_fold(pairs: DataFrame, estimator: Estimator, folds: int = FOLDS) -> DataFrame:
@@ -94,7 +119,7 @@ def out_of_fold(pairs: DataFrame, estimator: Estimator, folds: int = FOLDS) -> D
         scored = model.transform(pairs.filter(F.col("fold") == k))
         return scored.select("fight_id", "mirrored", "fold", "label", "prediction", probability().alias("score"))
 
-    return reduce(DataFrame.unionByName, _each_fold(one, folds))
+    return reduce(DataFrame.unionByName, each(one, list(range(folds))))
 
 
 def fold_accuracy(scored: DataFrame) -> DataFrame:
@@ -108,47 +133,43 @@ def fold_accuracy(scored: DataFrame) -> DataFrame:
 
 
 def calibrate(scored: DataFrame) -> IsotonicRegressionModel:
-    """Isotonic map from out-of-fold score to probability.
+    """Isotonic map from out-of-fold score to probability."""
+    return isotonic_map(scored)
 
-    Rows of equal score are pooled into one weighted point first, which does not change the fit.
-    """
-    pooled = scored.groupBy("score").agg(
-        F.avg(F.col("label").cast("double")).alias("label"), F.count("*").cast("double").alias("rows")
-    )
-    return IsotonicRegression(featuresCol="score", labelCol="label", weightCol="rows", predictionCol="calibrated").fit(
-        pooled
+
+def reliability(scored: DataFrame, digits: int = 2) -> DataFrame:
+    """How often what was given a probability came true: rows and share won by rounded probability."""
+    return scored.groupBy(F.round("score", digits).alias("probability")).agg(
+        F.count("*").alias("rows"), F.avg("label").alias("share_won")
     )
 
 
 @dataclass
 class WinnerModel:
-    """The chosen winner model, with its calibration if it is a tree model."""
+    """The chosen winner model, calibrated if its scores are no probabilities."""
 
     name: str
     model: Model
-    calibration: IsotonicRegressionModel | None
     scores: dict[str, float] = field(default_factory=dict)
 
     def score(self, frame: DataFrame) -> DataFrame:
         """``frame`` with ``prob_f1``, the probability that the first side wins."""
-        scored = self.model.transform(frame).withColumn("score", probability())
-        if self.calibration is not None:
-            scored = self.calibration.transform(scored).withColumn("score", F.col("calibrated"))
-        kept = [c for c in frame.columns]
-        return scored.select(*kept, F.col("score").alias("prob_f1"))
+        return self.model.transform(frame).select(*frame.columns, probability().alias("prob_f1"))
 
 
-def train_winner(pairs: DataFrame, estimators: dict[str, Estimator]) -> WinnerModel:
+def train_winner(pairs: DataFrame, estimators: dict[str, Estimator], folds: int = FOLDS) -> WinnerModel:
     """Compare the models by accuracy over the folds and fit the best on all rows.
 
-    ``pairs`` is read once per fit and should be a written table.
+    Any of them may be chosen, also one made of others. ``pairs`` is read once per fit and should be a written table.
     """
-    folded = with_folds(pairs)
-    scored = {name: out_of_fold(folded, estimator) for name, estimator in estimators.items()}
-    scores = {name: fold_accuracy(frame).first()["accuracy"] for name, frame in scored.items()}
+    folded = with_folds(pairs, folds)
+    scores = {
+        name: fold_accuracy(out_of_fold(folded, estimator, folds)).first()["accuracy"]
+        for name, estimator in estimators.items()
+    }
     best = max(scores, key=lambda name: scores[name])
-    calibration = calibrate(scored[best]) if best in TREE_MODELS else None
-    return WinnerModel(best, estimators[best].fit(folded), calibration, scores)
+    deployed = CrossCalibrated(estimators[best], folds) if best in TREE_MODELS else estimators[best]
+    return WinnerModel(best, deployed.fit(pairs), scores)
 
 
 def scores_frame(spark: SparkSession, winner: WinnerModel) -> DataFrame:
@@ -156,78 +177,7 @@ def scores_frame(spark: SparkSession, winner: WinnerModel) -> DataFrame:
     return spark.createDataFrame(rows, "model string, accuracy double, chosen boolean")
 
 
-# --- interactions ------------------------------------------------------------------
-
-
-def interaction_names(features: tuple[str, ...] = FEATURES) -> list[str]:
-    products = [f"{a}*{b}" for i, a in enumerate(features) for b in features[i + 1:]]
-    return [*features, *products]
-
-
-def _with_interactions(standard: Column, width: int) -> Column:
-    """An array of features followed by the product of every two of them."""
-    products = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(width - 2)),
-            lambda i: F.transform(
-                F.slice(standard, i + 2, F.lit(width)), lambda other: other * F.get(standard, i)
-            ),
-        )
-    )
-    return F.concat(standard, products)
-
-
-def standardized(pairs: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """``pairs`` with the array ``expanded``: standardized features and their products."""
-    stats = pairs.agg(
-        *[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_pop(f).alias(f"s_{f}") for f in features]
-    ).first()
-
-    def unit(f: str) -> Column:
-        spread = stats[f"s_{f}"]
-        return (F.col(f) - F.lit(stats[f"m_{f}"])) / F.lit(spread if spread else 1.0)
-
-    # The lambda binds the array of units, which the products would otherwise build anew for every pair.
-    units = F.array(*[unit(f) for f in features])
-    expanded = F.flatten(F.transform(F.array(units), lambda bound: _with_interactions(bound, len(features))))
-    return pairs.withColumn("expanded", expanded)
-
-
-def interactions_select(
-    pairs: DataFrame, k: int = 50, features: tuple[str, ...] = FEATURES, width: float = 0.5, reach: float = 2.5
-) -> DataFrame:
-    """The ``k`` features or products that tell most about the label, by mutual information in nats.
-
-    Values are standardized and cut into bins of half a deviation, open at both
-    ends. Everything between the rows and the result is counts per feature, bin
-    and label, combined before they are shuffled.
-    """
-    value_bin = F.floor(F.greatest(F.lit(-reach), F.least(F.lit(reach), F.col("value"))) / width)
-    counts = (
-        standardized(pairs, features)
-        .select("label", F.posexplode("expanded").alias("position", "value"))
-        .groupBy("position", value_bin.alias("bin"), "label")
-        .agg(F.count("*").alias("n"))
-    )
-    # From here on there are a few thousand rows, whatever the data.
-    of_feature = Window.partitionBy("position")
-    of_bin, of_label = Window.partitionBy("position", "bin"), Window.partitionBy("position", "label")
-    n, total = F.col("n"), F.col("n_all")
-    names = F.array(*[F.lit(name) for name in interaction_names(features)])
-    return (
-        counts.withColumns(
-            {
-                "n_all": F.sum("n").over(of_feature),
-                "n_bin": F.sum("n").over(of_bin),
-                "n_label": F.sum("n").over(of_label),
-            }
-        )
-        .groupBy("position")
-        .agg(F.sum(n / total * F.log(n * total / (F.col("n_bin") * F.col("n_label")))).alias("information"))
-        .orderBy(F.desc("information"), "position")
-        .limit(k)
-        .select("position", F.get(names, F.col("position")).alias("feature"), "information")
-    )
+# --- interactions and stacking ---------------------------------------------------------
 
 
 def interaction_columns(pairs: DataFrame, selected: list[int], features: tuple[str, ...] = FEATURES) -> DataFrame:
@@ -237,48 +187,32 @@ def interaction_columns(pairs: DataFrame, selected: list[int], features: tuple[s
     ).drop("expanded")
 
 
-# --- stacking ------------------------------------------------------------------------
-
-
-@dataclass
-class StackedModel:
-    bases: dict[str, Model]
-    meta: Model
-
-    def transform(self, frame: DataFrame) -> DataFrame:
-        kept = frame.columns
-        scored = _base_scores(frame, self.bases)
-        return self.meta.transform(scored).select(*kept, *self.bases, "prediction", "probability")
-
-
-def _base_scores(frame: DataFrame, models: dict[str, Model]) -> DataFrame:
-    """``frame`` with each base model's probability in a column of its name."""
-    columns = list(frame.columns)
-    for name, model in models.items():
-        frame = model.transform(frame).select(*columns, probability().alias(name))
-        columns.append(name)
-    return frame
+def stack(pairs: DataFrame, estimators: dict[str, Estimator], folds: int = FOLDS) -> tuple[StackedModel, DataFrame]:
+    """A stack fitted on all rows, and the out-of-fold rows of its base models."""
+    stacking = Stacking(estimators, 1.0, folds)
+    return stacking.fit(pairs), stacking.out_of_fold(pairs)
 
 
-def stack(pairs: DataFrame, estimators: dict[str, Estimator], folds: int = FOLDS) -> tuple[StackedModel, DataFrame]:
-    """A logistic model over the out-of-fold probabilities of base models.
+def stack_accuracy(pairs: DataFrame, stacking: Stacking, folds: int = FOLDS) -> DataFrame:
+    """(fold, model, accuracy, rows): the stack and its base models on bouts of outer folds, none of them seen.
 
-    Returns the stacked model and the out-of-fold rows it was fitted on.
+    Each outer fold cross-fits anew inside its own rows; the held-out rows are scored once for all models.
     """
     folded = with_folds(pairs, folds)
 
     def one(k: int) -> DataFrame:
-        train = folded.filter(F.col("fold") != k)
-        fitted = {name: estimator.fit(train) for name, estimator in estimators.items()}
-        return _base_scores(folded.filter(F.col("fold") == k), fitted)
+        model = stacking.fit(folded.filter(F.col("fold") != k))
+        return model.transform(folded.filter(F.col("fold") == k)).select(
+            "fold", "label", probability().alias("Stacking"), *stacking.bases
+        )
 
-    unseen = reduce(DataFrame.unionByName, _each_fold(one, folds)).select(
-        "fight_id", "mirrored", "fold", "label", "weight", *estimators
-    )
-    names = tuple(estimators)
-    meta = _assembled(logistic(1.0, folded.count()), inputs=names).fit(unseen)
-    bases = {name: estimator.fit(folded) for name, estimator in estimators.items()}
-    return StackedModel(bases, meta), unseen
+    names = ["Stacking", *stacking.bases]
+    scored = reduce(DataFrame.unionByName, each(one, list(range(folds))))
+    long = scored.select("fold", "label", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("model"), F.col(n).alias("score")) for n in names
+    ])))
+    right = F.avg(((F.col("score") > 0.5).cast("int") == F.col("label")).cast("double"))
+    return long.groupBy("fold", "model").agg(right.alias("accuracy"), F.count("*").alias("rows"))
 
 
 # --- method model ----------------------------------------------------------------------
@@ -312,6 +246,19 @@ def train_method(pairs: DataFrame, trees: int = 200) -> PipelineModel:
     return _assembled(forest, inputs=METHOD_FEATURES).fit(method_rows(pairs))
 
 
+def method_confusion(pairs: DataFrame, trees: int = 200, folds: int = FOLDS) -> DataFrame:
+    """(fold, method, predicted_method, bouts) for bouts that the model has not seen."""
+    folded = with_folds(pairs, folds)
+
+    def one(k: int) -> DataFrame:
+        model = train_method(folded.filter(F.col("fold") != k), trees)
+        unseen = method_rows(folded.filter(F.col("fold") == k)).drop("label", "weight")
+        return predict_method(model, unseen).withColumn("fold", F.lit(k))
+
+    every = reduce(DataFrame.unionByName, each(one, list(range(folds))))
+    return every.groupBy("fold", "method", "predicted_method").agg(F.count("*").alias("bouts"))
+
+
 def predict_method(model: Model, frame: DataFrame) -> DataFrame:
     kept = frame.columns
     names = F.array(*[F.lit(m) for m in DECISIVE_METHODS])
@@ -374,20 +321,32 @@ def save_models(spark: SparkSession, folder: str, winner: WinnerModel, method: P
     """Both models and what is known about them."""
     winner.model.write().overwrite().save(f"{folder}/winner")
     method.write().overwrite().save(f"{folder}/method")
-    if winner.calibration is not None:
-        winner.calibration.write().overwrite().save(f"{folder}/calibration")
     spark.createDataFrame(
-        [(winner.name, winner.scores, winner.calibration is not None, list(FEATURES), list(METHOD_FEATURES), 2)],
-        "name string, scores map<string,double>, calibrated boolean, features array<string>, "
-        "method_features array<string>, version int",
+        [(winner.name, winner.scores, list(FEATURES), list(METHOD_FEATURES), 2)],
+        "name string, scores map<string,double>, features array<string>, method_features array<string>, version int",
     ).write.mode("overwrite").json(f"{folder}/metadata")
 
 
 def load_models(spark: SparkSession, folder: str) -> tuple[WinnerModel, PipelineModel]:
     """What ``save_models`` wrote."""
-    known = spark.read.schema("name string, scores map<string,double>, calibrated boolean").json(
-        f"{folder}/metadata"
-    ).first()
-    calibration = IsotonicRegressionModel.load(f"{folder}/calibration") if known["calibrated"] else None
-    winner = WinnerModel(known["name"], PipelineModel.load(f"{folder}/winner"), calibration, dict(known["scores"]))
-    return winner, PipelineModel.load(f"{folder}/method")
+    known = spark.read.schema("name string, scores map<string,double>").json(f"{folder}/metadata").first()
+    model = DefaultParamsReader.loadParamsInstance(f"{folder}/winner", spark)
+    return WinnerModel(known["name"], model, dict(known["scores"])), PipelineModel.load(f"{folder}/method")
+
+
+def round_trips(spark: SparkSession, folder: str, rows: DataFrame, fitted: dict[str, Model]) -> DataFrame:
+    """(model, rows, changed): the models saved and loaded again, with how many probabilities differ from before."""
+
+    def one(name: str) -> DataFrame:
+        path = f"{folder}/{name}"
+        fitted[name].write().overwrite().save(path)
+        loaded = DefaultParamsReader.loadParamsInstance(path, spark)
+        before = fitted[name].transform(rows).select(*rows.columns, probability().alias("before"))
+        both = loaded.transform(before).select("before", probability().alias("after"))
+        return both.agg(
+            F.lit(name).alias("model"),
+            F.count("*").alias("rows"),
+            F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("changed"),
+        )
+
+    return reduce(DataFrame.unionByName, map(one, fitted))
