@@ -2,7 +2,9 @@
 
 A career is first summed per day. Everything up to a day is then a running sum
 over a fighter's days, of which the calendar allows few however often one
-fighter appears, and two bouts on one day cannot see each other.
+fighter appears, and two bouts on one day cannot see each other. A day's own
+state is put together from states that can be merged (sums, the newest five
+bouts, the last loss and win, a count), so no task sees all bouts of a day.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerwave.functions.joins import join_hot
 from ledgerwave.functions.values import clock_seconds, safe_div
 from ledgerwave.operators.pairs import bout_dates
 
@@ -106,49 +109,102 @@ def bout_sides(bouts: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def _daily(sides: DataFrame) -> DataFrame:
-    """One row per fighter and day: sums, the day's last five bouts, and how it ended.
+DAY = ("fighter_url", "event_date")
 
-    ``since_loss`` (``since_win``) counts the bouts after the day's last loss (win).
+
+def outcomes(bouts: DataFrame) -> DataFrame:
+    """One row per bout and side: who fought when, and whether they won."""
+    first_won = F.col("winner") == "fighter1"
+    sides = F.array(
+        F.struct(F.col("fighter1_url").alias("fighter_url"), first_won.alias("won")),
+        F.struct(F.col("fighter2_url").alias("fighter_url"), (~first_won).alias("won")),
+    )
+    return bouts.select("fight_id", "event_date", F.inline(sides))
+
+
+def _same_day(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """``left`` with what ``right``, a row per fighter and day, knows of the day."""
+    renamed = right.withColumnsRenamed({c: f"_{c}" for c in DAY})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in DAY]
+    return left.join(renamed, same, how).drop(*[f"_{c}" for c in DAY])
+
+
+def final_runs(results: DataFrame) -> DataFrame:
+    """(fighter_url, event_date, since_loss, since_win): the bouts after a day's last loss, and after its last win.
+
+    NULL where there is none. One of the two is 0; the other is counted, on days with both, from
+    the rows that come after the last of the other kind.
     """
-    won, place = F.col("won"), F.col("place")
-    last_first = Window.partitionBy("fighter_url", "event_date").orderBy(F.desc("fight_id"))
+    won, bout = F.col("won"), F.col("fight_id")
+    lasts = results.groupBy(*DAY).agg(
+        F.max(F.when(~won, bout)).alias("lost"), F.max(F.when(won, bout)).alias("victory")
+    )
+    mixed = lasts.filter("lost is not null and victory is not null").select(
+        *DAY, F.least("lost", "victory").alias("turn")
+    )
+    run = (
+        join_hot(results.select(*DAY, "fight_id"), mixed, DAY, "inner", ["fight_id"], null_safe=True)
+        .filter(F.col("fight_id") > F.col("turn"))
+        .groupBy(*DAY)
+        .agg(F.count("*").alias("run"))
+    )
+    lost, victory = F.col("lost"), F.col("victory")
+
+    def since(own: Column, other: Column) -> Column:
+        return F.when(own.isNotNull(), F.when(other.isNull() | (own > other), 0).otherwise(F.col("run")))
+
+    return _same_day(lasts, run, "left").select(
+        *DAY, since(lost, victory).alias("since_loss"), since(victory, lost).alias("since_win")
+    )
+
+
+def newest_bouts(sides: DataFrame, n: int = 5) -> DataFrame:
+    """(fighter_url, event_date, latest): the newest ``n`` bouts of a day; every task sends ``n`` of them at most."""
     bout = F.struct(
         "event_date", "fight_id", "won", "duration_s", "sig_str_landed", "sig_str_attempted", "takedowns_landed",
         "knockdowns", "ctrl_seconds",
     )
+    last_first = Window.partitionBy(*DAY).orderBy(F.desc("fight_id"))
     return (
-        sides.withColumn("place", F.row_number().over(last_first))
-        .groupBy("fighter_url", "event_date")
-        .agg(
-            F.count("*").alias("fights"),
-            F.sum("duration_s").alias("duration_s"),
-            F.count_if(won).alias("wins"),
-            *[
-                F.count_if(won & (F.col("method") == m)).alias(n)
-                for m, n in zip(DECISIVE_METHODS, ("ko_wins", "sub_wins", "dec_wins"))
-            ],
-            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in OWN_SUMS],
-            *[F.coalesce(F.sum(f"opp_{c}"), F.lit(0)).alias(f"opp_{c}") for c in OPPONENT_SUMS],
-            F.collect_list(F.when(place <= 5, bout)).alias("latest"),
-            (F.min(F.when(~won, place)) - 1).alias("since_loss"),
-            (F.min(F.when(won, place)) - 1).alias("since_win"),
-        )
+        sides.select(*DAY, "fight_id", bout.alias("bout"))
+        .withColumn("place", F.row_number().over(last_first))
+        .filter(F.col("place") <= n)
+        .groupBy(*DAY)
+        .agg(F.collect_list("bout").alias("latest"))
+    )
+
+
+def _daily(sides: DataFrame, results: DataFrame) -> DataFrame:
+    """One row per fighter and day: sums, the day's last five bouts, and how it ended."""
+    won = F.col("won")
+    sums = sides.groupBy(*DAY).agg(
+        F.count("*").alias("fights"),
+        F.sum("duration_s").alias("duration_s"),
+        F.count_if(won).alias("wins"),
+        *[
+            F.count_if(won & (F.col("method") == m)).alias(n)
+            for m, n in zip(DECISIVE_METHODS, ("ko_wins", "sub_wins", "dec_wins"))
+        ],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in OWN_SUMS],
+        *[F.coalesce(F.sum(f"opp_{c}"), F.lit(0)).alias(f"opp_{c}") for c in OPPONENT_SUMS],
     )
+    return _same_day(_same_day(sums, newest_bouts(sides), "inner"), final_runs(results), "inner")
 
 
-def career_state(sides: DataFrame, cutoff: str | None = None) -> DataFrame:
+def career_state(sides: DataFrame, cutoff: str | None = None, results: DataFrame | None = None) -> DataFrame:
     """Running totals, last five bouts and streaks strictly before each of a fighter's bout days.
 
-    With a ``cutoff`` date: one row per fighter, as of that date.
+    With a ``cutoff`` date: one row per fighter, as of that date. ``results`` has the outcomes of
+    the same bouts, from ``outcomes`` if it is at hand, which is cheaper than taking them from ``sides``.
     """
+    results = sides.select(*DAY, "fight_id", "won") if results is None else results
     if cutoff is None:
-        days = _daily(sides)
+        days = _daily(sides, results)
     else:
         date = F.lit(cutoff).cast("date")
-        sides = sides.filter(F.col("event_date") < date)
-        requests = sides.select("fighter_url").distinct().withColumn("event_date", date)
-        days = _daily(sides).unionByName(requests, allowMissingColumns=True)
+        sides, results = (frame.filter(F.col("event_date") < date) for frame in (sides, results))
+        requests = results.select("fighter_url").distinct().withColumn("event_date", date)
+        days = _daily(sides, results).unionByName(requests, allowMissingColumns=True)
 
     by_day = Window.partitionBy("fighter_url").orderBy("event_date")
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -81,9 +81,13 @@ class Bouts:
     def sides(self) -> DataFrame:
         return careers.bout_sides(self.clean, self.stats)
 
+    @cached_property
+    def results(self) -> DataFrame:
+        return careers.outcomes(self.clean)
+
     @cached_property
     def state(self) -> DataFrame:
-        return careers.career_state(self.sides)
+        return careers.career_state(self.sides, results=self.results)
 
     @cached_property
     def profiles(self) -> DataFrame:
@@ -91,7 +95,7 @@ class Bouts:
 
     @cached_property
     def final_profiles(self) -> DataFrame:
-        return careers.profiles(careers.career_state(self.sides, END_OF_CAREER))
+        return careers.profiles(careers.career_state(self.sides, END_OF_CAREER, self.results))
 
     @cached_property
     def training(self) -> DataFrame:

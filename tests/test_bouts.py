@@ -292,3 +292,69 @@ def test_a_blank_request_matches_nobody(spark):
     for requests in (["ann lee", "  ", ""], ["", " "]):
         found = {r.request_id: r.fighter_url for r in cards.resolve_entity(spark, names, requests).collect()}
         assert found == {i: "u1" if r.strip() else None for i, r in enumerate(requests)}
+
+
+def test_many_requests_meet_an_index_of_pieces(spark):
+    """10,000 requests: the answers of one by one, nothing of them in the plan, a hot word pre-aggregated."""
+    people = [(f"u{i:04d}", f"{('Ann', 'Joann', 'Bo', 'Zoë')[i % 4]} {chr(65 + i % 26)}{i}") for i in range(400)]
+    names = spark.createDataFrame([*people, ("u9999", None), ("u0000", "Second Name")], "fighter_url string, fighter string")
+    wanted = [None, "", "  ", "ZOË b37", "nn x", "joann", "A", "\t bo  x", "x" * 500, "second name", "SECOND"]
+    wanted += [f"{people[i % 400][1].upper()}" if i % 3 else f"{('an', 'oan', 'b', 'q')[i % 4]} {i}" for i in range(9_989)]
+    requests = spark.createDataFrame(list(enumerate(wanted)), "request_id int, requested string")
+    found = cards.resolve_requests(names, requests)
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert "joann" not in text and len(text) < 60_000
+    got = {r["request_id"]: (r["fighter_url"], r["fighter"]) for r in found.collect()}
+    assert len(got) == len(wanted)
+    known = sorted([*people, ("u0000", "Second Name")])
+    memo = {}
+
+    def plain(request):
+        words = (request or "").split()
+        if not words:
+            return None, None
+        same = [p for p in known if p[1].lower() == request.lower()]
+        part = [p for p in known if words[0].lower() in p[1].lower()]
+        return (same or part or [(None, None)])[0]
+
+    for i, request in enumerate(wanted):
+        if request not in memo:
+            memo[request] = plain(request)
+        assert got[i] == memo[request], request
+
+
+def test_a_days_state_is_merged_from_parts(spark):
+    """A fighter with a third of all bouts, hundreds on one day: the state is that of all bouts in their order."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(900):
+        who = "hot" if i % 3 == 0 else f"f{i % 40}"
+        day = "2001-01-0" + str(1 + (0 if who == "hot" and i < 800 else rng.randrange(5)))
+        rows.append((f"b{rng.randrange(10**6):06d}-{i}", day, who, rng.random() < 0.7, 60 + i % 7))
+    rows += [(f"c{i:03d}", "2001-02-01", "hot", True, 60) for i in range(30)]  # longer than what is kept of a day
+    rows += [("a000", "2001-02-01", "hot", False, 60), ("z", "2001-03-01", "hot", True, 60)]
+    frame = spark.createDataFrame(
+        [(*r[:2], r[2], r[3], r[4], "Decision", *[1] * len(careers.OWN_SUMS), *[1] * 4) for r in rows],
+        "fight_id string, event_date string, fighter_url string, won boolean, duration_s int, method string, "
+        + ", ".join(f"{c} int" for c in careers.OWN_SUMS) + ", " + ", ".join(f"opp_{c} int" for c in careers.OPPONENT_SUMS),
+    ).withColumn("event_date", F.col("event_date").cast("date")).repartition(6)
+    state = careers.career_state(frame)
+    got = {(r["fighter_url"], str(r["event_date"])): r for r in state.collect()}
+    for who, day in {(r[2], r[1]) for r in rows}:
+        before = sorted(((r[1], r[0], r[3]) for r in rows if r[2] == who and r[1] < day), reverse=True)
+        row = got[who, day]
+        assert row["fights"] == len(before)
+        assert [b["fight_id"] for b in row["recent"]] == [b[1] for b in before[:5]]
+        wins = next((i for i, b in enumerate(before) if not b[2]), len(before))
+        losses = next((i for i, b in enumerate(before) if b[2]), len(before))
+        assert (row["fights"] - row["loss_at"], row["fights"] - row["win_at"]) == (wins, losses)
+
+
+def test_no_window_over_raw_bouts(spark, sample_dir):
+    """The only window ordered within a day is limited to five rows before the shuffle."""
+    from ledgerwave.plans.bouts import sample_bouts
+
+    plan = sample_bouts(spark, sample_dir).state._jdf.queryExecution().executedPlan().toString()
+    ranked = [line for line in plan.splitlines() if "row_number" in line and "WindowGroupLimit" in line]
+    assert any("Partial" in line for line in ranked) and any("Final" in line for line in ranked)
+    assert sum("row_number" in line and "Window [" in line for line in plan.splitlines()) == 1
