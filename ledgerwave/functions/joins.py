@@ -41,3 +41,24 @@ def join_hot(
 
     condition = reduce(lambda a, b: a & b, [*map(equal, on), F.col("_slice") == F.col("_lookup_slice")])
     return dealt.join(repeated, condition, how).drop("_slice", "_lookup_slice", *[f"_key_{c}" for c in on])
+
+
+#: Rows up to which a lookup is sent to every task: a few MB of keys and short texts.
+SMALL = 20_000
+
+
+def join_sized(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    spread: Sequence[str] | None = None,
+    small: int = SMALL,
+) -> DataFrame:
+    """Left join of ``rows`` to ``lookup`` by its true size: sent to every task if it has few rows, else in slices.
+
+    Spark estimates an aggregated lookup from the table behind it, and would shuffle the rows on a handful of keys for
+    twelve products. Counting reads the lookup's keys once and stops past ``small``.
+    """
+    if lookup.select(*on).limit(small + 1).count() <= small:
+        return rows.join(F.broadcast(lookup), list(on), "left")
+    return join_hot(rows, lookup, on, "left", spread)

@@ -5,30 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwave.functions.joins import join_hot
+from ledgerwave.functions.joins import join_hot, join_sized
 from ledgerwave.functions.keys import surrogate_key
 
 
 def contract_lines_normalized(subscriptions: DataFrame, products: DataFrame) -> DataFrame:
     """Recurring segments with their product hierarchy."""
     hierarchy = products.select("product_id", "product_name", "line_of_business", "product_family")
-    return (
-        subscriptions.filter("is_recurring")
-        .join(hierarchy, "product_id", "left")
-        .select(
-            "subscription_id",
-            "contract_id",
-            "account_id",
-            "product_id",
-            "product_name",
-            "line_of_business",
-            "product_family",
-            F.col("quantity").alias("entitled_units"),
-            "annual_recurring_amount",
-            "subscription_start_date",
-            "subscription_end_date",
-            "subscription_status",
-        )
+    recurring = subscriptions.filter("is_recurring")
+    return join_sized(recurring, hierarchy, ["product_id"], ["subscription_id"]).select(
+        "subscription_id",
+        "contract_id",
+        "account_id",
+        "product_id",
+        "product_name",
+        "line_of_business",
+        "product_family",
+        F.col("quantity").alias("entitled_units"),
+        "annual_recurring_amount",
+        "subscription_start_date",
+        "subscription_end_date",
+        "subscription_status",
     )
 
 
@@ -63,19 +60,16 @@ def opportunity_acv_tcv(
         "sales_region",
         "sales_team",
     )
-    return (
-        _deal_lines(lines, opportunities)
-        .join(hierarchy, "product_id", "left")
-        .join(owners, "owner_id", "left")
-        .withColumns(
-            {
-                "sales_year": F.year("close_date"),
-                "annual_recurring_amount": F.when(F.col("is_recurring"), amount).otherwise(nothing),
-                "one_time_amount": F.when(~F.col("is_recurring"), amount).otherwise(nothing),
-                "acv": amount,
-                "tcv": total,
-            }
-        )
+    line = ["opportunity_line_id"]
+    described = join_sized(_deal_lines(lines, opportunities), hierarchy, ["product_id"], line)
+    return join_sized(described, owners, ["owner_id"], line).withColumns(
+        {
+            "sales_year": F.year("close_date"),
+            "annual_recurring_amount": F.when(F.col("is_recurring"), amount).otherwise(nothing),
+            "one_time_amount": F.when(~F.col("is_recurring"), amount).otherwise(nothing),
+            "acv": amount,
+            "tcv": total,
+        }
     )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -217,30 +218,77 @@ def _checked_value(check: Check) -> Column:
     return parts[0] if len(parts) == 1 else F.to_json(F.struct(*parts))
 
 
-def _value_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """(check, value, rows) for every check of one table, in one pass over it."""
+def _value_counts(df: DataFrame, checks: list[Check], *also: Column) -> DataFrame:
+    """(check, value, rows) for every check of one table, in one pass over it, by ``also`` if given."""
     pairs = F.array(*[F.struct(F.lit(c.name).alias("name"), _checked_value(c).alias("value")) for c in checks])
     return (
-        df.select(F.inline(pairs))
+        df.select(*also, F.inline(pairs))
         .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
+        .groupBy(*(["part"] if also else []), "name", "value")
         .agg(F.count("*").alias("n"))
     )
 
 
+class KeptCounts:
+    """Value counts of a table's checks, kept by partition of the table.
+
+    Counts of values add up over partitions, and from them every check is judged, uniqueness over
+    all partitions too. So a month that is new, or named as changed, is counted alone, and no file
+    of another is read.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, partitions: Mapping[str, str]) -> None:
+        """``partitions`` has the partition column of every table whose counts are kept."""
+        self.spark, self.folder, self.partitions = spark, folder.rstrip("/"), partitions
+
+    def counts(self, name: str, table: DataFrame, checks: list[Check], changed: Sequence = ()) -> DataFrame:
+        """(name, value, n) over all partitions of ``table``, which those in ``changed`` are counted anew for."""
+        column = self.partitions[name]
+        path = f"{self.folder}/{name}"
+        known = self._known(path)
+        present = {r[0] for r in table.select(F.col(column).cast("string")).distinct().collect()}  # as many as months
+        again = {str(c) for c in changed}
+        wanted = sorted((present - (known - again)) - {None})
+        if wanted or None in present:
+            fresh = table.filter(F.col(column).cast("string").isin(wanted) | F.col(column).isNull())
+            counted = _value_counts(fresh, checks, F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("part"))
+            counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        kept = self.spark.read.schema("name string, value string, n long, part string").parquet(path)
+        gone = known - present - {"none"}
+        return kept.filter(~F.col("part").isin(*gone)).groupBy("name", "value").agg(F.sum("n").alias("n"))
+
+    def _known(self, path: str) -> set[str]:
+        try:
+            return {r[0] for r in self.spark.read.parquet(path).select(F.col("part").cast("string")).distinct().collect()}
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return set()
+
+
 def run_checks(
-    spark: SparkSession, tables: Mapping[str, DataFrame], checks: list[Check] = GENERIC_CHECKS
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    checks: list[Check] = GENERIC_CHECKS,
+    kept: KeptCounts | None = None,
+    changed: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
     """Every check with its number of violations.
 
-    Each table is read once to count equal values. That settles row-level
-    checks, uniqueness and accepted values, and after one join for all of them
-    the references.
+    Each table is read once to count equal values, or only its new and ``changed`` partitions where
+    counts are ``kept``. That settles row-level checks, uniqueness and accepted values, and after
+    one join for all of them the references, whose parents are read once per key.
     """
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         by_table.setdefault(check.table, []).append(check)
-    values = [_value_counts(tables[table], group) for table, group in by_table.items()]
+
+    def counts(name: str, group: list[Check]) -> DataFrame:
+        if kept is None or name not in kept.partitions:
+            return _value_counts(tables[name], group)
+        return kept.counts(name, tables[name], group, (changed or {}).get(name, ()))
+
+    values = [counts(table, group) for table, group in by_table.items()]
     kinds = spark.createDataFrame(
         [(c.name, c.kind, c.table, ", ".join(c.columns), list(c.values)) for c in checks],
         "name string, kind string, table string, columns string, accepted array<string>",
@@ -248,13 +296,15 @@ def run_checks(
     counted = reduce(DataFrame.unionByName, values).join(F.broadcast(kinds.select("name", "kind", "accepted")), "name")
 
     references = [c for c in checks if c.kind == "relationship"]
-    parents = reduce(
-        DataFrame.unionByName,
-        [
-            tables[c.parent].select(F.lit(c.name).alias("name"), F.col(c.field).cast("string").alias("value"))
-            for c in references
-        ],
-    ).distinct()
+    by_key: dict[tuple[str, str], list[str]] = {}
+    for c in references:
+        by_key.setdefault((c.parent, c.field), []).append(c.name)
+    none = spark.createDataFrame([], "name string, value string")
+    keys = [
+        tables[parent].select(F.explode(F.array(*map(F.lit, names))).alias("name"), F.col(field).cast("string").alias("value"))
+        for (parent, field), names in by_key.items()
+    ]
+    parents = reduce(DataFrame.unionByName, keys, none).distinct()
     kind, rows_of_value = F.col("kind"), F.col("n")
     violations = (
         F.when(kind == "relationship", F.when(F.col("has_parent").isNull(), rows_of_value).otherwise(0))

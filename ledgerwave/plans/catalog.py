@@ -27,7 +27,7 @@ from ledgerwave.plans import reports
 from ledgerwave.plans.bouts import Bouts, sample_bouts
 from ledgerwave.plans.revenue import Revenue, sample_revenue
 from ledgerwave.session import ensure_checkpoint_dir, fresh_path
-from ledgerwave.sources import conform, feeds, layers, sample, spines
+from ledgerwave.sources import conform, feeds, layers, sample, spines, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,26 +167,52 @@ def _assert_recon_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["assert_recon_counts"] = _assert_recon_counts
 
 
+INNER_TABLES = ("acv_lines", "contract_lines", "arr_account_product_month", "arr_movements")
+
+
 def check_tables(r: Revenue) -> dict[str, DataFrame]:
     """Every table the check suite looks at."""
     feeds = {name: r.staged(name) for name in conform.SPECS}
-    inner = {
-        "acv_lines": r.acv_lines,
-        "contract_lines": r.contract_lines,
-        "arr_account_product_month": r.arr_account_product_month,
-        "arr_movements": r.arr_movements,
-    }
-    return {**feeds, **inner, **r.marts()}
+    return {**feeds, **{name: getattr(r, name) for name in INNER_TABLES}, **r.marts()}
+
+
+def built(spark: SparkSession, folder: str) -> Revenue:
+    """The warehouse as a build leaves it: feeds, then inner tables, then marts, each written from the layer before."""
+    r = sample_revenue(spark, folder)
+    path = fresh_path(spark, "warehouse")
+
+    def layer(name: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        done = models.each(lambda t: layers.materialize_layer(spark, name, {t: tables[t]}, path)[t], list(tables))
+        return dict(zip(tables, done))
+
+    r._staged.update(layer("feeds", {name: r.staged(name) for name in conform.SPECS}))
+    for name, table in layer("inner", {n: getattr(r, n) for n in INNER_TABLES}).items():
+        setattr(r, name, table)
+    for name, table in layer("marts", r.marts()).items():
+        setattr(r, name, table)
+    return r
 
 
 def _run_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """The marts are written once, then checked, as a warehouse build does it."""
+    """Every table is written once, then checked, as a warehouse build does it."""
+    return checks.run_checks(spark, check_tables(built(spark, folder)))
+
+
+def _run_checks_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The waterfall checked by month: first without its last month, then with it, which alone is counted then."""
     r = sample_revenue(spark, folder)
-    written = layers.materialize_layer(spark, "marts", r.marts(), fresh_path(spark, "checks"))
-    return checks.run_checks(spark, {**check_tables(r), **written})
+    path = fresh_path(spark, "by-month")
+    month = F.col("measurement_month")
+    last = F.lit(sample.LAST_SNAPSHOT).cast("date")
+    stored = layers.materialize_layer(spark, "marts", {"fct_arr": r.fct_arr}, path, {"fct_arr": "measurement_month"})["fct_arr"]
+    of_arr = [c for c in checks.GENERIC_CHECKS if c.table == "fct_arr" and c.kind != "relationship"]
+    kept = checks.KeptCounts(spark, f"{path}/counts", {"fct_arr": "measurement_month"})
+    checks.run_checks(spark, {"fct_arr": stored.filter(month < last)}, of_arr, kept)
+    return checks.run_checks(spark, {"fct_arr": stored}, of_arr, kept)
 
 
 QUERIES["run_checks"] = _run_checks
+QUERIES["run_checks_kept"] = _run_checks_kept
 
 
 # --- sources and sinks -------------------------------------------------------------
@@ -245,12 +271,28 @@ def _upsert_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return layers.upsert_by_key(existing, incoming.withColumn("contract_status", F.lit("Restated")), "account_id")
 
 
+def _upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Contracts stored, restated for some accounts, closed for others, and the closing run a second time."""
+    contracts = sample_revenue(spark, folder).staged("contracts").select(
+        "account_id", "contract_id", "contract_status"
+    )
+    stored = versions.StoredTable(spark, fresh_path(spark, "contracts"), ["account_id"])
+    stored.upsert(contracts, "contracts")
+    restated = contracts.filter((F.col("account_id") % 7 == 0) & (F.col("contract_id").cast("bigint") % 2 == 0))
+    stored.upsert(restated.withColumn("contract_status", F.lit("Restated")), "restatement")
+    closed = contracts.filter((F.col("account_id") % 5 == 0) & (F.col("contract_id").cast("bigint") % 3 == 0))
+    for _ in range(2):
+        stored.upsert(closed.withColumn("contract_status", F.lit("Closed")), "closing")
+    return stored.read()
+
+
 QUERIES["month_spine"] = _month_spine
 QUERIES["day_spine"] = _day_spine
 QUERIES["load_feed"] = _load_feed
 QUERIES["register_sources"] = _register_sources
 QUERIES["materialize_layer"] = _materialize_layer
 QUERIES["upsert_by_key"] = _upsert_by_key
+QUERIES["upsert_stored"] = _upsert_stored
 
 
 # --- paired index ------------------------------------------------------------------
@@ -333,6 +375,22 @@ def _resolve_entity(spark: SparkSession, folder: str) -> DataFrame:
     return cards.resolve_entity(spark, cards.all_names(b.fight_details), [name for bout in CARD for name in bout])
 
 
+def _resolve_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """A request for every bout: a full name, a first word, a part of one, or nobody's."""
+    b = sample_bouts(spark, folder)
+    name, kind = F.col("fighter1_name"), F.col("fight_id").cast("bigint") % 4
+    first = F.split_part(name, F.lit(" "), F.lit(1))
+    requests = b.fight_details.select(
+        F.col("fight_id").alias("request_id"),
+        F.when(kind == 0, F.upper(name))
+        .when(kind == 1, F.concat(F.lit("  "), first, F.lit(" Nobody")))
+        .when(kind == 2, F.concat(F.substring(first, 2, 2), F.lit(" 3")))
+        .otherwise(F.concat(F.col("fight_id"), F.lit(" "), first))
+        .alias("requested"),
+    )
+    return cards.resolve_requests(cards.all_names(b.fight_details), requests)
+
+
 def _select_card(spark: SparkSession, folder: str) -> DataFrame:
     b = sample_bouts(spark, folder)
     return cards.select_card(spark, cards.all_names(b.fight_details), b.clean, CARD)
@@ -384,6 +442,7 @@ def _matchup_modifiers(version: str) -> Callable[[Bouts], DataFrame]:
 
 
 QUERIES["resolve_entity"] = _resolve_entity
+QUERIES["resolve_requests"] = _resolve_requests
 QUERIES["select_card"] = _select_card
 register_bouts("reasoning_text", _reasoning_text)
 register_bouts("round_distributions", lambda b: matchup.round_distributions(matchup.round_sums(b.round_stats)))
@@ -404,8 +463,8 @@ register_bouts("decision_outcome", lambda b: matchup.decision_outcome(
 
 # --- models ----------------------------------------------------------------------------------
 
-# Small ensembles: these queries show the training flow, not the best score.
-TREES, EPOCHS, METHOD_TREES = 5, 20, 20
+# Small ensembles: these queries show the training flow, not the best score. README has the time of full sizes.
+TREES, EPOCHS, METHOD_TREES, INNER_FOLDS = 5, 20, 20, 3
 
 
 def _training_table(spark: SparkSession, folder: str) -> tuple[Bouts, DataFrame]:
@@ -421,8 +480,10 @@ def _winner_candidates(pairs_table: DataFrame) -> dict[str, Estimator]:
 
 
 def _train_winner(spark: SparkSession, folder: str) -> DataFrame:
+    """Four models and three made of them, compared on held-out bouts; the best is fitted on all and kept."""
     _, table = _training_table(spark, folder)
-    return models.scores_frame(spark, models.train_winner(table, _winner_candidates(table)))
+    everything = {**_winner_candidates(table), **models.composites(TREES, EPOCHS, INNER_FOLDS)}
+    return models.scores_frame(spark, models.train_winner(table, everything))
 
 
 def _interactions_select(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,36 +493,28 @@ def _interactions_select(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stack(spark: SparkSession, folder: str) -> DataFrame:
     _, table = _training_table(spark, folder)
-    everything = _winner_candidates(table)
-    chosen = {name: everything[name] for name in ("GradientBoosting", "RandomForest", "LogisticReg")}
-    model, unseen = models.stack(table, chosen)
-    return models.fold_accuracy(model.meta.transform(unseen))
+    return models.stack_accuracy(table, models.composites(TREES, EPOCHS, INNER_FOLDS)["Stacking"])
 
 
 def _calibrate(spark: SparkSession, folder: str) -> DataFrame:
+    """Bouts that neither a forest nor its maps have seen."""
     _, table = _training_table(spark, folder)
-    forest = _winner_candidates(table)["RandomForest"]
-    scored = models.out_of_fold(models.with_folds(table), forest)
-    calibrated = models.calibrate(scored).transform(scored)
-    return calibrated.groupBy(F.round("calibrated", 2).alias("probability")).agg(
-        F.count("*").alias("rows"), F.avg("label").alias("share_won")
-    )
+    calibrated = models.CrossCalibrated(_winner_candidates(table)["RandomForest"], INNER_FOLDS)
+    return models.reliability(models.out_of_fold(models.with_folds(table), calibrated))
 
 
 def _train_method(spark: SparkSession, folder: str) -> DataFrame:
     _, table = _training_table(spark, folder)
-    rows = models.method_rows(table)
-    predicted = models.predict_method(models.train_method(table, METHOD_TREES), rows.drop("label", "weight"))
-    return predicted.groupBy("method", "predicted_method").agg(F.count("*").alias("bouts"))
+    return models.method_confusion(table, METHOD_TREES)
 
 
 def _predict_card(spark: SparkSession, folder: str) -> DataFrame:
-    """The bouts of the last event, predicted with saved and reloaded models."""
+    """The bouts of the last event, predicted with saved and reloaded models, the winner's calibrated."""
     b, table = _training_table(spark, folder)
-    logistic = {"LogisticReg": _winner_candidates(table)["LogisticReg"]}
+    trees = {name: model for name, model in _winner_candidates(table).items() if name in models.TREE_MODELS}
     saved = fresh_path(spark, "saved")
     models.save_models(
-        spark, saved, models.train_winner(table, logistic), models.train_method(table, METHOD_TREES)
+        spark, saved, models.train_winner(table, trees, INNER_FOLDS), models.train_method(table, METHOD_TREES)
     )
     winner, method = models.load_models(spark, saved)
     last_event = b.clean.agg(F.max("event_date")).scalar()
@@ -471,9 +524,19 @@ def _predict_card(spark: SparkSession, folder: str) -> DataFrame:
     return models.predict_card(card, b.final_profiles, winner, method)
 
 
+def _saved_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Every model saved and loaded again: rows, and those whose probability has changed."""
+    _, table = _training_table(spark, folder)
+    everything = {**_winner_candidates(table), **models.composites(TREES, EPOCHS, INNER_FOLDS)}
+    everything["Calibrated"] = models.CrossCalibrated(everything["RandomForest"], INNER_FOLDS)
+    fitted = models.each(lambda name: everything[name].fit(table), list(everything))
+    return models.round_trips(spark, fresh_path(spark, "saved"), table, dict(zip(everything, fitted)))
+
+
 QUERIES["train_winner"] = _train_winner
 QUERIES["interactions_select"] = _interactions_select
 QUERIES["stack"] = _stack
 QUERIES["calibrate"] = _calibrate
 QUERIES["train_method"] = _train_method
 QUERIES["predict_card"] = _predict_card
+QUERIES["saved_models"] = _saved_models

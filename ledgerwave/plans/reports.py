@@ -7,6 +7,8 @@ are worked out on those few rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,6 +125,11 @@ def retention_kpis(fct_arr: DataFrame) -> DataFrame:
     totals = monthly_bridge(fct_arr).agg(
         F.sum("beginning_arr").alias("beginning_arr"), *_period_sums(), _last_ending().alias("ending_arr")
     )
+    return totals.select(*_retention(), "ending_arr")
+
+
+def _retention() -> tuple[Column, Column]:
+    """Net and gross retention from period sums."""
     base = F.col("beginning_arr")
     kept = base + F.col("downgrade_arr") + F.col("churn_arr")
     grown = kept + F.col("upsell_arr") + F.col("cross_sell_arr")
@@ -130,7 +137,7 @@ def retention_kpis(fct_arr: DataFrame) -> DataFrame:
     def share(part: Column) -> Column:
         return part.cast("double") / F.nullif(base.cast("double"), F.lit(0.0))
 
-    return totals.select(share(grown).alias("nrr"), share(kept).alias("grr"), "ending_arr")
+    return share(grown).alias("nrr"), share(kept).alias("grr")
 
 
 def bookings_by_category(fct_acv: DataFrame) -> DataFrame:
@@ -212,37 +219,65 @@ def _percent(value: Column) -> Column:
     return F.concat(F.round(value * 100, 0).cast("decimal(18,0)").cast("string"), F.lit("%"))
 
 
+def _bookings_state(fct_acv: DataFrame) -> DataFrame:
+    """One row: the latest year with a won deal, its won value, and value and number of open deals.
+
+    A deal's lines share its year and state, so deals are counted per year and the counts added up.
+    """
+    acv, won, still = F.col("acv"), F.col("is_closed_won"), ~F.col("is_closed")
+    deals = fct_acv.filter(won | still).groupBy("opportunity_id", "sales_year").agg(
+        F.sum(F.when(won, acv)).alias("won"),
+        F.sum(F.when(still, acv)).alias("open_acv"),
+        F.max(F.when(still, 1).otherwise(0)).alias("open"),
+    )
+    years = deals.groupBy("sales_year").agg(*[F.sum(c).alias(c) for c in ("won", "open_acv", "open")])
+    latest = F.max_by(F.struct("sales_year", "won"), F.when(F.col("won").isNotNull(), F.col("sales_year")))
+    return years.agg(
+        latest.alias("latest"), F.sum("open_acv").alias("open_acv"), F.coalesce(F.sum("open"), F.lit(0)).alias("open")
+    )
+
+
 def kpi_frame(fct_arr: DataFrame, fct_acv: DataFrame, rpt_recon: DataFrame) -> DataFrame:
-    """The headline figures as one long table of position, label, value and note."""
+    """The headline figures as one long table of position, label, value and note.
 
-    def one(df: DataFrame, position: int, label: Column | str, value: Column, note: Column | str) -> DataFrame:
+    Each mart is read once: its months, years and totals come from one aggregation.
+    """
+
+    def one(position: int, label: Column | str, value: Column, note: Column | str) -> Column:
         text = [F.lit(x) if isinstance(x, str) else x for x in (label, note)]
-        return df.select(
+        return F.struct(
             F.lit(position).alias("position"), text[0].alias("label"), value.alias("value"), text[1].alias("sub")
         )
 
-    retention = retention_kpis(fct_arr)
-    latest = F.struct(F.col("ending_arr"), F.date_format("measurement_month", "MMM yyyy").alias("month"))
-    ending = (
-        monthly_bridge(fct_arr)
-        .agg(F.max_by(latest, F.col("measurement_month")).alias("latest"))
-        .select("latest.ending_arr", "latest.month")
+    latest = F.struct("ending_arr", F.date_format("measurement_month", "MMM yyyy").alias("month"))
+    arr = monthly_bridge(fct_arr).agg(
+        F.sum("beginning_arr").alias("beginning_arr"),
+        *_period_sums(),
+        F.max_by(latest, F.col("measurement_month")).alias("latest"),
     )
     risk = at_risk_by_category(rpt_recon).agg(F.sum("at_risk").alias("at_risk"))
     period = "period approximation"
-    frames = [
-        one(ending, 1, "Ending ARR", _millions(F.col("ending_arr")),
-            F.concat(F.col("month"), F.lit(" run-rate"))),
-        one(retention, 2, "Net Revenue Retention", _percent(F.col("nrr")), period),
-        one(retention, 3, "Gross Revenue Retention", _percent(F.col("grr")), period),
-        one(latest_year_bookings(fct_acv), 4,
-            F.concat(F.lit("Bookings ACV (FY"), F.col("sales_year").cast("string"), F.lit(")")),
-            _millions(F.col("acv")), "closed-won"),
-        one(open_pipeline(fct_acv), 5, "Open Pipeline ACV", _millions(F.col("acv")),
-            F.concat(F.col("opportunities").cast("string"), F.lit(" opportunities"))),
-        one(risk, 6, "$ at risk (recon)", _millions(F.col("at_risk")), "SFDC vs NetSuite"),
-    ]
-    table = frames[0]
-    for frame in frames[1:]:
-        table = table.unionByName(frame)
+    figures = [
+        (
+            arr.select("latest", *_retention()),
+            one(1, "Ending ARR", _millions(F.col("latest.ending_arr")), F.concat("latest.month", F.lit(" run-rate"))),
+            one(2, "Net Revenue Retention", _percent(F.col("nrr")), period),
+            one(3, "Gross Revenue Retention", _percent(F.col("grr")), period),
+        ),
+        (
+            _bookings_state(fct_acv),
+            one(
+                4,
+                F.concat(F.lit("Bookings ACV (FY"), F.col("latest.sales_year").cast("string"), F.lit(")")),
+                _millions(F.col("latest.won")),
+                "closed-won",
+            ),
+            one(
+                5, "Open Pipeline ACV", _millions(F.col("open_acv")),
+                F.concat(F.col("open").cast("string"), F.lit(" opportunities")),
+            ),
+        ),
+        (risk, one(6, "$ at risk (recon)", _millions(F.col("at_risk")), "SFDC vs NetSuite")),
+    ]
+    table = reduce(DataFrame.unionByName, [row.select(F.inline(F.array(*rows))) for row, *rows in figures])
     return table.orderBy("position")

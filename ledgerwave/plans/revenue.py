@@ -81,8 +81,7 @@ class Revenue:
 
     @cached_property
     def fct_usage(self) -> DataFrame:
-        entitled = snapshots.active_on_snapshot(self.arr_spans)
-        return usage.fct_usage(entitled, self.usage_rollup)
+        return usage.fct_usage_of_spans(self.arr_spans, self.usage_rollup)
 
     @cached_property
     def recon_match(self) -> DataFrame:

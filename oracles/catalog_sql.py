@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerwave.operators.checks import GENERIC_CHECKS, Check
+from collections import namedtuple
+
 from oracles import bout_sql
 from oracles.ctes import assemble
 
@@ -39,7 +40,7 @@ FINAL["densify"] = money("apm", "arr")
 FINAL["arr_account_product_month"] = money("apm", "arr")
 FINAL["ever_active_before"] = """
   SELECT account_id, product_id, measurement_month, cast(prior_arr AS double) AS prior_arr,
-         product_active_before = 1 AS product_active_before, account_active_before = 1 AS account_active_before
+         product_active_before, account_active_before
   FROM classified"""
 FINAL["period_movement"] = """
   SELECT account_id, product_id, measurement_month, cast(prior_arr AS double) AS beginning_arr,
@@ -309,30 +310,91 @@ CHECK_BLOCKS = {
 }
 
 
-def check_sql(check: Check) -> str:
-    """Number of violations of one check, counted as the check itself lists them."""
-    table, first, columns = CHECK_BLOCKS[check.table], check.columns[0], ", ".join(check.columns)
+# The tests of each table. "key" is unique and not null; a reference names its parent's column.
+CHECKS = """
+accounts: key account_id; refers owner_id users.user_id
+users: key user_id
+products: key product_id; present is_recurring
+opportunities: key opportunity_id; refers account_id accounts.account_id;
+  accepts opportunity_type New Business|Expansion|Renewal|Downgrade|Churn; present is_won; present is_closed
+opportunity_line_items: key opportunity_line_id; refers opportunity_id opportunities.opportunity_id;
+  refers product_id products.product_id
+contracts: key contract_id; refers account_id accounts.account_id
+subscriptions: key subscription_id; refers account_id accounts.account_id; refers product_id products.product_id
+erp_customers: key ns_customer_id; refers sfdc_account_external_id accounts.account_id
+erp_items: key ns_item_id
+erp_orders: key sales_order_id; refers ns_customer_id erp_customers.ns_customer_id
+erp_order_lines: key sales_order_line_id; refers sales_order_id erp_orders.sales_order_id
+erp_invoices: key invoice_id
+erp_invoice_lines: key invoice_line_id; refers invoice_id erp_invoices.invoice_id
+usage_monthly: together account_id,product_id,usage_month; refers account_id accounts.account_id;
+  refers product_id products.product_id; present usage_month
+acv_lines: key opportunity_line_id
+contract_lines: key subscription_id
+arr_account_product_month: together account_id,product_id,measurement_month
+arr_movements: accepts revenue_category new_logo|cross_sell|upsell|downgrade|churn|scheduled
+dim_account: key account_key; key account_id; accepts geo_region NA|EMEA|APAC|LATAM;
+  accepts segment Enterprise|Mid-Market|SMB
+dim_product: key product_key; key product_id; present is_recurring
+dim_sales_rep: key sales_rep_key; key user_id
+fct_acv: key acv_key; key opportunity_line_id; refers account_key dim_account.account_key;
+  refers product_key dim_product.product_key; refers sales_rep_key dim_sales_rep.sales_rep_key;
+  accepts revenue_category new_logo|cross_sell|upsell|downgrade|churn|scheduled; present is_closed_won
+fct_arr: together account_id,product_id,measurement_month; key arr_key; refers account_key dim_account.account_key;
+  refers product_key dim_product.product_key; present measurement_month;
+  accepts revenue_category new_logo|cross_sell|upsell|downgrade|churn|scheduled
+fct_usage: together account_id,product_id,usage_month; key usage_key; refers account_key dim_account.account_key;
+  refers product_key dim_product.product_key; from utilization_pct 0
+rpt_recon: key recon_key; refers account_key dim_account.account_key;
+  accepts match_status matched|variance|unmatched_sfdc|unmatched_netsuite;
+  accepts discrepancy_category matched_clean|amount_mismatch|missing_in_netsuite|orphan_in_netsuite|currency_rounding|timing_difference|partially_invoiced
+"""
+Test = namedtuple("Test", "kind table columns detail")
+
+
+def tests() -> list[Test]:
+    kinds = {
+        "key": ("unique", "not_null"), "present": ("not_null",), "refers": ("relationship",),
+        "accepts": ("accepted_values",), "together": ("unique_combination",), "from": ("range",),
+    }
+    found = []
+    for line in CHECKS.replace("\n  ", " ").strip().splitlines():
+        table, _, rules = line.partition(": ")
+        for rule in rules.split("; "):
+            word, columns, detail = (*rule.split(" ", 2), "")[:3]
+            found += [Test(kind, table, columns.split(","), detail) for kind in kinds[word]]
+    return found
+
+
+def test_sql(test: Test) -> str:
+    """Number of violations of one test, counted as the check itself lists them."""
+    table, first, columns = CHECK_BLOCKS[test.table], test.columns[0], ", ".join(test.columns)
     present = f"FROM {table} WHERE {first} IS NOT NULL"
-    if check.kind == "not_null":
+    if test.kind == "not_null":
         return f"SELECT count(*) FROM {table} WHERE {first} IS NULL"
-    if check.kind == "range":
-        return f"SELECT count(*) FROM {table} WHERE {first} < {check.low}"
-    if check.kind == "unique":
+    if test.kind == "range":
+        return f"SELECT count(*) FROM {table} WHERE {first} < {test.detail}"
+    if test.kind == "unique":
         return f"SELECT count(*) FROM (SELECT {first} {present} GROUP BY {first} HAVING count(*) > 1)"
-    if check.kind == "unique_combination":
+    if test.kind == "unique_combination":
         return f"SELECT count(*) FROM (SELECT {columns} FROM {table} GROUP BY {columns} HAVING count(*) > 1)"
-    if check.kind == "accepted_values":
-        values = ", ".join(f"'{v}'" for v in check.values)
+    if test.kind == "accepted_values":
+        values = ", ".join(f"'{v}'" for v in test.detail.split("|"))
         return f"SELECT count(DISTINCT {first}) FROM {table} WHERE {first} NOT IN ({values})"
-    return f"SELECT count(*) {present} AND {first} NOT IN (SELECT {check.field} FROM {CHECK_BLOCKS[check.parent]})"
+    parent, field = test.detail.split(".")
+    return f"SELECT count(*) {present} AND {first} NOT IN (SELECT {field} FROM {CHECK_BLOCKS[parent]})"
 
 
-FINAL["run_checks"] = "\nUNION ALL ".join(
-    f"SELECT '{c.name}' AS name, '{c.kind}' AS kind, '{c.table}' AS \"table\", '{', '.join(c.columns)}' AS columns,"
-    f" ({check_sql(c)}) AS violations"
-    for c in GENERIC_CHECKS
-)
+def tests_sql(chosen: list[Test]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{'_'.join([t.kind, t.table, *t.columns])}' AS name, '{t.kind}' AS kind, '{t.table}' AS \"table\","
+        f" '{', '.join(t.columns)}' AS columns, ({test_sql(t)}) AS violations"
+        for t in chosen
+    )
+
 
+FINAL["run_checks"] = tests_sql(tests())
+FINAL["run_checks_kept"] = tests_sql([t for t in tests() if t.table == "fct_arr" and t.kind != "relationship"])
 # --- sources and sinks -----------------------------------------------------------------
 
 FINAL["month_spine"] = """
@@ -356,6 +418,16 @@ FINAL["upsert_by_key"] = """
   SELECT account_id, contract_id, contract_status, 1 AS batch FROM st_contracts
   WHERE account_id NOT IN (SELECT account_id FROM st_contracts
                            WHERE account_id % 7 = 0 AND cast(contract_id AS bigint) % 2 = 0)"""
+_CHANGED = "cast(contract_id AS bigint) % {n} = 0 AND account_id % {a} = 0"
+FINAL["upsert_stored"] = f"""
+  SELECT account_id, contract_id, coalesce(status, contract_status) AS contract_status, cast(version AS bigint) AS version
+  FROM (
+    SELECT *, bool_or({_CHANGED.format(n=3, a=5)}) OVER account AS closed,
+           bool_or({_CHANGED.format(n=2, a=7)}) OVER account AS restated
+    FROM st_contracts WINDOW account AS (PARTITION BY account_id)
+  ) c JOIN (VALUES (1, NULL), (2, 'Restated'), (3, 'Closed')) AS v(version, status) ON version = CASE
+    WHEN closed THEN 3 WHEN restated THEN 2 ELSE 1 END
+  WHERE version = 1 OR (version = 2 AND {_CHANGED.format(n=2, a=7)}) OR (version = 3 AND {_CHANGED.format(n=3, a=5)})"""
 
 
 # --- paired index -----------------------------------------------------------------------
@@ -456,12 +528,60 @@ FINAL["career_profiles"] = "SELECT * REPLACE (round(log_fights, 9) AS log_fights
 WINNER = [f"winner_{f}" for f in bout_sql.METHOD_FEATURES]
 FINAL["training_pairs"] = f"""
   SELECT * EXCLUDE ({', '.join(WINNER)}) REPLACE (round(log_fights, 9) AS log_fights) FROM pairs"""
+_UNITS = ", ".join(
+    f"({f} - avg({f}) OVER ()) / coalesce(nullif(stddev_pop({f}) OVER (), 0), 1)" for f in bout_sql.MODEL_FEATURES
+)
+_NAMES = ", ".join(f"'{f}'" for f in bout_sql.MODEL_FEATURES)
+FINAL["interactions_select"] = f"""
+  SELECT cast(position AS integer) AS position, feature, information FROM (
+    SELECT position, feature, round(sum(n / n_all * ln(n * n_all / (n_bin * n_label))), 9) AS information FROM (
+      SELECT position, feature, bin, label, cast(count(*) AS double) AS n,
+             cast(sum(count(*)) OVER (PARTITION BY position) AS double) AS n_all,
+             cast(sum(count(*)) OVER (PARTITION BY position, bin) AS double) AS n_bin,
+             cast(sum(count(*)) OVER (PARTITION BY position, label) AS double) AS n_label
+      FROM (
+        SELECT label, p.position, p.feature, floor(greatest(-2.5, least(2.5, u[p.a] * p.factor)) / 0.5 + 1e-9) AS bin
+        FROM (
+          SELECT label, u, unnest(list_transform(places, lambda q: struct_pack(
+                   position := q.position, feature := q.feature, a := q.a,
+                   factor := CASE WHEN q.b = 0 THEN 1 ELSE u[q.b] END))) AS p
+          FROM (SELECT label, [{_UNITS}] AS u FROM pairs),
+               (SELECT list(struct_pack(position := position, feature := feature, a := a, b := b)) AS places FROM (
+                  SELECT row_number() OVER (ORDER BY b > 0, a, b) - 1 AS position, a, b,
+                         CASE WHEN b = 0 THEN names[a] ELSE names[a] || '*' || names[b] END AS feature
+                  FROM (SELECT [{_NAMES}] AS names), range(1, {len(bout_sql.MODEL_FEATURES) + 1}) x(a),
+                       range(0, {len(bout_sql.MODEL_FEATURES) + 1}) y(b)
+                  WHERE b = 0 OR b > a))))
+      GROUP BY position, feature, bin, label)
+    GROUP BY position, feature)
+  ORDER BY information DESC, position LIMIT 50"""
+FINAL["saved_models"] = """
+  SELECT model, n AS rows, cast(0 AS bigint) AS changed FROM (SELECT count(*) AS n FROM pairs),
+    (VALUES ('GradientBoosting'), ('RandomForest'), ('MLP'), ('LogisticReg'), ('Interactions'), ('Stacking'),
+            ('InteractionStacking'), ('Calibrated')) AS m(model)"""
 FINAL["winner_profile"] = f"SELECT fight_id, method, {', '.join(WINNER)} FROM pairs WHERE NOT mirrored"
 
 
 # --- cards and match-ups --------------------------------------------------------------------
 
 FINAL["resolve_entity"] = "SELECT * FROM resolved"
+FINAL["resolve_requests"] = """
+  SELECT request_id, requested, coalesce(e.fighter_url, p.fighter_url) AS fighter_url, coalesce(e.fighter, p.fighter) AS fighter
+  FROM (
+    SELECT fight_id AS request_id, CASE cast(fight_id AS bigint) % 4
+             WHEN 0 THEN upper(fighter1_name) WHEN 1 THEN '  ' || split_part(fighter1_name, ' ', 1) || ' Nobody'
+             WHEN 2 THEN substr(fighter1_name, 2, least(2, strpos(fighter1_name, ' ') - 2)) || ' 3'
+             ELSE fight_id || ' ' || split_part(fighter1_name, ' ', 1) END AS requested
+    FROM bt_fight_details) r
+  LEFT JOIN (SELECT DISTINCT ON (name) lower(fighter) AS name, fighter_url, fighter FROM card_names
+             WHERE fighter IS NOT NULL ORDER BY name, fighter_url, fighter) e ON e.name = lower(r.requested)
+  LEFT JOIN (
+    SELECT DISTINCT ON (word) word, fighter_url, fighter FROM card_names, (
+      SELECT unnest(list_distinct(list(lower(word)))) AS word FROM (
+        SELECT unnest(['nobody', fight_id, split_part(fighter1_name, ' ', 1),
+                       substr(fighter1_name, 2, least(2, strpos(fighter1_name, ' ') - 2))]) AS word FROM bt_fight_details))
+    WHERE contains(lower(fighter), word) ORDER BY word, fighter_url, fighter
+  ) p ON p.word = lower(regexp_extract(r.requested, '\\S+'))"""
 FINAL["select_card"] = """
   SELECT cast(a.request_id // 2 AS bigint) AS position, coalesce(a.fighter, a.requested) AS fighter1, a.fighter_url AS fighter1_url,
          coalesce(x.fights, 0) AS f1_count, coalesce(b.fighter, b.requested) AS fighter2,

@@ -10,8 +10,8 @@ from ledgerwave.plans.catalog import QUERIES
 from ledgerwave.plans.revenue import sample_revenue
 
 # Queries that train models run jobs while they are built.
-TRAINING = {"train_winner", "interactions_select", "stack", "calibrate", "train_method", "predict_card"}
-WRITING = {"run_checks", "load_feed", "materialize_layer", "write_artifact_json"}
+TRAINING = {"train_winner", "interactions_select", "stack", "calibrate", "train_method", "predict_card", "saved_models"}
+WRITING = {"run_checks", "load_feed", "materialize_layer", "write_artifact_json", "upsert_stored"}
 
 
 def plan(frame) -> str:
