@@ -13,6 +13,8 @@ from ledgerwave.llm.common import text_of, written
 SHARDS = 8
 #: Groups in a cell, parts a cell is cut into, items of the last differencing, and rows numbered together.
 CELL, PARTS, LAST, BLOCK = 4096, 64, 65536, 65536
+#: Bundles that each shard is filled with at least.
+FILL = 128
 
 
 def differencing(sizes: list[int], parts: int) -> list[int]:
@@ -60,18 +62,21 @@ def assign(groups: DataFrame, shards: int = SHARDS, cell: int = CELL, parts: int
     Cells of about ``cell`` groups are differenced into ``parts`` bundles each, and the bundles into shards; with more
     than ``last`` bundles they are bundled again. Groups of more than two ``last``-ths of all bytes, of which there can
     be no more than half of ``last``, are kept out of the cells and meet the bundles as they are, so the rest fills up
-    around them.
+    around them. There are at least ``FILL`` bundles for each shard, whatever the other numbers, so the last
+    differencing has small ones to even shards out with.
     """
+    last = max(last, 2 * FILL * shards)
     total, count = groups.agg(F.sum("bytes"), F.count("*")).first()
     heavy = 2 * (total or 0) // last
     # An item is named by the level it was made at and its number there; groups are of level 0.
     items, bundles, level = groups.select(F.lit(0).alias("level"), "item", "bytes"), [], 0
     while count > last:
         cells = -(-count // cell)
+        cut = max(parts, -(-FILL * shards // cells))
         light = items.filter(F.col("bytes") <= heavy)
         dealt = light.withColumn("cell", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(cells)))
         bundled = written(
-            _difference(dealt, parts).select("item", "bytes", (F.col("cell") * parts + F.col("part")).alias("bundle")),
+            _difference(dealt, cut).select("item", "bytes", (F.col("cell") * cut + F.col("part")).alias("bundle")),
             "bundles",
         )
         bundles.append(bundled)
