@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,17 +13,50 @@ from pyspark.sql import functions as F
 
 from ledgerwave.llm.common import text_key, text_of, written
 from ledgerwave.llm.cuts import cut_texts
+from ledgerwave.llm.words import REMEMBERED
 
 #: A span has at least so many sentences and words; a span of LONG words may have fewer sentences.
-SENTENCES, WORDS, LONG = 3, 20, 50
+SENTENCES, WORDS, LONG = 5, 30, 35
+#: Sentences of more words than PART are cut in parts, one word in CUT being an end besides those before a comma or colon.
+PART, CUT = 12, 8
 
 #: A sentence: up to closing marks before white space, to the end of the line, or to the end of the text.
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)\s*|\n+")
+_WORD = re.compile(r"\s*\S+\s*")
+
+
+class _Ends(dict):
+    """Whether a long sentence is cut after a word: the word alone decides, so a passage is cut alike wherever it stands."""
+
+    def __missing__(self, stretch: str) -> bool:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        word = stretch.strip().lower()
+        value = self[stretch] = word[-1] in ",;:" or zlib.crc32(word.encode()) % CUT == 0
+        return value
+
+
+_ends = _Ends()
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Where the sentences of a text begin and end, white space that follows included; together they are the text."""
-    return [m.span() for m in _SENTENCE.finditer(text)]
+    """Where the sentences of a text, or the parts of long ones, begin and end, white space that follows included.
+
+    Together they are the text. What begins or ends in mid-sentence still has whole parts.
+    """
+    found = []
+    for m in _SENTENCE.finditer(text):
+        start, end = m.span()
+        words = _WORD.findall(text, start, end)
+        if len(words) > PART:
+            at = start
+            for word in words[:-1]:
+                at += len(word)
+                if _ends[word]:
+                    found.append((start, at))
+                    start = at
+        found.append((start, end))
+    return found
 
 
 class Spans:
@@ -140,10 +174,11 @@ def dedup_spans(docs: DataFrame, spans: Spans | None = None, id_column: str = "d
     """``docs`` as the struct ``row``, its text without repeated sentences, and ``removed``, how many have gone.
 
     Every sentence goes that is in a run which has occurred before, in this document or one of a lower id. A run is
-    made of consecutive whole sentences, at least three with twenty words or any with fifty words. The shortest ones
-    from each sentence on and up to each sentence cover all longer ones. A null text has no sentence and stays null; a text may become empty, its row stays. Rows that agree
-    in id and text are one document and stay alike. An empty table gives no rows. As the row travels in a struct, no
-    name of it can clash.
+    made of consecutive whole sentences, or parts of those with more than twelve words, at least five with thirty
+    words or any with thirty-five words. The shortest ones from each sentence on and up to each sentence cover all
+    longer ones. A null text has no sentence and stays null; a text may become empty, its row stays. Whole texts count,
+    however long. Rows that agree in id and text are one document and stay alike. An empty table gives no rows. As the
+    row travels in a struct, no name of it can clash.
     """
     spans = spans or Spans()
     cuts = repeated_spans(docs, spans, id_column, text_column)

@@ -7,8 +7,8 @@ from helpers import documents, with_clashes
 from ledgerwave.llm import spans
 
 
-def truth(rows, at_least=3, words=20, long=50):
-    """Texts without the sentences of spans that have occurred before."""
+def truth(rows, at_least=spans.SENTENCES, words=spans.WORDS, long=spans.LONG):
+    """Texts without the sentences of any run that has occurred before."""
     seen, result = set(), {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         places = spans.sentences(text or "")
@@ -22,7 +22,6 @@ def truth(rows, at_least=3, words=20, long=50):
                     if key in seen:
                         gone.update(range(own[s][0], own[e - 1][0] + 1))
                     seen.add(key)
-                    break
         result[doc_id] = None if text is None else "".join(text[a:b] for i, (a, b) in enumerate(places) if i not in gone)
     return result
 
@@ -65,10 +64,47 @@ def test_odd_rows(spark):
     docs = with_clashes(documents(spark, rows), "row", "hash", "starts", "parts", "removed", "text_key", "first", "n")
     found = spans.dedup_spans(docs)
     assert found.select("row.*").columns == docs.columns
-    assert got(found) == truth(rows)
+    texts = got(found)
+    # Of a text with tens of thousands of equal sentences the first run stays; all its runs are too many for the truth.
+    assert texts.pop(7).startswith("z " * spans.WORDS) and len(rows.pop(-1)[1]) == 160_000
+    assert texts == truth(rows)
     twice = spans.dedup_spans(documents(spark, [(1, text + "End one."), (1, text + "End one.")]))
     assert len({r["row"]["text"] for r in twice.collect()}) == 1 and twice.count() == 2
 
 
 def test_empty(spark):
     assert spans.dedup_spans(documents(spark, [])).count() == 0
+
+
+def test_long_sentences_are_cut_alike_wherever_they_stand():
+    own = random.Random(6)
+    words = ["".join(own.choice("abcdefgh") for _ in range(own.randrange(2, 7))) + own.choice(["", "", "", ","]) for _ in range(200)]
+    text = " ".join(words) + "."
+    assert "".join(text[a:b] for a, b in spans.sentences(text)) == text
+    parts = {text[a:b].strip() for a, b in spans.sentences(text)}
+    other = "  Something else before it " + " ".join(words[50:150]) + " and after it. End."
+    own_parts = [other[a:b].strip() for a, b in spans.sentences(other)]
+    assert len(parts) > 20 and sum(p in parts for p in own_parts) >= len(own_parts) - 4
+
+
+def test_passages_in_mid_sentence(spark):
+    """Passages of 55 words put anywhere in two texts: in nine of ten something goes, and no other text changes."""
+    own = random.Random(10)
+
+    def prose(n):
+        made = []
+        for _ in range(n):
+            made.append("".join(own.choice("abcdefghijklmnop") for _ in range(own.randrange(2, 8))))
+            made[-1] += own.choices(["", ",", "."], [12, 1, 1])[0]
+        return made
+
+    rows, passages = [(i, prose(150)) for i in range(240)], [prose(55) for _ in range(100)]
+    for i, passage in enumerate(passages):
+        for doc in (i, 100 + i):
+            words = rows[doc][1]
+            at = own.randrange(len(words))
+            rows[doc] = (doc, words[:at] + passage + words[at:])
+    rows = [(i, " ".join(words)) for i, words in rows]
+    found = got(spans.dedup_spans(documents(spark, rows)))
+    changed = {i for i, text in rows if found[i] != text}
+    assert changed <= set(range(100, 200)) and len(changed) >= 90

@@ -7,7 +7,7 @@ from helpers import documents
 from ledgerwave.llm import spans
 
 
-def truth(rows, at_least=3, words=20, long=50):
+def truth(rows, at_least=spans.SENTENCES, words=spans.WORDS, long=spans.LONG):
     """Texts without the sentences of any run that has occurred before."""
     seen, result = set(), {}
     for doc_id, text in sorted(rows):
