@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -50,12 +49,12 @@ def sentences(text: str) -> list[tuple[int, int]]:
         start, end = m.span()
         words = _WORD.findall(text, start, end)
         if len(words) > PART:
-            cuts = [i for i, last in enumerate(map(_ends.__getitem__, words[:-1])) if last]
-            if cuts:
-                first, after = start, list(accumulate(map(len, words)))
-                for i in cuts:
-                    found.append((start, first + after[i]))
-                    start = first + after[i]
+            at = start
+            for word in words[:-1]:
+                at += len(word)
+                if _ends[word]:
+                    found.append((start, at))
+                    start = at
         found.append((start, end))
     return found
 
@@ -122,31 +121,44 @@ def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str =
 
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            hashes = [[h for _, _, h in spans.of(text.as_py())] for text in part.column("text")]
+            numbers, hashes = [], []
+            for text in part.column("text"):
+                own = spans.of(text.as_py())
+                numbers.append(range(len(own)))
+                hashes.append([h for _, _, h in own])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_key"), pa.array(hashes, pa.list_(pa.binary()))],
-                ["doc_id", "text_key", "hashes"],
+                [
+                    part.column("doc_id"),
+                    part.column("text_key"),
+                    pa.array(numbers, pa.list_(pa.int32())),
+                    pa.array(hashes, pa.list_(pa.binary())),
+                ],
+                ["doc_id", "text_key", "numbers", "hashes"],
             )
 
     rows = written(
         texts.withColumn("text_key", text_key(F.col("text")))
         .select("doc_id", "text_key", "text")
-        .mapInArrow(hashed, f"doc_id {kind}, text_key binary, hashes array<binary>")
+        .mapInArrow(hashed, f"doc_id {kind}, text_key binary, numbers array<int>, hashes array<binary>")
         .withColumn("row", F.monotonically_increasing_id()),
         "spans",
     )
     # A number for each pair of id and text, in their order as far as it decides which occurrence is first.
     names = written(rows.groupBy("doc_id", "text_key").agg(F.min("row").alias("row")), "names")
     own = rows.join(names.select("row"), "row", "left_semi") if _repeated(rows, names) else rows
-    each = own.select("doc_id", "row", F.posexplode("hashes").alias("nth", "hash"))
-    # Most spans occur once: they are told by a count alone, and only the others carry their place on.
-    several = written(each.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "several")
-    again = written(each.join(several, "hash").select("doc_id", "row", "nth", "hash"), "repeated")
-    first = again.groupBy("hash").agg(F.min(F.struct("doc_id", "row", "nth")).alias("first"))
-    first = written(first.select("hash", F.col("first.row").alias("first_row"), F.col("first.nth").alias("first_nth")), "first")
+    each = own.select(
+        "doc_id", "row", F.explode(F.arrays_zip("numbers", "hashes")).alias("z")
+    ).select("doc_id", "row", F.col("z.numbers").alias("nth"), F.col("z.hashes").alias("hash"))
+    again = written(
+        each.groupBy("hash")
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "nth")).alias("first"))
+        .filter("n > 1")
+        .select("hash", F.col("first.row").alias("first_row"), F.col("first.nth").alias("first_nth")),
+        "repeated",
+    )
     later = (
-        again.select("row", "nth", "hash")
-        .join(first, "hash")
+        each.select("row", "nth", "hash")
+        .join(again, "hash")
         .filter((F.col("row") != F.col("first_row")) | (F.col("nth") != F.col("first_nth")))
         .groupBy("row")
         .agg(F.collect_set("nth").alias("parts"))  # at most two for each sentence of one text
