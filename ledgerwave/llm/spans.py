@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -19,45 +18,25 @@ from ledgerwave.llm.words import REMEMBERED
 #: A span has at least so many sentences and words; a span of LONG words may have fewer sentences.
 SENTENCES, WORDS, LONG = 5, 30, 35
 #: Sentences of more words than PART are cut in parts, one word in CUT being an end besides those before a comma or colon.
-PART, CUT = 12, 8
+PART, CUT = 12, 16
 
 #: A sentence: up to closing marks before white space, to the end of the line, or to the end of the text.
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)\s*|\n+")
 _WORD = re.compile(r"\s*\S+\s*")
 
 
-class _Known(dict):
-    """Of a word with the white space around it: whether a long sentence is cut after it, and the word in lower case.
+class _Ends(dict):
+    """Whether a long sentence is cut after a word: the word alone decides, so a passage is cut alike wherever it stands."""
 
-    The word alone decides, so a passage is cut alike wherever it stands.
-    """
-
-    def __missing__(self, stretch: str) -> tuple[bool, str]:
+    def __missing__(self, stretch: str) -> bool:
         if len(self) >= REMEMBERED:
             self.clear()
         word = stretch.strip().lower()
-        value = self[stretch] = word[-1] in ",;:" or zlib.crc32(word.encode()) % CUT == 0, word
+        value = self[stretch] = word[-1] in ",;:" or zlib.crc32(word.encode()) % CUT == 0
         return value
 
 
-_known = _Known()
-
-
-def parts_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """The sentences of a text, or the parts of long ones: begin, end with the white space that follows, and words."""
-    for m in _SENTENCE.finditer(text):
-        start, end = m.span()
-        stretches = _WORD.findall(text, start, end)
-        known = list(map(_known.__getitem__, stretches))
-        first = 0
-        if len(known) > PART:
-            at = start
-            after = list(accumulate(map(len, stretches)))
-            for i, (last, _) in enumerate(known[:-1]):
-                if last:
-                    yield start, at + after[i], [w for _, w in known[first : i + 1]]
-                    start, first = at + after[i], i + 1
-        yield start, end, [w for _, w in known[first:]]
+_ends = _Ends()
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -65,7 +44,19 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
     Together they are the text. What begins or ends in mid-sentence still has whole parts.
     """
-    return [(start, end) for start, end, _ in parts_of(text)]
+    found = []
+    for m in _SENTENCE.finditer(text):
+        start, end = m.span()
+        words = _WORD.findall(text, start, end)
+        if len(words) > PART:
+            at = start
+            for word in words[:-1]:
+                at += len(word)
+                if _ends[word]:
+                    found.append((start, at))
+                    start = at
+        found.append((start, end))
+    return found
 
 
 class Spans:
@@ -81,7 +72,8 @@ class Spans:
         Sentences are compared in lower case with one blank for white space. Stretches without a word count for nothing.
         """
         places, counts, digests = [], [0], []
-        for i, (_, _, words) in enumerate(parts_of(text)):
+        for i, (start, end) in enumerate(sentences(text)):
+            words = text[start:end].lower().split()
             if words:
                 places.append(i)
                 counts.append(counts[-1] + len(words))
@@ -105,18 +97,19 @@ class Spans:
     def _enough(self, sentences_: int, words: int) -> bool:
         return (sentences_ >= self.at_least and words >= self.words) or words >= self.long
 
-    def without(self, text: str, spans: list[int]) -> tuple[str, int]:
-        """The text without the sentences of these spans, first and last in one number, and how many those are."""
-        gone: set[int] = set()
-        for span in spans:
-            gone.update(range(span >> 32, span & 0xFFFFFFFF))
+    def without(self, text: str, numbers: list[int]) -> tuple[str, int]:
+        """The text without the sentences of the spans of these numbers in ``of``, and how many those are."""
+        gone, wanted = set(), set(numbers)
+        for number, (start, end, _) in enumerate(self.of(text)):
+            if number in wanted:
+                gone.update(range(start, end))
         places = sentences(text)
         kept = "".join(text[a:b] for i, (a, b) in enumerate(places) if i not in gone)
         return kept, len(gone)
 
 
 def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, text_key, parts): the spans that have occurred before, first and last sentence, for rows with any.
+    """(doc_id, text_key, parts): the numbers of the spans that have occurred before, for rows with any.
 
     The first of equal spans is the one of the least doc_id, then text, then place. A null id is less than none. Rows
     that agree in id and text are one document. Spans are joined by a 128-bit hash; occurrences of one are counted
@@ -131,13 +124,13 @@ def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str =
             numbers, hashes = [], []
             for text in part.column("text"):
                 own = spans.of(text.as_py())
-                numbers.append([start << 32 | end for start, end, _ in own])
+                numbers.append(range(len(own)))
                 hashes.append([h for _, _, h in own])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     part.column("text_key"),
-                    pa.array(numbers, pa.list_(pa.int64())),
+                    pa.array(numbers, pa.list_(pa.int32())),
                     pa.array(hashes, pa.list_(pa.binary())),
                 ],
                 ["doc_id", "text_key", "numbers", "hashes"],
@@ -146,7 +139,7 @@ def repeated_spans(docs: DataFrame, spans: Spans | None = None, id_column: str =
     rows = written(
         texts.withColumn("text_key", text_key(F.col("text")))
         .select("doc_id", "text_key", "text")
-        .mapInArrow(hashed, f"doc_id {kind}, text_key binary, numbers array<long>, hashes array<binary>")
+        .mapInArrow(hashed, f"doc_id {kind}, text_key binary, numbers array<int>, hashes array<binary>")
         .withColumn("row", F.monotonically_increasing_id()),
         "spans",
     )
