@@ -62,3 +62,30 @@ def join_sized(
     if lookup.select(*on).limit(small + 1).count() <= small:
         return rows.join(F.broadcast(lookup), list(on), "left")
     return join_hot(rows, lookup, on, "left", spread)
+
+
+def join_sides(
+    rows: DataFrame,
+    lookup: DataFrame,
+    sides: Sequence[Sequence[str]],
+    on: Sequence[str],
+    name: str,
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
+    """``rows`` that have both their sides in ``lookup``, which ``name``1 and ``name``2 then hold.
+
+    ``sides`` names the columns of each side that make the key ``on``. Both sides meet the lookup, which holds at most
+    one row per key, in one join, and come together again by the row, of which there may be no second one alike. With
+    ``spread`` the rows of a key are dealt over slices by these columns.
+    """
+    own = [f"_on_{c}" for c in on]
+    keys = [F.struct(*[F.col(c).alias(k) for c, k in zip(side, own)]) for side in sides]
+    fields = [c for c in lookup.columns if c not in on]
+    each = rows.select(*rows.columns, F.posexplode(F.array(*keys)).alias("_side", "_key")).select(
+        *rows.columns, "_side", "_key.*"
+    )
+    known = lookup.select(*[F.col(c).alias(o) for c, o in zip(on, own)], F.struct(*fields).alias("_known"))
+    met = each.join(known, own) if spread is None else join_hot(each, known, own, "inner", spread)
+    pairs = met.groupBy(*rows.columns).agg(F.sort_array(F.collect_list(F.struct("_side", "_known"))).alias("_met"))
+    both = pairs.filter(F.size("_met") == len(sides))
+    return both.select(*rows.columns, *[F.col("_met")[i]["_known"].alias(f"{name}{i + 1}") for i in range(len(sides))])

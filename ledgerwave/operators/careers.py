@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwave.functions.joins import join_hot
+from ledgerwave.functions.joins import join_hot, join_sides
 from ledgerwave.functions.values import clock_seconds, safe_div
 from ledgerwave.operators.pairs import bout_dates
 
@@ -326,18 +326,17 @@ def training_pairs(bouts: DataFrame, profile: DataFrame) -> DataFrame:
 
     ``winner_*`` holds the winner's own features for the method model.
     """
-
-    def side(n: int) -> DataFrame:
-        return profile.select(
-            F.col("fighter_url").alias(f"fighter{n}_url"), "event_date", F.struct("fights", *FEATURES).alias(f"p{n}")
-        )
-
     known = bouts.select("fight_id", "event_date", "fighter1_url", "fighter2_url", "winner", "method")
     first_won = F.col("winner") == "fighter1"
     winner = F.when(first_won, F.col("p1")).otherwise(F.col("p2"))
     return (
-        known.join(side(1), ["fighter1_url", "event_date"])
-        .join(side(2), ["fighter2_url", "event_date"])
+        join_sides(
+            known,
+            profile.select("fighter_url", "event_date", "fights", *FEATURES),
+            [["fighter1_url", "event_date"], ["fighter2_url", "event_date"]],
+            ["fighter_url", "event_date"],
+            "p",
+        )
         .withColumn("mirrored", F.explode(F.array(F.lit(False), F.lit(True))))
         .select(
             "fight_id",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -229,6 +231,15 @@ def _value_counts(df: DataFrame, checks: list[Check], *also: Column) -> DataFram
     )
 
 
+def _partitions(table: DataFrame, column: str) -> set[str | None]:
+    """The values of a partition column, from the names of folders if it is one; there are as many as months."""
+    named = [re.search(f"/{re.escape(column)}=([^/]+)/", path) for path in table.inputFiles()]
+    if named and all(named):
+        values = {unquote(m[1]) for m in named}
+        return {None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values}
+    return {r[0] for r in table.select(F.col(column).cast("string")).distinct().collect()}
+
+
 class KeptCounts:
     """Value counts of a table's checks, kept by partition of the table.
 
@@ -246,7 +257,7 @@ class KeptCounts:
         column = self.partitions[name]
         path = f"{self.folder}/{name}"
         known = self._known(path)
-        present = {r[0] for r in table.select(F.col(column).cast("string")).distinct().collect()}  # as many as months
+        present = _partitions(table, column)
         again = {str(c) for c in changed}
         wanted = sorted((present - (known - again)) - {None})
         if wanted or None in present:

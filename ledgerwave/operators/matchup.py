@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwave.functions.joins import join_hot
+from ledgerwave.functions.joins import join_sides
 from ledgerwave.functions.values import clamp, clock_seconds, safe_div
 from ledgerwave.operators.careers import STATS
 from ledgerwave.operators.pairs import birth_date, weight_class_of
@@ -214,11 +214,6 @@ def matchup_modifiers(
     if version not in VERSIONS:
         raise ValueError(f"version must be one of {VERSIONS}")
     after_v2, form, defended = version != "v2", version in ("v2.2", "v2.3"), version == "v2.3"
-    fields = [c for c in corner.columns if c != "fighter_url"]
-
-    def side(n: int) -> DataFrame:
-        return corner.select(F.col("fighter_url").alias(f"fighter{n}_url"), F.struct(*fields).alias(f"c{n}"))
-
     one, two = F.col("c1"), F.col("c2")
     reach_known = (one["reach"] > 0) & (two["reach"] > 0)
     ahead = F.when(reach_known, one["reach"] - two["reach"]).otherwise(0.0)
@@ -227,9 +222,7 @@ def matchup_modifiers(
     neutral = F.lit(1.0)
 
     bouts = (
-        join_hot(
-            join_hot(card, side(1), ["fighter1_url"], "inner"), side(2), ["fighter2_url"], "inner", card.columns
-        )
+        join_sides(card, corner, [["fighter1_url"], ["fighter2_url"]], ["fighter_url"], "c", card.columns)
         .withColumns({"skill1": skill1, "skill2": skill2})
         .withColumns(
             {

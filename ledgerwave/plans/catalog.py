@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ledgerwave.functions.joins import join_hot
+from ledgerwave.functions.joins import join_sides
 from ledgerwave.operators import (
     bookings,
     cards,
@@ -398,19 +398,17 @@ def _select_card(spark: SparkSession, folder: str) -> DataFrame:
 
 def _reasoning_text(b: Bouts) -> DataFrame:
     """Why the winner of each bout would have been picked, from both whole careers."""
-    fields = [c for c in b.final_profiles.columns if c not in ("fighter_url", "event_date")]
-
-    def side(n: int) -> DataFrame:
-        return b.final_profiles.select(F.col("fighter_url").alias(f"fighter{n}_url"), F.struct(*fields).alias(f"p{n}"))
-
     first = F.col("winner") == "fighter1"
     winner = F.when(first, F.col("p1")).otherwise(F.col("p2"))
     loser = F.when(first, F.col("p2")).otherwise(F.col("p1"))
     name = F.when(first, F.col("fighter1_name")).otherwise(F.col("fighter2_name"))
+    bouts = b.clean.select(
+        "fight_id", "fighter1_url", "fighter2_url", "fighter1_name", "fighter2_name", "winner", "method"
+    )
     chance = winner["win_rate"] / F.nullif(winner["win_rate"] + loser["win_rate"], F.lit(0.0))
     return (
-        join_hot(
-            join_hot(b.clean, side(1), ["fighter1_url"], "inner", ["fight_id"]), side(2), ["fighter2_url"], "inner",
+        join_sides(
+            bouts, b.final_profiles.drop("event_date"), [["fighter1_url"], ["fighter2_url"]], ["fighter_url"], "p",
             ["fight_id"],
         )
         .withColumns({"w": winner, "l": loser, "name": name, "prob": F.coalesce(chance, F.lit(0.5))})
@@ -452,7 +450,8 @@ register_bouts("form_blend", lambda b: b.profiles.select("fighter_url", "event_d
     c.alias(n) for n, c in matchup.form_blend().items()]))
 register_bouts("class_finish_rates", lambda b: matchup.class_finish_rates(b.clean, b.fighters))
 register_bouts("matchup_modifiers", _matchup_modifiers("v2.3"))
-register_bouts("matchup_modifiers_v2", _matchup_modifiers("v2"))
+for _version in ("v2", "v2.1", "v2.2"):
+    register_bouts(f"matchup_modifiers_{_version.replace('.', '_')}", _matchup_modifiers(_version))
 register_bouts("age_thresholds", lambda b: b.fighters.withColumn(
     "limits", matchup.age_thresholds(pairs.weight_class_of("weight"))).select(
         "fighter_url", "weight", "limits.chin", "limits.fatigue"))
@@ -464,7 +463,7 @@ register_bouts("decision_outcome", lambda b: matchup.decision_outcome(
 # --- models ----------------------------------------------------------------------------------
 
 # Small ensembles: these queries show the training flow, not the best score. README has the time of full sizes.
-TREES, EPOCHS, METHOD_TREES, INNER_FOLDS = 5, 20, 20, 3
+TREES, EPOCHS, INNER_FOLDS = 5, 20, 3
 
 
 def _training_table(spark: SparkSession, folder: str) -> tuple[Bouts, DataFrame]:
@@ -505,7 +504,7 @@ def _calibrate(spark: SparkSession, folder: str) -> DataFrame:
 
 def _train_method(spark: SparkSession, folder: str) -> DataFrame:
     _, table = _training_table(spark, folder)
-    return models.method_confusion(table, METHOD_TREES)
+    return models.method_confusion(table)
 
 
 def _predict_card(spark: SparkSession, folder: str) -> DataFrame:
@@ -514,7 +513,7 @@ def _predict_card(spark: SparkSession, folder: str) -> DataFrame:
     trees = {name: model for name, model in _winner_candidates(table).items() if name in models.TREE_MODELS}
     saved = fresh_path(spark, "saved")
     models.save_models(
-        spark, saved, models.train_winner(table, trees, INNER_FOLDS), models.train_method(table, METHOD_TREES)
+        spark, saved, models.train_winner(table, trees, INNER_FOLDS), models.train_method(table)
     )
     winner, method = models.load_models(spark, saved)
     last_event = b.clean.agg(F.max("event_date")).scalar()

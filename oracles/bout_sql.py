@@ -285,10 +285,10 @@ def clamp(x: str, low: float, high: float) -> str:
 
 def modifiers(version: str) -> str:
     """One row per bout; ``a`` and ``b`` are the two corners."""
-    latest = version == "v2.3"
+    form, shots = version in ("v2.2", "v2.3"), "eff_td_per_fight" if version in ("v2.2", "v2.3") else "td_per_fight"
 
     def skill(c: str) -> str:
-        if not latest:
+        if version == "v2":
             return f"{c}.win_rate * 0.7::double + {c}.recent_win_rate * 0.3::double"
         spread = clamp(f"{c}.strike_differential_spm / 5", -0.3, 0.3)
         return f"{c}.win_rate * 0.5::double + {c}.recent_win_rate * 0.2::double + {spread} * 0.3::double"
@@ -322,10 +322,10 @@ def modifiers(version: str) -> str:
         return clamp(f"{c}.opp_accuracy_against / 0.44::double", 0.85, 1.15)
 
     def boost(c: str, o: str) -> str:
-        mismatch = clamp(f"1.0::double + ({c}.eff_td_per_fight - 1.5::double) * 0.3::double", 1.0, 2.0)
+        mismatch = clamp(f"1.0::double + ({c}.{shots} - 1.5::double) * 0.3::double", 1.0, 2.0)
         seek = clamp(f"{edge(c, o)} * 0.8::double", 1.0, 1.5)
         return (
-            f"(CASE WHEN {c}.eff_td_per_fight > 1.5 AND {o}.ground_pct < 0.15 THEN {mismatch} ELSE 1.0::double END)"
+            f"(CASE WHEN {c}.{shots} > 1.5 AND {o}.ground_pct < 0.15 THEN {mismatch} ELSE 1.0::double END)"
             f" * (CASE WHEN {edge(c, o)} > 1.1::double THEN {seek} ELSE 1.0::double END)"
             f" * {clamp(f'{c}.ground_pct / 0.15::double', 0.5, 2.0)}"
         )
@@ -347,8 +347,14 @@ def modifiers(version: str) -> str:
         "f1_td_boost": boost("a", "b"), "f2_td_boost": boost("b", "a"),
         "f1_td_success_boost": success("a", "b"), "f2_td_success_boost": success("b", "a"),
     }
-    if not latest:
-        later = {n: "0.0::double" if n.endswith("loss") else "1.0::double" for n in later}
+    since = {"stance": form, "loss": form, "defense": version == "v2.3"}
+
+    def applies(name: str) -> bool:
+        return version != "v2" and all(on for part, on in since.items() if part in name)
+
+    later = {
+        n: e if applies(n) else "0.0::double" if n.endswith("loss") else "1.0::double" for n, e in later.items()
+    }
     chosen = ", ".join(f"{e} AS {n}" for n, e in {**columns, **later}.items())
     return f"""
   SELECT d.fight_id, d.fighter1_url, d.fighter2_url, {chosen}

@@ -605,7 +605,8 @@ BLENDED = ("sig_spm", "sig_acc", "td_per_fight", "kd_per_fight", "ctrl_secs_per_
 FINAL["form_blend"] = profile(*[f"{c} * 0.6::double + recent_{c} * 0.4::double AS eff_{c}" for c in BLENDED])
 FINAL["class_finish_rates"] = "SELECT * FROM multipliers"
 FINAL["matchup_modifiers"] = bout_sql.modifiers("v2.3")
-FINAL["matchup_modifiers_v2"] = bout_sql.modifiers("v2")
+for _version in ("v2", "v2.1", "v2.2"):
+    FINAL[f"matchup_modifiers_{_version.replace('.', '_')}"] = bout_sql.modifiers(_version)
 FINAL["age_thresholds"] = """
   SELECT f.fighter_url, f.weight,
          cast(CASE c.division WHEN 'Heavyweight' THEN 39 WHEN 'Light Heavyweight' THEN 38 WHEN 'Middleweight' THEN 37

@@ -131,3 +131,56 @@ def test_twenty_metrics():
 
 def test_fresh_paths_differ(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_kept_counts_read_new_partitions_only(spark, tmp_path):
+    """A month is added after the files of the others are gone: the same violations as of all rows."""
+    import shutil
+
+    rows = [("2024-01", f"k{i}", i % 3) for i in range(20)] + [("2024-02", f"k{i}", 9) for i in range(15, 30)]
+    more = [("2024-03", "k1", None), ("2024-03", "new", 1), ("2024-03", None, 1)]
+    schema = "month string, key string, kind int"
+    suite = [
+        *checks.unique_and_present("t", "key"), checks.accepts("t", "kind", "0", "1", "2"),
+        checks.unique_together("t", "month", "kind"),
+    ]
+    path, kept = str(tmp_path / "t"), checks.KeptCounts(spark, str(tmp_path / "kept"), {"t": "month"})
+
+    def write(values):
+        spark.createDataFrame(values, schema).write.mode("append").partitionBy("month").parquet(path)
+
+    def table():
+        return spark.read.schema(schema).parquet(path)
+
+    def violations(frame, counts=None, changed=None):
+        return {r["name"]: r["violations"] for r in checks.run_checks(spark, {"t": frame}, suite, counts, changed).collect()}
+
+    write(rows)
+    assert violations(table(), kept) == violations(table())
+    write(more)
+    want = violations(table())
+    for month in ("2024-01", "2024-02"):
+        for file in (tmp_path / "t" / f"month={month}").glob("*.parquet"):
+            file.write_bytes(b"not a table")  # whoever reads it fails
+    assert violations(table(), kept) == want
+    # A month that was written anew is counted anew, one that is gone no longer counts.
+    shutil.rmtree(tmp_path / "t")
+    write([("2024-01", "a", 0), ("2024-03", "a", 1)])
+    assert violations(table(), kept, {"t": ["2024-01", "2024-03"]}) == violations(table())
+
+
+def test_headline_counts_deals_once(spark):
+    from decimal import Decimal
+
+    from ledgerwave.plans import reports
+
+    schema = "opportunity_id string, sales_year int, is_closed boolean, is_closed_won boolean, acv decimal(18,2)"
+    lines = [("o1", 2020, True, True, 5), ("o1", 2020, True, True, 7), ("o2", 2021, False, False, 1), ("o2", 2021, False, False, 2),
+             ("o3", 2022, True, False, 100), ("o4", 2019, True, True, 3), ("o5", None, False, False, 4)]
+    frame = spark.createDataFrame([(*x[:4], Decimal(x[4])) for x in lines], schema)
+    (row,) = reports._bookings_state(frame).collect()
+    assert (row["latest"]["sales_year"], int(row["latest"]["won"]), int(row["open_acv"]), row["open"]) == (2020, 12, 7, 2)
+    (year,), (pipeline,) = reports.latest_year_bookings(frame).collect(), reports.open_pipeline(frame).collect()
+    assert (year["sales_year"], int(year["acv"])) == (2020, 12) and pipeline["opportunities"] == 2
+    (none,) = reports._bookings_state(frame.limit(0)).collect()
+    assert (none["latest"], none["open_acv"], none["open"]) == (None, None, 0)

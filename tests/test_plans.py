@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerwave.functions import joins
 from ledgerwave.operators import movements, snapshots
 from ledgerwave.operators.snapshots import MonthWindow
 from ledgerwave.plans.bouts import sample_bouts
@@ -96,3 +97,65 @@ def test_a_hot_fighter_is_summed_per_day(spark, sample_dir):
     assert "HashAggregate(keys=[fighter_url" in text[window:] or "SortAggregate(key=[fighter_url" in text[
         window:
     ] or "ObjectHashAggregate(keys=[fighter_url" in text[window:]
+
+
+def lines_above(text: str, mark: str) -> list[str]:
+    """The operators that come after the first one with ``mark``: plans are printed from the result down."""
+    lines = text.splitlines()
+    return lines[: next(i for i, line in enumerate(lines) if mark in line)]
+
+
+def test_expanded_usage_months_are_not_shuffled(spark, sample_dir):
+    text = plan(sample_revenue(spark, sample_dir).fct_usage)
+    assert not any("Exchange" in line for line in lines_above(text, "Generate explode(sequence"))
+
+
+def test_lines_are_not_shuffled_on_product_keys(spark, sample_dir):
+    """Even if the table behind the products is over Spark's limit."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = sample_revenue(spark, sample_dir)
+        for frame in (r.contract_lines, r.acv_lines):
+            text = plan(frame)
+            assert "hashpartitioning(product_id" not in text and "BroadcastHashJoin [product_id" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_of_any_size_gives_the_same(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 7).alias("k"))
+    lookup = spark.range(6).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    small, sliced = (joins.join_sized(rows, lookup, ["k"], ["id"], small=n) for n in (6, 5))
+    assert "BroadcastHashJoin" in plan(small) and "_slice" in sliced._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, sliced.select(*small.columns).collect()), key=str)
+
+
+def test_headline_figures_read_each_mart_once(spark, sample_dir):
+    """As many scans as the three marts have by themselves."""
+
+    def scans(frame):
+        return plan(frame).count("FileScan") + plan(frame).count("Scan parquet")
+
+    r = sample_revenue(spark, sample_dir)
+    marts = sum(scans(m) for m in (r.fct_arr, r.fct_acv, r.rpt_recon))
+    assert scans(QUERIES["kpi_frame"](spark, sample_dir)) <= marts
+
+
+@pytest.mark.parametrize("spread", [None, ["bout"]])
+def test_both_sides_meet_a_lookup_in_one_join(spark, spread):
+    rows = spark.createDataFrame(
+        [(1, "a", "b"), (2, "b", "a"), (3, "a", "nobody"), (4, "c", "c"), (5, None, "a")], "bout int, x string, y string"
+    )
+    lookup = spark.createDataFrame([("a", 1.0, None), ("b", 2.0, 3), ("c", 4.0, 5)], "who string, v double, n int")
+    found = joins.join_sides(rows, lookup, [["x"], ["y"]], ["who"], "p", spread)
+    got = {r["bout"]: (r["p1"]["v"], r["p2"]["v"]) for r in found.collect()}
+    assert got == {1: (1.0, 2.0), 2: (2.0, 1.0), 4: (4.0, 4.0)}
+    assert sum("Join" in line for line in plan(found).split("Initial Plan")[0].splitlines()) == 1
+
+
+@pytest.mark.parametrize("name", ["training_pairs", "matchup_modifiers", "reasoning_text"])
+def test_profiles_are_joined_once(spark, sample_dir, name):
+    """One Generate makes the sides, and nothing joins a profile a second time."""
+    text = plan(QUERIES[name](spark, sample_dir))
+    assert text.count("posexplode") <= text.count("Generate")
+    assert sum("posexplode" in line and "Generate" in line for line in text.splitlines()) == 1
