@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,30 +12,16 @@ from pyspark.sql import functions as F
 
 from ledgerwave.llm.common import text_key, text_of, written
 from ledgerwave.llm.cuts import cut_texts
-from ledgerwave.llm.words import REMEMBERED
 
 #: A span has at least so many sentences and words; a span of LONG words may have fewer sentences.
 SENTENCES, WORDS, LONG = 5, 30, 35
-#: Sentences of more words than PART are cut in parts, one word in CUT being an end besides those before a comma or colon.
-PART, CUT = 12, 16
+#: Sentences with so many blanks are cut in parts, after commas and colons, words of ten letters and words with a k in front.
+PART = 12
 
 #: A sentence: up to closing marks before white space, to the end of the line, or to the end of the text.
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)\s*|\n+")
-_WORD = re.compile(r"\s*\S+\s*")
-
-
-class _Ends(dict):
-    """Whether a long sentence is cut after a word: the word alone decides, so a passage is cut alike wherever it stands."""
-
-    def __missing__(self, stretch: str) -> bool:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        word = stretch.strip().lower()
-        value = self[stretch] = word[-1] in ",;:" or zlib.crc32(word.encode()) % CUT == 0
-        return value
-
-
-_ends = _Ends()
+#: Where a long sentence is cut: what stands there decides, so a passage is cut alike wherever it stands.
+_CUT = re.compile(r"[,;:]\s+|(?<!\S)(?:\S{10}|[kK]\S*)\s+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -47,14 +32,11 @@ def sentences(text: str) -> list[tuple[int, int]]:
     found = []
     for m in _SENTENCE.finditer(text):
         start, end = m.span()
-        words = _WORD.findall(text, start, end)
-        if len(words) > PART:
-            at = start
-            for word in words[:-1]:
-                at += len(word)
-                if _ends[word]:
-                    found.append((start, at))
-                    start = at
+        if text.count(" ", start, end) >= PART:
+            for cut in _CUT.finditer(text, start, end):
+                if cut.end() < end:
+                    found.append((start, cut.end()))
+                    start = cut.end()
         found.append((start, end))
     return found
 
