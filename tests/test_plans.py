@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwave.functions import joins
-from ledgerwave.operators import movements, snapshots
+from ledgerwave.operators import movements, snapshots, usage
 from ledgerwave.operators.snapshots import MonthWindow
 from ledgerwave.plans.bouts import sample_bouts
 from ledgerwave.plans.catalog import QUERIES
 from ledgerwave.plans.revenue import sample_revenue
+from ledgerwave.sources import sample
 
 # Queries that train models run jobs while they are built.
 TRAINING = {"train_winner", "interactions_select", "stack", "calibrate", "train_method", "predict_card", "saved_models"}
@@ -110,6 +111,39 @@ def test_expanded_usage_months_are_not_shuffled(spark, sample_dir):
     assert not any("Exchange" in line for line in lines_above(text, "Generate explode(sequence"))
 
 
+def test_usage_is_dealt_by_key_before_months_are_made(spark, sample_dir):
+    r = sample_revenue(spark, sample_dir)
+    for frame in (r.usage_rollup, usage.usage_by_key(r.usage_rollup)):
+        assert not any("Exchange" in line for line in lines_above(plan(frame), "Generate explode(sequence"))
+
+
+def test_usage_of_any_line_is_the_sum_over_its_months(spark, tmp_path):
+    """Negative numbers and missing ones too: every line and month by itself gives the same."""
+    lines = spark.range(-60, 60).select(
+        (F.col("id") % 9).alias("l_orderkey"),
+        F.lit(3).cast("long").alias("l_partkey"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 8).cast("int").alias("l_linenumber"),
+        F.when(F.col("id") % 7 != 0, F.col("id") % 13).cast("double").alias("l_quantity"),
+        F.when(F.col("id") % 2 == 0, "R").otherwise("N").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"),
+        F.add_months(F.lit("1998-03-05").cast("date"), (F.col("id") % 5).cast("int")).cast("timestamp").alias("l_shipdate"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(-8, 9).select(F.col("id").alias("o_orderkey"), (F.col("id") % 2).alias("o_custkey")).write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    got = {tuple(r[:3]): r[3] for r in sample.usage_monthly(sample.Tables(spark, str(tmp_path))).collect()}
+    month = F.explode(F.expr("sequence(trunc(l_shipdate, 'month'), add_months(trunc(l_shipdate, 'month'), "
+                             "if(l_returnflag = 'R', 5, 23)), interval 1 month)"))
+    tenths = F.expr("int(l_quantity) * (4 + ((l_orderkey * 10 + l_linenumber) * 7 + month(month) * 3) % 10)")
+    plainly = lines.withColumn("month", month).groupBy(F.expr("l_orderkey % 2"), F.expr("l_partkey % 5"), "month").agg(
+        F.sum(tenths).alias("tenths")
+    )
+    want = {tuple(r[:3]): r[3] for r in plainly.collect()}
+    assert len(want) > 40 and want.keys() == got.keys()
+    assert all((got[k] is None) == (v is None) and (v is None or got[k] * 10 == v) for k, v in want.items())
+
+
 def test_lines_are_not_shuffled_on_product_keys(spark, sample_dir):
     """Even if the table behind the products is over Spark's limit."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
