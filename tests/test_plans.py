@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwave.functions import joins
-from ledgerwave.operators import movements, snapshots, usage
+from ledgerwave.operators import bookings, movements, snapshots, usage
 from ledgerwave.operators.snapshots import MonthWindow
 from ledgerwave.plans.bouts import sample_bouts
 from ledgerwave.plans.catalog import QUERIES
@@ -156,6 +156,31 @@ def test_lines_are_not_shuffled_on_product_keys(spark, sample_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_owners_meet_deals_and_not_lines(spark, sample_dir):
+    """Owners too many to be sent to every task are looked up per deal; lines are shuffled for their dates alone."""
+    r = sample_revenue(spark, sample_dir)
+    users = r.staged("users").unionByName(
+        spark.range(10**6, 10**6 + 30000).selectExpr("id as user_id", "'x' as user_name"), allowMissingColumns=True
+    )
+    lines, deals, products = r.staged("opportunity_line_items"), r.staged("opportunities"), r.staged("products")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in (
+            bookings.opportunity_acv_tcv(lines, deals, products, users),
+            bookings.fct_acv(bookings.opportunity_lines_acv(lines, deals, products, users)),
+        ):
+            text = plan(frame)
+            above = lines_above(text, "SortMergeJoin [opportunity_id")
+            assert "hashpartitioning(owner_id" in text
+            assert not any("hashpartitioning(owner_id" in line for line in above)
+        fact = bookings.fct_acv(bookings.opportunity_lines_acv(lines, deals, products, users))
+        assert not any("l_linenumber" in line for line in plan(fact.agg(F.sum("acv"))).splitlines() if "Exchange" in line)
+        scans = [line for line in plan(fact.agg(F.sum("acv"))).splitlines() if "lineitem.parquet" in line]
+        assert not any("l_linenumber" in line for line in scans)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_lookup_of_any_size_gives_the_same(spark):
     rows = spark.range(500).select("id", (F.col("id") % 7).alias("k"))
     lookup = spark.range(6).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
