@@ -184,3 +184,21 @@ def test_headline_counts_deals_once(spark):
     assert (year["sales_year"], int(year["acv"])) == (2020, 12) and pipeline["opportunities"] == 2
     (none,) = reports._bookings_state(frame.limit(0)).collect()
     assert (none["latest"], none["open_acv"], none["open"]) == (None, None, 0)
+
+
+def test_a_layer_by_month_is_dealt_before_months_are_made(spark, sample_dir, tmp_path):
+    """The same rows as the fact itself, each month in its folder; spans and not months are shuffled for it."""
+    from ledgerwave.plans.revenue import sample_revenue
+
+    r = sample_revenue(spark, sample_dir)
+    dealt = r.fct_arr_by_month()
+    table = dealt.finish(dealt.rows.hint("rebalance", "year"))
+    text = table._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(text) if "Generate explode(sequence" in line)
+    assert not any("Exchange" in line for line in text[:made]) and any("REBALANCE" in line for line in text[made:])
+    written = layers.materialize_layer(spark, "marts", {"t": dealt}, str(tmp_path), {"t": "measurement_month"})["t"]
+    assert table.columns == r.fct_arr.columns
+    own = written.select(*r.fct_arr.columns)
+    assert own.exceptAll(r.fct_arr).count() == r.fct_arr.exceptAll(own).count() == 0
+    months = [p for p in os.listdir(tmp_path / "marts" / "t") if p.startswith("measurement_month=")]
+    assert len(months) == r.fct_arr.select("measurement_month").distinct().count()
