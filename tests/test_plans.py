@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwave.functions import joins
-from ledgerwave.operators import bookings, movements, snapshots, usage
+from ledgerwave.operators import bookings, careers, movements, snapshots, usage
 from ledgerwave.operators.snapshots import MonthWindow
 from ledgerwave.plans.bouts import sample_bouts
 from ledgerwave.plans.catalog import QUERIES
@@ -218,3 +218,40 @@ def test_profiles_are_joined_once(spark, sample_dir, name):
     text = plan(QUERIES[name](spark, sample_dir))
     assert text.count("posexplode") <= text.count("Generate")
     assert sum("posexplode" in line and "Generate" in line for line in text.splitlines()) == 1
+
+
+def test_a_whole_career_is_merged_without_days(spark, sample_dir):
+    b = sample_bouts(spark, sample_dir)
+    text = plan(b.final_profiles)
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(fighter_url" in line]
+    assert exchanges and not any("event_date" in line for line in exchanges)
+
+
+def test_days_are_joined_as_they_lie(spark, sample_dir):
+    """Sums, newest bouts and runs of a day share their partitions; only whole careers are shuffled after."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(sample_bouts(spark, sample_dir).state)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "coalesce(fighter_url" not in "".join(line for line in text.splitlines() if "Exchange" in line)
+
+
+def test_a_career_up_to_a_date_is_the_state_of_a_bout_on_it(spark, sample_dir):
+    """Streaks, sums and newest bouts, on days with several bouts too."""
+    sides = sample_bouts(spark, sample_dir).sides.withColumn(
+        "event_date", F.date_add(F.lit("2000-01-01").cast("date"), (F.xxhash64("fight_id") % 4).cast("int"))
+    )
+    later = sides.groupBy("fighter_url").agg(F.lit("x").alias("fight_id"), F.lit(True).alias("won")).withColumn(
+        "event_date", F.lit("2001-01-01").cast("date")
+    )
+    day_by_day = careers.career_state(sides.unionByName(later, allowMissingColumns=True))
+    want = day_by_day.filter("event_date = '2001-01-01'").collect()
+    got = careers.career_state(sides, "2001-01-01").select(*day_by_day.columns).collect()
+    assert len(got) > 5 and sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_bouts_and_sides_are_made_once(spark, sample_dir):
+    """Queries of careers read what was written, and not the lines again for every step."""
+    text = plan(QUERIES["career_profiles"](spark, sample_dir))
+    assert "lineitem.parquet" not in text
