@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerwave.functions.keys import NULL_PART, surrogate_key
 from ledgerwave.operators import checks, metrics
@@ -102,6 +103,24 @@ def test_run_checks_counts_every_kind_of_violation(spark):
     }
 
 
+def test_values_that_differ_are_not_shuffled_for_uniqueness(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    spark.range(1000).select(F.concat(F.lit("key"), "id").alias("id"), F.lit("x").alias("ref")).write.parquet(path)
+    suite = [checks.Check("unique", "keys", ("id",)), checks.unique_together("keys", "id", "ref")]
+    result = checks.run_checks(spark, {"keys": spark.read.parquet(path)}, suite)
+    assert path not in result._jdf.queryExecution().executedPlan().toString()
+    assert {r.name: r.violations for r in result.collect()} == {c.name: 0 for c in suite}
+
+
+def test_uniqueness_by_value_where_hashes_agree(spark):
+    """Nulls do not change a hash, so ("a", null) and (null, "a") have the same; zeros have two."""
+    rows = [("a", None, 0.0, 1), (None, "a", -0.0, 1), (None, None, 2.5, 2), (None, None, 2.5, 3), ("b", "a", None, 3)]
+    table = spark.createDataFrame(rows, "x string, y string, z double, k int")
+    suite = [checks.unique_together("t", "x", "y"), *[checks.Check("unique", "t", (c,)) for c in "xyzk"]]
+    got = {r.columns: r.violations for r in checks.run_checks(spark, {"t": table}, suite).collect()}
+    assert got == {"x, y": 1, "x": 0, "y": 1, "z": 1, "k": 2}
+
+
 def test_recon_counts_names_the_category_that_drifts(spark):
     report = spark.createDataFrame([("a",), ("a",)], "discrepancy_category string")
     expected = spark.createDataFrame([("a", 2), ("b", 1)], "discrepancy_category string, expected_count int")
