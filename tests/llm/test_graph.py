@@ -89,3 +89,30 @@ def test_tied_makes_few_pairs_of_a_group_of_copies(spark):
     found = graph.tied(members, lambda a, b: a == b, verify)
     assert found.count() == 3000 and found.select("component").distinct().count() == 1
     assert asked == [sum(3000 - i - 1 for i in range(graph.LEADERS))]
+
+
+def test_one_leader_at_first_asks_one_pair_of_each_copy(spark):
+    members = spark.range(3000).select(F.lit(1).cast("long").alias("bucket"), "id", F.lit(0).alias("mark"))
+    asked = []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return pairs
+
+    found = graph.tied(members, lambda a, b: a == b, verify, (1, 16))
+    assert found.count() == 3000 and found.select("component").distinct().count() == 1
+    assert asked == [2999]
+
+
+@pytest.mark.parametrize("rounds", [(1, 4), (2, 2, 2)])
+def test_tied_in_rounds_is_what_all_pairs_tie(spark, rounds):
+    own = random.Random(17)
+    at = {i: own.random() * 30 for i in range(120)}
+    buckets = {(0, i) for i in range(90)} | {(b, own.randrange(120)) for b in range(1, 20) for _ in range(6)}
+    members = spark.createDataFrame([(b, i, at[i]) for b, i in buckets], "bucket long, id long, mark double")
+    found = graph.tied(members, lambda a, b: F.abs(a - b) <= 0.3, lambda pairs: pairs, rounds)
+    of = {}
+    for bucket, i in buckets:
+        of.setdefault(bucket, set()).add(i)
+    every = {(a, b) for s in of.values() for a in s for b in s if a < b and abs(at[a] - at[b]) <= 0.3}
+    assert {r["id"]: r["component"] for r in found.collect()} == grouped(every, {x for pair in every for x in pair})

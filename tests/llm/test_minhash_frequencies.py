@@ -3,7 +3,7 @@
 import numpy as np
 from helpers import documents
 
-from ledgerwave.llm import minhash
+from ledgerwave.llm import minhash, words
 
 
 def test_shared_template_among_many_shingles(spark):
@@ -19,3 +19,50 @@ def test_shared_template_among_many_shingles(spark):
     found = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, rows)).collect()}
     assert found[1001] == 1001 and found[1000] == 1000
     assert found[2001] == 2000
+
+
+def test_counts_are_those_of_every_shingle_and_travel_in_few_rows(spark, sample_dir):
+    docs = spark.read.parquet(f"{sample_dir}/documents.parquet").selectExpr("coalesce(text, '') AS text")
+    texts = [r["text"] for r in docs.collect()] + ["", "x", "x"]
+    docs = docs.unionByName(spark.createDataFrame([("",), ("x",), ("x",)], "text string"))
+    counted = {}
+    for text in texts:
+        for key in np.unique(words.shingles(words.word_hashes(text), 5)).tolist():
+            counted[key] = counted.get(key, 0) + 1
+    found = minhash.Frequencies(docs, 5)
+    assert found.rows == len(texts)
+    several = {r["shingle"] % (1 << 64): r["n"] for r in found.several().collect()}
+    assert several == {k: n for k, n in counted.items() if n > 1} and several
+    features = np.zeros(minhash.FEATURES, np.int64)
+    for key, n in counted.items():
+        features[key >> (64 - minhash.FEATURE_BITS)] += n
+    assert (found.of_features == features).all()
+    assert found.made.count() <= 8 < len(several)
+
+
+def test_counts_of_nothing(spark):
+    found = minhash.Frequencies(spark.createDataFrame([], "text string"), 5)
+    assert found.rows == 0 and found.several().count() == 0 and not found.of_features.any()
+
+
+def test_packed_numbers():
+    own = np.random.default_rng(7)
+    for n in (1, 2, 300):
+        keys = np.sort(own.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1))
+        for keys in (keys, np.repeat(keys, 3), keys >> np.uint64(50)):
+            assert (minhash.unpacked(minhash.packed(keys)) == keys).all()
+
+
+def test_words_taken_as_bytes():
+    texts = [
+        "Some words, some WORDS", "", " ... _ ", "l'été d'Été_2 Straße", "a\x1cb\x85c\xa0d e", "ΣΑΣ İx 中文 ½ ٣",
+        "x" * 1000 + " " + "x" * 1001, "a-b ab a\tb", "aa a a",
+    ]
+    of = {}
+    for text in texts:
+        plain = [w for w in ("".join(c for c in x if c.isalnum()) for x in text.lower().split()) if w]
+        found = words.word_hashes(text).tolist()
+        assert len(found) == len(plain)
+        for word, key in zip(plain, found):
+            assert of.setdefault(word, key) == key
+    assert len(set(of.values())) == len(of)
