@@ -66,3 +66,45 @@ def test_words_taken_as_bytes():
         for word, key in zip(plain, found):
             assert of.setdefault(word, key) == key
     assert len(set(of.values())) == len(of)
+
+
+def test_far_copies_of_one_text_make_few_pairs(spark, monkeypatch):
+    own = np.random.default_rng(11)
+    vocabulary = np.array([f"w{i}" for i in range(20_000)])
+    base = own.choice(vocabulary, 300)
+    rows = []
+    for i in range(140):
+        text = base.copy()
+        text[own.choice(300, 9, replace=False)] = own.choice(vocabulary, 9)
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, rows[i][1] + " more") for i in range(0, 140, 10)]
+    asked = {}
+
+    def classes(label):
+        near = minhash._Vectors.near
+        with monkeypatch.context() as patched:
+            patched.setattr(minhash._Vectors, "near", lambda self, p: asked.setdefault(label, []).append(p.count()) or near(self, p))
+            patched.setattr(minhash, "ROUNDS", (1,))
+            patched.setattr(minhash, "BLOCK", 20)
+            return {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+
+    found = classes("tiles")
+    tied = minhash.graph.tied
+    monkeypatch.setattr(minhash.graph, "tied", lambda members, may, verify, rounds, last: tied(members, may, verify, rounds))
+    assert found == classes("join")
+    assert len(asked["tiles"]) == len(asked["join"]) == 2 and len(set(found.values())) == 140
+    assert asked["tiles"][1] < asked["join"][1] / 2
+
+
+def test_possible_pairs_are_all_that_are_similar():
+    own = np.random.default_rng(12)
+    weights = own.random((40, 300)) * (own.random((40, 300)) < 0.7)
+    weights[20:] = weights[:20] * (own.random((20, 300)) < 0.9)
+    sums = np.stack([np.bincount(np.arange(300) % minhash.PARTS, w, minhash.PARTS) for w in weights])
+    ids, of = own.permutation(40), np.arange(40) % 7
+    similar = lambda i, j: np.minimum(weights[i], weights[j]).sum() / np.maximum(weights[i], weights[j]).sum()
+    for sides in (np.zeros(40, bool), np.arange(40) < 20):
+        pairs = [(i, j) for i in range(40) for j in range(i) if of[i] != of[j] and (sides[i] != sides[j] or not sides.any())]
+        truth = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs if similar(i, j) >= 0.8}
+        made = [tuple(p) for found in minhash.possible_pairs(ids, of, sums, sides, 0.8) for p in found.tolist()]
+        assert truth and truth <= set(made) and len(set(made)) == len(made) < len(pairs)
