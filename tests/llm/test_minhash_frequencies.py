@@ -1,7 +1,8 @@
 """Near-duplicates by the document frequencies of shingles themselves, where hashed ones differ much."""
 
 import numpy as np
-from helpers import documents
+import pytest
+from helpers import documents, grouped
 
 from ledgerwave.llm import minhash, words
 
@@ -108,3 +109,21 @@ def test_possible_pairs_are_all_that_are_similar():
         truth = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs if similar(i, j) >= 0.8}
         made = [tuple(p) for found in minhash.possible_pairs(ids, of, sums, sides, 0.8) for p in found.tolist()]
         assert truth and truth <= set(made) and len(set(made)) == len(made) < len(pairs)
+
+
+@pytest.mark.parametrize("block", [30, 512])
+def test_tiles_hand_on_links_of_different_components_alone(spark, monkeypatch, block):
+    own = np.random.default_rng(13)
+    groups = [np.sort(own.choice(1 << 40, 300, replace=False)) for _ in range(6)]
+    kept = [(i, np.sort(own.choice(groups[i % 6], 290, replace=False))) for i in range(120)]
+    vectors = minhash._Vectors(None, None, None, 5, 0.8)
+    rows = [(i, k.tolist(), [1.0] * 290) for i, k in kept]
+    vectors.made = spark.createDataFrame(rows, "id long, keys array<long>, weights array<float>")
+    left = spark.createDataFrame([(b, i, i) for b in range(3) for i in range(120)], "bucket long, id long, of long")
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    made = [(r["a"], r["b"]) for r in vectors.possible(left).collect()]
+    root = grouped(made, range(120))
+    assert all(root[i] == i % 6 for i in range(120)) and all(a < b for a, b in made)
+    tiles = {30: 10, 512: 1}[block]  # all pairs of a group would be 1,140 for each bucket
+    assert len(made) <= 3 * min(tiles * 114, 500)
+    assert block == 30 or len(made) == 3 * 114
