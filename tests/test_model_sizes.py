@@ -40,3 +40,16 @@ STACK = [("folds", 5), ("boosting", 400), ("forest", 400), ("network", 500)]
 def test_stack_has_full_sizes(spark, monkeypatch):
     _, stacking, *rest = given(monkeypatch, "stack", "stack_accuracy")
     assert sizes(stacking) == STACK and not rest
+
+
+def test_train_winner_has_full_sizes(spark, monkeypatch):
+    _, everything, *rest = given(monkeypatch, "train_winner", "train_winner")
+    assert not rest and {name: sizes(estimator) for name, estimator in everything.items()} == {
+        "GradientBoosting": [("boosting", 400)],
+        "RandomForest": [("forest", 400)],
+        "MLP": [("network", 500)],
+        "LogisticReg": [],
+        "Interactions": [("boosting", 400)],
+        "Stacking": STACK,
+        "InteractionStacking": [("folds", 5), ("boosting", 400), ("forest", 400)],
+    }
