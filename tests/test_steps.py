@@ -3,6 +3,7 @@
 import os
 import time
 
+from ledgerwave.operators import checks
 from ledgerwave.plans.bouts import sample_bouts
 from ledgerwave.session import free_shuffles
 from ledgerwave.sources.layers import materialize_layer
@@ -34,3 +35,13 @@ def test_what_earlier_tables_have_shuffled_goes(spark, tmp_path):
 def test_profiles_are_made_before_they_meet_the_bouts(spark, sample_dir):
     plan = sample_bouts(spark, sample_dir, write=True).training._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "round_stats" not in plan and plan.count("lineitem.parquet") == 0
+
+
+def test_kept_counts_are_stored_small(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("md5(cast(id as string)) as arr_key", "date'2001-01-31' as measurement_month")
+    of_key = [c for c in checks.GENERIC_CHECKS if c.table == "fct_arr" and c.columns == ("arr_key",)]
+    kept = checks.KeptCounts(spark, str(tmp_path), {"fct_arr": "measurement_month"})
+    found = checks.run_checks(spark, {"fct_arr": rows}, of_key, kept).collect()
+    assert found and all(r["violations"] == 0 for r in found)
+    files = [f for _, _, files in os.walk(tmp_path) for f in files if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
